@@ -57,10 +57,19 @@ def _match_keys(stripped, compat: bool):
 
 def matched_words(df: DataFrame, id_col: str, text_col: str, names: DataFrame, compat: bool = False) -> DataFrame:
     """``(id, words)``: stripped name tokens of each text, in token order."""
-    toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), f"[{WS}]+")).alias("pos", "tok"))
-    toks = toks.withColumn("w", strip_non_word(F.col("tok"))).where(F.col("w") != "")
-    k_fold, k_plain = _match_keys(F.col("w"), compat)
-    toks = toks.withColumn("k1", k_fold).withColumn("k2", k_plain)
+    # Stripping, lower-casing and folding never create or remove blanks, so applying them to
+    # the whole text once and then splitting gives every token's stripped form and keys,
+    # aligned by position (string functions run once per text, not once per token).
+    stripped = strip_non_word(F.col(text_col))
+    k_fold, k_plain = _match_keys(stripped, compat)
+    sep = f"[{WS}]+"
+    zipped = F.arrays_zip(F.split(stripped, sep).alias("w"), F.split(k_fold, sep).alias("k1"),
+                          F.split(k_plain, sep).alias("k2"))
+    toks = (
+        df.select(id_col, F.posexplode(zipped).alias("pos", "t"))
+        .select(id_col, "pos", "t.w", "t.k1", "t.k2")
+        .where(F.col("w") != "")
+    )
     nm = F.broadcast(names.select(F.col("name").alias("_n1"), F.lit(True).alias("_h1")))
     nm2 = F.broadcast(names.select(F.col("name").alias("_n2"), F.lit(True).alias("_h2")))
     hit = (
@@ -68,29 +77,44 @@ def matched_words(df: DataFrame, id_col: str, text_col: str, names: DataFrame, c
         .join(nm2, toks.k2 == nm2._n2, "left")
         .where(F.col("_h1").isNotNull() | F.col("_h2").isNotNull())
     )
+    if compat:
+        # A repeated replace of a word is a no-op unless the word shares a character with the
+        # mask (only then can earlier replacements create new occurrences); keep first
+        # occurrences of the others.
+        first = F.min("pos").over(Window.partitionBy(id_col, "w"))
+        mask_chars = "[" + "".join(sorted(set(NAME_MASK))) + "]"
+        hit = hit.withColumn("_first", first).where((F.col("pos") == F.col("_first")) | F.col("w").rlike(mask_chars))
+    else:
+        hit = hit.select(id_col, "pos", "w").dropDuplicates([id_col, "w"])
     return hit.groupBy(id_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda s: s["w"]).alias("words")
     )
 
 
-def _token_pattern(word):
-    return F.concat(F.lit(f"(?<![^{WS}])([^{WORD}{WS}]*)"), word, F.lit(f"([^{WORD}{WS}]*)(?![^{WS}])"))
+def _token_pattern(alternatives):
+    """Whole tokens ``P1 + word + P2`` (P1, P2 without word characters). Words hold only word
+    characters, so they need no escaping inside the alternation."""
+    return F.concat(F.lit(f"(?<![^{WS}])([^{WORD}{WS}]*)(?:"), alternatives,
+                    F.lit(f")([^{WORD}{WS}]*)(?![^{WS}])"))
 
 
 def apply_mask(text, words, compat: bool = False):
     """Replace the given words in ``text`` (see module doc for the two modes)."""
     if compat:
         return F.aggregate(words, text, lambda acc, w: F.replace(acc, w, F.lit(NAME_MASK)))
-    return F.aggregate(
-        F.array_distinct(words), text,
-        lambda acc, w: F.regexp_replace(acc, _token_pattern(w), F.lit(f"$1{NAME_MASK}$2")),
-    )
+    return F.regexp_replace(text, _token_pattern(F.array_join(words, "|")), F.lit(f"$1{NAME_MASK}$2"))
 
 
 def mask_names(df: DataFrame, id_col: str, text_col: str, names: DataFrame, compat: bool = False,
-               out_col: str | None = None) -> DataFrame:
-    """Return ``df`` with names in ``text_col`` masked; other columns kept."""
+               out_col: str | None = None, partitioned: bool = False) -> DataFrame:
+    """Return ``df`` with names in ``text_col`` masked; other columns kept.
+
+    ``partitioned=True`` says ``df`` is already hash-partitioned by ``id_col``; otherwise it is
+    repartitioned once, so token work is spread over tasks and the join back is co-located.
+    """
     out_col = out_col or text_col
+    if not partitioned:
+        df = df.repartition(id_col)
     found = matched_words(df, id_col, text_col, names, compat)
     joined = df.join(found, id_col, "left")
     masked = F.when(F.col("words").isNull(), F.col(text_col)).otherwise(

@@ -119,3 +119,58 @@ def q_analyse_text(spark, d):
     return _docs(spark, d).select(
         F.col("id").alias("doc_id"), F.size(t).cast("bigint").alias("n_terms"),
         F.size(F.array_distinct(t)).cast("bigint").alias("n_distinct"), F.get(t, 0).alias("first_term"))
+
+
+# ---- vectors and retrieval ---------------------------------------------------------------------
+
+from parley.operators.hashvec import term_weights  # noqa: E402
+from parley.operators.knn import knn_topk  # noqa: E402
+from parley.plans import retrieval as rt  # noqa: E402
+from parley.sources.tables import vectors_from_embeddings  # noqa: E402
+
+
+def _speech(spark, d):
+    return rt.cleaned_speech(_turns(spark, d), _names(spark, d))
+
+
+def _index_docs(spark, d):
+    sp = _speech(spark, d)
+    return rt.build_docs(sp, rt.requests_from_speech(sp))
+
+
+@query
+def q_build_docs(spark, d):
+    return _index_docs(spark, d).select("doc_id", "persona", "category", "call_id", "original", "text")
+
+
+@query
+def q_hash_vectors(spark, d):
+    conv = read_table(spark, d, "conversations")
+    src = conv.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
+                      "text")
+    w = term_weights(src, "id", "text")
+    return w.select("id", F.col("bucket").cast("bigint").alias("bucket"), F.round("weight", 6).alias("weight"))
+
+
+@query
+def q_knn_topk(spark, d):
+    v = vectors_from_embeddings(read_table(spark, d, "embeddings"))
+    hits = knn_topk(v.where(F.col("persona") == CUSTOMER), v.where(F.col("persona") == AGENT),
+                    k=10, query_blocks=2, doc_blocks=4)
+    return hits.select("query_id", "doc_id", F.col("rank").cast("bigint").alias("rank"),
+                       F.round("score", 6).alias("score"))
+
+
+def _candidates(spark, d):
+    return rt.candidates(_index_docs(spark, d), query_blocks=2, doc_blocks=4)
+
+
+@query
+def q_candidates(spark, d):
+    return rt.export_candidates(_candidates(spark, d))
+
+
+@query
+def q_split_candidates(spark, d):
+    return rt.split_candidates(rt.export_candidates(_candidates(spark, d))).select(
+        "call_id", F.col("pos").cast("bigint").alias("pos"), "answer")

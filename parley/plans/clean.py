@@ -24,7 +24,7 @@ def clean_texts(df: DataFrame, id_col: str, text_col: str, names: DataFrame | No
         c = tx.strip_digits(c)
     t = t.select(id_col, c.alias("_c"))
     if names is not None:
-        t = mask_names(t, id_col, "_c", names, compat=compat)
+        t = mask_names(t, id_col, "_c", names, compat=compat, partitioned=True)
     return t.withColumnRenamed("_c", out_col)
 
 

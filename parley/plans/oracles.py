@@ -61,3 +61,93 @@ oracle("analyse_text", f"""
 SELECT doc_id, CAST(len(t) AS BIGINT) AS n_terms, CAST(len(list_distinct(t)) AS BIGINT) AS n_distinct,
        t[1] AS first_term
 FROM (SELECT doc_id, {K.terms('text')} AS t FROM documents)""")
+
+
+# ---- vectors and retrieval ---------------------------------------------------------------------
+
+def speech_docs_steps() -> list[tuple[str, str]]:
+    """CTEs ending in ``ix(doc_id, persona, category, call_id, original, text)``."""
+    nl = "chr(10)"
+    return [
+        ("t", TURNS),
+        ("sp", "SELECT role || ':' || CAST(call_id AS VARCHAR) AS id, call_id, role, "
+               "string_agg(text, ' ' ORDER BY start_s, end_s, text) AS text FROM t "
+               "WHERE text IS NOT NULL AND text <> '' GROUP BY call_id, role"),
+        ("src", "SELECT id, text FROM sp"),
+    ] + K.names_steps() + K.clean_steps("src", "nm") + [
+        ("ix", f"SELECT 'customer:' || CAST(sp.call_id AS VARCHAR) AS doc_id, 'customer' AS persona, "
+               f"'request' AS category, sp.call_id, {nl} || {nl} || '<transcription>' || {nl} || c.text || {nl} "
+               f"|| '</transcription>' AS original, c.text AS text FROM sp JOIN c_out c ON sp.id = c.id "
+               f"WHERE sp.role = 'customer' UNION ALL "
+               f"SELECT 'agent:' || CAST(sp.call_id AS VARCHAR), 'agent', NULL, sp.call_id, 'N/A', c.text "
+               f"FROM sp JOIN c_out c ON sp.id = c.id WHERE sp.role = 'agent'"),
+    ]
+
+
+def hash_steps(src: str, id_col: str, dims: int = 64, out: str = "hv") -> list[tuple[str, str]]:
+    return [
+        ("h_t", f"SELECT {id_col} AS hid, unnest({K.terms('text')}) AS term FROM {src}"),
+        ("h_tf", f"SELECT hid, ('0x' || substr(md5(term), 1, 8))::BIGINT % {dims} AS bucket, count(*) AS tf "
+                 f"FROM h_t GROUP BY ALL"),
+        ("h_n", f"SELECT count(*) AS n FROM {src}"),
+        ("h_df", "SELECT bucket, count(*) AS df FROM h_tf GROUP BY bucket"),
+        ("h_w", "SELECT hid, bucket, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM h_tf JOIN h_df USING (bucket) "
+                "CROSS JOIN h_n"),
+        (out, "SELECT hid, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY hid)) AS weight FROM h_w"),
+    ]
+
+
+def dense_steps(hv: str = "hv", dims: int = 64, out: str = "dv") -> list[tuple[str, str]]:
+    return [
+        (out, f"SELECT i.hid, list(coalesce(h.weight, 0.0) ORDER BY b.range) AS e FROM "
+              f"(SELECT DISTINCT hid FROM {hv}) i CROSS JOIN range({dims}) b "
+              f"LEFT JOIN {hv} h ON h.hid = i.hid AND h.bucket = b.range GROUP BY i.hid"),
+    ]
+
+
+def cosine(a: str, b: str) -> str:
+    return (f"list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * "
+            f"sqrt(list_dot_product({b}, {b}))) + 1")
+
+
+oracle("build_docs", K.with_ctes(speech_docs_steps(),
+                                 "SELECT doc_id, persona, category, call_id, original, text FROM ix"))
+
+oracle("hash_vectors", K.with_ctes(
+    [("cv", "SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS id, text FROM conversations")]
+    + hash_steps("cv", "id"),
+    "SELECT hid AS id, bucket, round(weight, 6) AS weight FROM hv"))
+
+oracle("knn_topk", f"""
+WITH v AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_dot_product(embedding, embedding) > 0),
+s AS (SELECT q.id AS query_id, d.id AS doc_id, {cosine('q.e', 'd.e')} AS score
+      FROM v q JOIN v d ON q.label % 2 = 1 AND d.label % 2 = 0)
+SELECT query_id, doc_id, rank, round(score, 6) AS score FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+WHERE rank <= 10""")
+
+
+def candidates_steps() -> list[tuple[str, str]]:
+    """CTEs ending in ``cand(call_id, request, n, max_score, answers_joined)``."""
+    return speech_docs_steps() + hash_steps("ix", "doc_id") + dense_steps() + [
+        ("qv", "SELECT ix.doc_id, dv.e FROM ix JOIN dv ON ix.doc_id = dv.hid WHERE ix.persona = 'customer'"),
+        ("av", "SELECT ix.doc_id, dv.e FROM ix JOIN dv ON ix.doc_id = dv.hid WHERE ix.persona = 'agent'"),
+        ("sc", f"SELECT qv.doc_id AS qid, av.doc_id AS did, {cosine('qv.e', 'av.e')} AS score FROM qv JOIN av ON true"),
+        ("top", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, did) AS rank "
+                "FROM sc) WHERE rank <= 10"),
+        ("agg", "SELECT qid, count(*) AS n, max(score) AS max_score, "
+                "string_agg(ix.text || '<sep>', '' ORDER BY rank) AS answers_joined "
+                "FROM top JOIN ix ON ix.doc_id = top.did GROUP BY qid"),
+        ("cand", "SELECT r.call_id, r.text AS request, coalesce(agg.n, 0) AS n, "
+                 "round(coalesce(agg.max_score, -1), 6) AS max_score, coalesce(agg.answers_joined, '') AS answers_joined "
+                 "FROM ix r LEFT JOIN agg ON agg.qid = r.doc_id WHERE r.persona = 'customer'"),
+    ]
+
+
+oracle("candidates", K.with_ctes(candidates_steps(), "SELECT * FROM cand"))
+
+oracle("split_candidates", K.with_ctes(
+    candidates_steps(),
+    "SELECT call_id, pos, answer FROM (SELECT call_id, unnest(p[1:len(p) - 1]) AS answer, "
+    "unnest(range(len(p) - 1)) AS pos FROM (SELECT call_id, string_split(answers_joined, '<sep>') AS p FROM cand))"))
