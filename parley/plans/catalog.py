@@ -174,3 +174,240 @@ def q_candidates(spark, d):
 def q_split_candidates(spark, d):
     return rt.split_candidates(rt.export_candidates(_candidates(spark, d))).select(
         "call_id", F.col("pos").cast("bigint").alias("pos"), "answer")
+
+
+# ---- model stages and the dataset -------------------------------------------------------------
+
+from parley.constants import INVALID  # noqa: E402
+from parley.operators import model_stage as ms  # noqa: E402
+from parley.plans import dataset as ds  # noqa: E402
+from parley.sources import files as fs  # noqa: E402
+from parley.sources import sinks as sk  # noqa: E402
+from parley.sources.tables import samples_from_events  # noqa: E402
+
+
+def _requests(spark, d):
+    return ds.restate_requests(rt.requests_from_speech(_speech(spark, d)))
+
+
+@query
+def q_build_requests(spark, d):
+    return _requests(spark, d).select("request_id", "call_id", "content")
+
+
+@query
+def q_build_messages(spark, d):
+    r = _requests(spark, d)
+    return r.select("request_id", "call_id", F.posexplode("messages").alias("pos", "m")).select(
+        "request_id", "call_id", F.col("pos").cast("bigint").alias("pos"), "m.role", "m.content")
+
+
+@query
+def q_refine_requests(spark, d):
+    return ds.refine_requests(_candidates(spark, d)).select(
+        "request_id", "call_id", F.col("rank").cast("bigint").alias("rank"), "content")
+
+
+@query
+def q_merge_responses(spark, d):
+    reqs = _requests(spark, d)
+    resp = ms.call_model(reqs, ms.stub_model, concurrency=4)
+    return ms.merge_responses(reqs, resp, ["call_id"])
+
+
+def _numbered(cands):
+    return cands.select("call_id", "request", ds.number_answers(
+        F.transform(F.slice("answers", 1, 3), lambda a: a["text"])).alias("numbered"))
+
+
+@query
+def q_number_answers(spark, d):
+    return _numbered(_candidates(spark, d)).select("call_id", "numbered")
+
+
+@query
+def q_pick_instruction(spark, d):
+    return rt.requests_from_speech(_speech(spark, d)).select("call_id", ds.pick_instruction("call_id").alias("instruction"))
+
+
+def _pairs(spark, d):
+    merged = _numbered(_candidates(spark, d)).withColumnRenamed("numbered", "answer")
+    return ds.to_pairs(merged)
+
+
+@query
+def q_pairs(spark, d):
+    return ds.write_stage(spark, _pairs(spark, d), "pairs")
+
+
+@query
+def q_sample_pairs(spark, d):
+    return ds.sample_rows(_pairs(spark, d), "call_id", 10)
+
+
+def _verdict_text():
+    return (F.when((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit(f"This request is {INVALID}."))
+            .when(F.col("quality") == 0, F.lit(INVALID))
+            .when(F.col("toxic") == 1, F.lit("0")).otherwise(F.lit("1")))
+
+
+@query
+def q_classify_verdict(spark, d):
+    lab = read_table(spark, d, "labels")
+    return lab.select("doc_id", ms.classify_verdict(_verdict_text()).alias("verdict"))
+
+
+@query
+def q_invalid_rate(spark, d):
+    lab = read_table(spark, d, "labels")
+    total = lab.select(F.count(F.lit(1))).scalar()
+    v = F.when(F.col("quality").eqNullSafe(F.lit(0)), F.lit(INVALID)).otherwise(F.lit("VALID"))
+    return lab.groupBy(v.alias("verdict")).agg(F.count(F.lit(1)).alias("n")).select(
+        "verdict", "n", F.round(F.col("n") * 100.0 / total, 2).alias("pct"))
+
+
+@query
+def q_pending_rows(spark, d):
+    stage = read_table(spark, d, "documents").select("doc_id").join(
+        read_table(spark, d, "labels").select("doc_id", F.col("quality").alias("result")), "doc_id", "left")
+    return stage.where(F.col("result").isNull()).select("doc_id")
+
+
+@query
+def q_resume_anti(spark, d):
+    return read_table(spark, d, "documents").select("doc_id").join(
+        read_table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
+
+
+def _attempts(spark, d):
+    s = samples_from_events(read_table(spark, d, "events"))
+    status = (F.when(F.col("event_type") == "error", F.lit("too_large"))
+              .when(F.col("event_type") == "signup", F.lit("rate_limited")).otherwise(F.lit("ok")))
+    return ms.attempts_with_model(s.select(F.col("call_id").alias("request_id"),
+                                           (F.col("t") + 1).cast("bigint").alias("attempt"), status.alias("status")))
+
+
+@query
+def q_latest_attempt(spark, d):
+    return ms.latest_attempt(_attempts(spark, d)).select("request_id", "attempt", "model", "status")
+
+
+@query
+def q_next_attempts(spark, d):
+    return ms.next_attempts(ms.latest_attempt(_attempts(spark, d)))
+
+
+@query
+def q_usage_cost(spark, d):
+    li = read_table(spark, d, "lineitem")
+    q = F.floor("l_quantity").cast("bigint")
+    usage = li.select(
+        F.when(F.col("l_returnflag") == "A", F.lit("embed")).when(F.col("l_returnflag") == "N", F.lit("restate"))
+        .otherwise(F.lit("combine")).alias("stage"),
+        F.when(F.col("l_linestatus") == "O", F.lit("base")).otherwise(F.lit("large")).alias("model"),
+        F.when(F.col("l_returnflag") == "A", F.lit("embed")).otherwise(F.lit("chat")).alias("kind"),
+        (q * 100 + F.col("l_linenumber")).alias("tokens_in"),
+        F.when(F.col("l_returnflag") == "A", F.lit(0).cast("bigint")).otherwise(q * 10).alias("tokens_out"),
+    )
+    return ms.usage_cost(usage, ms.price_table(spark))
+
+
+@query
+def q_embed_stage(spark, d):
+    sp = _speech(spark, d).select(F.concat_ws(":", "role", F.col("call_id").cast("string")).alias("id"), "clean")
+    e = ms.embed_stage(sp, "id", "clean", ms.stub_embedder(16))
+    return e.select("id", F.size("embed").cast("bigint").alias("dims"), "tokens")
+
+
+@query
+def q_compare_runs(spark, d):
+    lab = read_table(spark, d, "labels")
+    runs = [
+        lab.select("doc_id", F.when(F.col("quality") == 0, F.lit(INVALID)).otherwise(F.lit("VALID")).alias("run1")),
+        lab.select("doc_id", F.when(F.col("toxic") == 1, F.lit(INVALID)).otherwise(F.lit("VALID")).alias("run2")),
+        lab.select("doc_id", F.when((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit(INVALID))
+                   .otherwise(F.lit("VALID")).alias("run3")),
+    ]
+    out = read_table(spark, d, "documents").select("doc_id")
+    for r in runs:
+        out = out.join(r, "doc_id", "left")
+    same = F.col("run1").eqNullSafe(F.col("run2")) & F.col("run2").eqNullSafe(F.col("run3"))
+    return out.withColumn("differs", ~same)
+
+
+@query
+def q_profile(spark, d):
+    o = read_table(spark, d, "orders")
+    cols = o.columns
+    one = o.agg(*[F.count(c).alias(c) for c in cols], F.count(F.lit(1)).alias("n"))
+    return one.unpivot("n", cols, "column", "non_null").select("column", "non_null", "n")
+
+
+@query
+def q_stage_counts(spark, d):
+    j = read_table(spark, d, "documents").select("doc_id").join(
+        read_table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    one = j.agg(F.count(F.lit(1)).alias("t1"), F.count("quality").alias("d1"),
+                F.count("quality").alias("t2"), F.count_if(F.col("quality") == 1).alias("d2"))
+    st = one.selectExpr("stack(2, 'verdict', t1, d1, 'valid', t2, d2) AS (stage, total, done)")
+    return st.withColumn("remaining", F.col("total") - F.col("done"))
+
+
+@query
+def q_dedupe_inputs(spark, d):
+    docs = read_table(spark, d, "documents")
+    return docs.groupBy(F.sha2("text", 256).alias("_k")).agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies")).select("doc_id", "n_copies")
+
+
+@query
+def q_key_normalise(spark, d):
+    p = read_table(spark, d, "pages")
+    b = sk.base_name("url")
+    return p.select("page_id", b.alias("base_name"), sk.normalise_key(b).alias("key"))
+
+
+@query
+def q_strict_docs(spark, d):
+    ev = read_table(spark, d, "events").select("event_id", "props")
+    return sk.strict_check(ev, "props", allowed=["k"], required=["k"]).select("event_id", "unknown_keys", "ok")
+
+
+@query
+def q_bad_inputs(spark, d):
+    docs = read_table(spark, d, "documents").select(
+        F.lit("documents").alias("source"), F.col("doc_id").alias("id"), sk.text_problem("text").alias("problem"))
+    emb = read_table(spark, d, "embeddings").select(
+        F.lit("embeddings").alias("source"), F.col("vec_id").alias("id"), sk.vector_problem("embedding", 64).alias("problem"))
+    return docs.unionByName(emb).where(F.col("problem").isNotNull())
+
+
+@query
+def q_chunks_to_turns(spark, d):
+    t = _turns(spark, d).withColumn("blk", F.floor(F.col("start_s") / 32).cast("bigint"))
+    lists = t.groupBy("call_id", "blk").agg(F.array_sort(F.collect_list(F.struct("start_s", "text"))).alias("c"))
+    n = F.size("c")
+    chunks = F.transform("c", lambda x, i: F.struct(
+        F.array(x["start_s"], F.when(i == n - 1, F.lit(None)).otherwise(x["start_s"] + 1)).alias("timestamp"),
+        x["text"].alias("text")))
+    src = lists.select("call_id", "blk", F.to_json(chunks).alias("stt"))
+    return fs.chunks_to_turns(src, "stt", ["call_id", "blk"])
+
+
+@query
+def q_manifest(spark, d):
+    return fs.manifest(spark, d, glob="*.parquet").select("path", "length")
+
+
+@query
+def q_incremental_ingest(spark, d):
+    from parley.schemas import TABLE_SCHEMAS
+    from parley.session import scratch_path
+    from parley.streaming.ingest import ingest_available
+
+    def transform(df):
+        return turns_from_conversations(df).select("call_id", "start_s", "role", "text")
+
+    return ingest_available(spark, d, "conversations.parquet", TABLE_SCHEMAS["conversations"], transform,
+                            ["call_id", "start_s", "role"], scratch_path(spark, "ingest-sink"),
+                            scratch_path(spark, "ingest-ckpt"))

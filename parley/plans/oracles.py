@@ -151,3 +151,162 @@ oracle("split_candidates", K.with_ctes(
     candidates_steps(),
     "SELECT call_id, pos, answer FROM (SELECT call_id, unnest(p[1:len(p) - 1]) AS answer, "
     "unnest(range(len(p) - 1)) AS pos FROM (SELECT call_id, string_split(answers_joined, '<sep>') AS p FROM cand))"))
+
+
+# ---- model stages and the dataset -------------------------------------------------------------
+
+from parley.constants import INSTRUCTION_SEED, INSTRUCTIONS, PROMPT_REFINE, PROMPT_RESTATE  # noqa: E402
+
+NL = "chr(10)"
+
+
+def req_key(prompt: str, content: str) -> str:
+    return f"sha256({K.lit(prompt)} || {NL} || {NL} || {content})"
+
+
+REQ = speech_docs_steps() + [
+    ("rq", f"SELECT {req_key(PROMPT_RESTATE, 'original')} AS request_id, call_id, original AS content "
+           f"FROM ix WHERE persona = 'customer'"),
+]
+
+oracle("build_requests", K.with_ctes(REQ, "SELECT request_id, call_id, content FROM rq"))
+
+oracle("build_messages", K.with_ctes(
+    REQ, f"SELECT request_id, call_id, 0 AS pos, 'system' AS role, {K.lit(PROMPT_RESTATE)} AS content FROM rq "
+         f"UNION ALL SELECT request_id, call_id, 1, 'user', content FROM rq"))
+
+oracle("merge_responses", K.with_ctes(
+    REQ, "SELECT call_id, request_id, CASE WHEN md5(content) LIKE '0%' THEN 'NOT YET' "
+         "ELSE 'ok:' || substr(md5(content), 1, 12) END AS answer, "
+         "CASE WHEN md5(content) LIKE '0%' THEN 'pending' ELSE 'done' END AS status FROM rq"))
+
+_REF = (f"'<dem>' || r.text || '</dem>' || {NL} || '<res>' || a.text || '</res>'")
+oracle("refine_requests", K.with_ctes(
+    candidates_steps(),
+    f"SELECT {req_key(PROMPT_REFINE, 'content')} AS request_id, call_id, rank, content FROM "
+    f"(SELECT r.call_id, top.rank, {_REF} AS content FROM top JOIN ix r ON r.doc_id = top.qid "
+    f"JOIN ix a ON a.doc_id = top.did WHERE top.rank <= 3)"))
+
+NUMBERED = candidates_steps() + [
+    ("nb", f"SELECT qid, string_agg(CAST(top.rank AS VARCHAR) || ') ' || ix.text, {NL} ORDER BY top.rank) AS numbered "
+           f"FROM top JOIN ix ON ix.doc_id = top.did WHERE top.rank <= 3 GROUP BY qid"),
+    ("nbr", "SELECT r.call_id, r.text AS request, coalesce(nb.numbered, '') AS numbered FROM ix r "
+            "LEFT JOIN nb ON nb.qid = r.doc_id WHERE r.persona = 'customer'"),
+]
+
+oracle("number_answers", K.with_ctes(NUMBERED, "SELECT call_id, numbered FROM nbr"))
+
+
+def pick(key: str) -> str:
+    arr = "[" + ", ".join(K.lit(t) for t in INSTRUCTIONS) + "]"
+    h = f"('0x' || substr(md5({K.lit(INSTRUCTION_SEED + ':')} || CAST({key} AS VARCHAR)), 1, 8))::BIGINT"
+    return f"list_extract({arr}, ({h} % {len(INSTRUCTIONS)}) + 1)"
+
+
+oracle("pick_instruction", K.with_ctes(speech_docs_steps(),
+                                       f"SELECT call_id, {pick('call_id')} AS instruction FROM ix WHERE persona = 'customer'"))
+
+PAIRS = f"SELECT call_id, {pick('call_id')} AS instruction, request, numbered AS answer FROM nbr"
+oracle("pairs", K.with_ctes(NUMBERED, PAIRS))
+oracle("sample_pairs", K.with_ctes(
+    NUMBERED, f"SELECT * FROM ({PAIRS}) ORDER BY md5({K.lit(INSTRUCTION_SEED + ':')} || CAST(call_id AS VARCHAR)), "
+              f"call_id LIMIT 10"))
+
+VERDICT_TEXT = ("CASE WHEN quality = 0 AND toxic = 1 THEN 'This request is INVALID.' WHEN quality = 0 THEN 'INVALID' "
+                "WHEN toxic = 1 THEN '0' ELSE '1' END")
+oracle("classify_verdict", f"""
+SELECT doc_id, CASE WHEN t IS NULL THEN NULL
+  WHEN regexp_matches(upper(trim(t)), '(^|[^A-Z])INVALID([^A-Z]|$)') THEN 'invalid'
+  WHEN upper(trim(t)) = '1' THEN 'useful' WHEN upper(trim(t)) = '0' THEN 'not_useful'
+  WHEN contains(upper(trim(t)), 'NOT USEFUL') THEN 'not_useful' WHEN contains(upper(trim(t)), 'USEFUL') THEN 'useful'
+  ELSE 'unknown' END AS verdict
+FROM (SELECT doc_id, {VERDICT_TEXT} AS t FROM labels)""")
+
+oracle("invalid_rate", """
+SELECT verdict, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM labels), 2) AS pct
+FROM (SELECT CASE WHEN quality IS NOT DISTINCT FROM 0 THEN 'INVALID' ELSE 'VALID' END AS verdict FROM labels)
+GROUP BY verdict""")
+
+oracle("pending_rows", "SELECT d.doc_id FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NULL")
+oracle("resume_anti", "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+
+ATTEMPTS = """
+a AS (SELECT user_id AS request_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt,
+             CASE event_type WHEN 'error' THEN 'too_large' WHEN 'signup' THEN 'rate_limited' ELSE 'ok' END AS status
+      FROM events),
+m AS (SELECT *, CASE WHEN coalesce(sum(CASE WHEN status = 'too_large' THEN 1 ELSE 0 END) OVER (PARTITION BY request_id
+             ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > 0 THEN 'large' ELSE 'base' END AS model
+      FROM a),
+l AS (SELECT request_id, attempt, model, status,
+             count(*) FILTER (WHERE status = 'too_large') OVER (PARTITION BY request_id) AS n_big,
+             max(attempt) OVER (PARTITION BY request_id) AS last FROM m)"""
+
+oracle("latest_attempt", f"WITH {ATTEMPTS} SELECT request_id, attempt, model, status FROM l WHERE attempt = last")
+oracle("next_attempts", f"""WITH {ATTEMPTS}
+SELECT request_id,
+  CASE WHEN status = 'too_large' AND n_big >= 2 THEN attempt ELSE attempt + 1 END AS attempt,
+  CASE WHEN status = 'too_large' AND n_big >= 2 THEN model WHEN status = 'too_large' THEN 'large' ELSE model END AS model,
+  CASE WHEN status = 'too_large' AND n_big >= 2 THEN 'BIG ERROR' ELSE 'retry' END AS status
+FROM l WHERE attempt = last AND status IN ('too_large', 'rate_limited')""")
+
+oracle("usage_cost", """
+WITH p(kind, nano_in, nano_out) AS (VALUES ('embed', 100, 0), ('chat', 1500, 2000)),
+u AS (SELECT CASE l_returnflag WHEN 'A' THEN 'embed' WHEN 'N' THEN 'restate' ELSE 'combine' END AS stage,
+             CASE l_linestatus WHEN 'O' THEN 'base' ELSE 'large' END AS model,
+             CASE WHEN l_returnflag = 'A' THEN 'embed' ELSE 'chat' END AS kind,
+             CAST(floor(l_quantity) AS BIGINT) * 100 + l_linenumber AS tokens_in,
+             CASE WHEN l_returnflag = 'A' THEN 0 ELSE CAST(floor(l_quantity) AS BIGINT) * 10 END AS tokens_out
+      FROM lineitem)
+SELECT stage, model, CAST(sum(tokens_in) AS BIGINT) AS tokens_in, CAST(sum(tokens_out) AS BIGINT) AS tokens_out,
+       round(CAST(sum(tokens_in * nano_in + tokens_out * nano_out) AS DOUBLE) / 1e9, 6) AS cost
+FROM u JOIN p USING (kind) GROUP BY ROLLUP (stage, model)""")
+
+oracle("compare_runs", """
+SELECT d.doc_id, r1.run1, r2.run2, r3.run3,
+       NOT (r1.run1 IS NOT DISTINCT FROM r2.run2 AND r2.run2 IS NOT DISTINCT FROM r3.run3) AS differs
+FROM documents d
+LEFT JOIN (SELECT doc_id, CASE WHEN quality = 0 THEN 'INVALID' ELSE 'VALID' END AS run1 FROM labels) r1 ON d.doc_id = r1.doc_id
+LEFT JOIN (SELECT doc_id, CASE WHEN toxic = 1 THEN 'INVALID' ELSE 'VALID' END AS run2 FROM labels) r2 ON d.doc_id = r2.doc_id
+LEFT JOIN (SELECT doc_id, CASE WHEN quality = 0 AND toxic = 1 THEN 'INVALID' ELSE 'VALID' END AS run3 FROM labels) r3
+  ON d.doc_id = r3.doc_id""")
+
+oracle("profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS non_null, count(*) AS n FROM orders"
+    for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]))
+
+oracle("stage_counts", """
+WITH j AS (SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT 'verdict' AS stage, count(*) AS total, count(quality) AS done, count(*) - count(quality) AS remaining FROM j
+UNION ALL
+SELECT 'valid', count(quality), count(*) FILTER (WHERE quality = 1),
+       count(quality) - count(*) FILTER (WHERE quality = 1) FROM j""")
+
+oracle("dedupe_inputs", "SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY text")
+
+oracle("key_normalise", """
+SELECT page_id, base_name,
+       regexp_replace(regexp_replace(regexp_replace(base_name, '^features_', ''), '\\.csv$', ''), '\\.opus$', '.mp3') AS key
+FROM (SELECT page_id, string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1] AS base_name FROM pages)""")
+
+oracle("strict_docs", """
+SELECT event_id, array_to_string(list_sort(list_filter(k, lambda x: x NOT IN ('k'))), ',') AS unknown_keys,
+       coalesce(k IS NOT NULL AND len(list_filter(k, lambda x: x NOT IN ('k'))) = 0 AND list_contains(k, 'k'), false) AS ok
+FROM (SELECT event_id, CASE WHEN json_valid(props) THEN json_keys(props) END AS k FROM events)""")
+
+oracle("bad_inputs", f"""
+SELECT 'documents' AS source, doc_id AS id,
+       CASE WHEN text IS NULL THEN 'null_text' ELSE 'empty_text' END AS problem
+FROM documents WHERE text IS NULL OR regexp_full_match(text, {K.lit('[' + K.WS + ']*')})
+UNION ALL
+SELECT 'embeddings', vec_id, CASE WHEN embedding IS NULL THEN 'null_vector' WHEN len(embedding) <> 64 THEN 'bad_dims'
+       ELSE 'zero_vector' END
+FROM embeddings WHERE embedding IS NULL OR len(embedding) <> 64 OR list_bool_and(list_transform(embedding, lambda x: x = 0))""")
+
+oracle("chunks_to_turns", f"""
+SELECT call_id, blk, seq, start_s, CASE WHEN seq = n - 1 THEN NULL ELSE start_s + 1 END AS end_s, text
+FROM (SELECT call_id, CAST(floor(start_s / 32) AS BIGINT) AS blk, start_s, text,
+             row_number() OVER (PARTITION BY call_id, floor(start_s / 32) ORDER BY start_s, text) - 1 AS seq,
+             count(*) OVER (PARTITION BY call_id, floor(start_s / 32)) AS n
+      FROM ({TURNS}))""")
+
+oracle("incremental_ingest", f"SELECT call_id, start_s, role, text FROM ({TURNS})")
