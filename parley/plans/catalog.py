@@ -411,3 +411,120 @@ def q_incremental_ingest(spark, d):
     return ingest_available(spark, d, "conversations.parquet", TABLE_SCHEMAS["conversations"], transform,
                             ["call_id", "start_s", "role"], scratch_path(spark, "ingest-sink"),
                             scratch_path(spark, "ingest-ckpt"))
+
+
+# ---- segments, spectra and signals -------------------------------------------------------------
+
+from parley.functions import signal as sg  # noqa: E402
+from parley.operators import segments as seg  # noqa: E402
+
+
+def _framed(spark, d):
+    return seg.frame_samples(samples_from_events(read_table(spark, d, "events")).select("call_id", "t", "value", "event_type"))
+
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+@query
+def q_segment_features(spark, d):
+    st = seg.segment_stats(_framed(spark, d))
+    return st.select("call_id", "seg", *[_r6(c).alias(c) for c in ("mean", "sd", "median", "max", "min")], "n")
+
+
+def _frame_cents(spark, d):
+    return _framed(spark, d).groupBy("call_id", "seg").agg(F.round(F.sum("value") * 100).cast("bigint").alias("v"))
+
+
+@query
+def q_two_means_1d(spark, d):
+    return seg.two_means_1d(_frame_cents(spark, d), "call_id", "seg", "v").select(
+        "call_id", "seg", F.col("label").cast("bigint").alias("label"))
+
+
+def _click_changes(spark, d):
+    lab = _framed(spark, d).groupBy("call_id", "seg").agg(
+        F.max((F.col("event_type") == "click").cast("int")).alias("label"))
+    return seg.change_point(lab)
+
+
+@query
+def q_change_point(spark, d):
+    return _click_changes(spark, d)
+
+
+@query
+def q_ivr_removal(spark, d):
+    framed = _framed(spark, d)
+    labels = seg.two_means_1d(_frame_cents(spark, d), "call_id", "seg", "v")
+    cp = seg.change_point(labels)
+    st = seg.segment_stats(framed).withColumn("t0", F.col("seg") * 5)
+    kept = seg.cut_before(st, cp, "call_id", "t0")
+    return kept.select("call_id", "seg", _r6("mean").alias("value"))
+
+
+@query
+def q_cut_ivr(spark, d):
+    s = samples_from_events(read_table(spark, d, "events")).select("call_id", "t", "value")
+    return seg.cut_before(s, _click_changes(spark, d), "call_id", "t").select(
+        "call_id", F.col("t").cast("bigint").alias("t"), "value")
+
+
+@query
+def q_gap_turns(spark, d):
+    ev = read_table(spark, d, "events").select("event_id", F.col("user_id").alias("call_id"), "ts")
+    g = tn.gap_turns(ev, "call_id", "ts", min_silence_s=6 * 3600, min_speech_s=0.0, pad_s=0.4)
+    return g.select("call_id", F.col("turn").cast("bigint").alias("turn"), "start_us", "end_us", "n")
+
+
+def _spectra(spark, d):
+    e = read_table(spark, d, "embeddings")
+    return e.select(F.col("label").cast("bigint").alias("call_id"), F.col("vec_id").alias("seg"),
+                    F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("mag"))
+
+
+@query
+def q_spectral_summary(spark, d):
+    fr = _spectra(spark, d).select("call_id", "seg", sg.centroid("mag").alias("c"), sg.flatness("mag").alias("f"),
+                                   sg.rolloff("mag", 0.99).alias("r99"), sg.rolloff("mag", 0.01).alias("r01"))
+    aggs = []
+    for col, name, stats in (("c", "centroid", ("mean", "sd", "median", "max", "min")),
+                             ("f", "sfm", ("mean", "median", "sd")),
+                             ("r99", "rolloff_099", ("mean", "median", "sd", "min", "max")),
+                             ("r01", "rolloff_001", ("mean", "median", "sd", "min", "max"))):
+        fn = {"mean": F.avg, "sd": F.stddev_pop, "median": F.median, "max": F.max, "min": F.min}
+        aggs += [_r6(fn[s](F.col(col).cast("double"))).alias(f"{s}_{name}") for s in stats]
+    return fr.groupBy("call_id").agg(*aggs)
+
+
+@query
+def q_two_means(spark, d):
+    e = read_table(spark, d, "embeddings")
+    feats = [f"f{i}" for i in range(18)]
+    x = e.select(F.col("label").cast("bigint").alias("call_id"), F.col("vec_id").alias("seg"),
+                 *[F.get("embedding", i).cast("double").alias(f) for i, f in enumerate(feats)])
+    return seg.two_means(x, "call_id", "seg", feats)
+
+
+def _signal_parts(spark, d, parts):
+    e = read_table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("s"))
+    p = e.select("id", F.posexplode(parts).alias("part", "x"))
+    return p.select("id", F.col("part").cast("bigint").alias("part"), F.size("x").cast("bigint").alias("n"),
+                    _r6(F.aggregate("x", F.lit(0.0).cast("double"), lambda a, v: a + v)).alias("sum"))
+
+
+@query
+def q_frame_signal(spark, d):
+    return _signal_parts(spark, d, sg.frames("s", 5))
+
+
+@query
+def q_chunk_signal(spark, d):
+    return _signal_parts(spark, d, sg.blocks("s", 5))
+
+
+@query
+def q_split_channels(spark, d):
+    return _signal_parts(spark, d, F.array(sg.channel("s", 0), sg.channel("s", 1)))

@@ -310,3 +310,101 @@ FROM (SELECT call_id, CAST(floor(start_s / 32) AS BIGINT) AS blk, start_s, text,
       FROM ({TURNS}))""")
 
 oracle("incremental_ingest", f"SELECT call_id, start_s, role, text FROM ({TURNS})")
+
+
+# ---- segments, spectra and signals -------------------------------------------------------------
+
+FRAMED = """
+s AS (SELECT user_id AS call_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS t,
+             value, event_type FROM events),
+f AS (SELECT *, t // 5 AS seg FROM s),
+fullf AS (SELECT call_id, seg FROM f GROUP BY call_id, seg HAVING count(*) = 5),
+ff AS (SELECT f.* FROM f SEMI JOIN fullf ON f.call_id = fullf.call_id AND f.seg = fullf.seg),
+st AS (SELECT call_id, seg, avg(value) AS mean, stddev_pop(value) AS sd, median(value) AS median,
+              max(value) AS max, min(value) AS min, count(*) AS n FROM ff GROUP BY call_id, seg)"""
+
+oracle("segment_features", f"""WITH {FRAMED}
+SELECT call_id, seg, round(mean, 6) AS mean, round(sd, 6) AS sd, round(median, 6) AS median,
+       round(max, 6) AS max, round(min, 6) AS min, n FROM st""")
+
+TWO_MEANS = """
+fr AS (SELECT call_id, seg, CAST(round(sum(value) * 100) AS BIGINT) AS v FROM ff GROUP BY call_id, seg),
+w AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY v, seg) AS k,
+             sum(v) OVER (PARTITION BY call_id ORDER BY v, seg ROWS UNBOUNDED PRECEDING) AS cum,
+             count(*) OVER (PARTITION BY call_id) AS n, sum(v) OVER (PARTITION BY call_id) AS tot,
+             lead(v) OVER (PARTITION BY call_id ORDER BY v, seg) AS nxt FROM fr),
+c AS (SELECT *, CASE WHEN k < n AND nxt > v THEN CAST(cum * cum AS DOUBLE) / k
+                     + CAST((tot - cum) * (tot - cum) AS DOUBLE) / (n - k) END AS score FROM w),
+b AS (SELECT call_id, min(k) AS best FROM (SELECT *, max(score) OVER (PARTITION BY call_id) AS ms FROM c)
+      WHERE score = ms GROUP BY call_id),
+tm AS (SELECT c.call_id, c.seg, CAST(CASE WHEN b.best IS NOT NULL AND c.k > b.best THEN 1 ELSE 0 END AS BIGINT) AS label
+       FROM c LEFT JOIN b ON c.call_id = b.call_id)"""
+
+oracle("two_means_1d", f"WITH {FRAMED}, {TWO_MEANS} SELECT call_id, seg, label FROM tm")
+
+
+def change_sql(labels: str, out: str) -> str:
+    return f"""
+{out}_p AS (SELECT *, row_number() OVER w - 1 AS i, lead(label, 1) OVER w AS l1, lead(label, 2) OVER w AS l2,
+             lead(label, 3) OVER w AS l3 FROM {labels} WINDOW w AS (PARTITION BY call_id ORDER BY seg)),
+{out}_s AS (SELECT *, 100 * abs(label + l1 - l2 - l3) - i AS score FROM {out}_p),
+{out}_b AS (SELECT call_id, count(*) AS n, max(score) AS ms FROM {out}_s GROUP BY call_id),
+{out}_i AS (SELECT s.call_id, min(s.i) AS bi FROM {out}_s s JOIN {out}_b b ON s.call_id = b.call_id
+            WHERE s.score = b.ms GROUP BY s.call_id),
+{out} AS (SELECT b.call_id, CAST(CASE WHEN n < 4 THEN NULL ELSE bi + 2 END AS BIGINT) AS change_seg,
+          CAST(CASE WHEN n < 4 THEN 0 ELSE (bi + 2) * 5 END AS BIGINT) AS start_s, n < 4 AS too_short
+          FROM {out}_b b LEFT JOIN {out}_i i ON b.call_id = i.call_id)"""
+
+
+CLICKS = "cl AS (SELECT call_id, seg, max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS label FROM ff GROUP BY call_id, seg)"
+
+oracle("change_point", f"WITH {FRAMED}, {CLICKS}, {change_sql('cl', 'cp')} SELECT * FROM cp")
+
+oracle("ivr_removal", f"""WITH {FRAMED}, {TWO_MEANS}, {change_sql('tm', 'cp')}
+SELECT st.call_id, st.seg, round(st.mean, 6) AS value FROM st LEFT JOIN cp ON st.call_id = cp.call_id
+WHERE cp.start_s IS NULL OR st.seg * 5 >= cp.start_s""")
+
+oracle("cut_ivr", f"""WITH {FRAMED}, {CLICKS}, {change_sql('cl', 'cp')}
+SELECT s.call_id, s.t, s.value FROM s LEFT JOIN cp ON s.call_id = cp.call_id
+WHERE cp.start_s IS NULL OR s.t >= cp.start_s""")
+
+oracle("gap_turns", """
+WITH g AS (SELECT user_id AS call_id, epoch_us(ts) AS t, event_id FROM events),
+h AS (SELECT *, CASE WHEN lag(t) OVER w IS NULL OR t - lag(t) OVER w > 21600000000 THEN 1 ELSE 0 END AS nw
+      FROM g WINDOW w AS (PARTITION BY call_id ORDER BY t, event_id)),
+i AS (SELECT *, sum(nw) OVER (PARTITION BY call_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) - 1 AS turn FROM h)
+SELECT call_id, CAST(turn AS BIGINT) AS turn, min(t) - 400000 AS start_us, max(t) + 400000 AS end_us, count(*) AS n
+FROM i GROUP BY call_id, turn HAVING max(t) - min(t) >= 0""")
+
+_SPEC_AGGS = []
+for _col, _name, _stats in (("c", "centroid", ("mean", "sd", "median", "max", "min")),
+                            ("f", "sfm", ("mean", "median", "sd")),
+                            ("r99", "rolloff_099", ("mean", "median", "sd", "min", "max")),
+                            ("r01", "rolloff_001", ("mean", "median", "sd", "min", "max"))):
+    _fn = {"mean": "avg", "sd": "stddev_pop", "median": "median", "max": "max", "min": "min"}
+    _SPEC_AGGS += [f"round({_fn[s]}(CAST({_col} AS DOUBLE)), 6) AS {s}_{_name}" for s in _stats]
+
+oracle("spectral_summary", f"""
+WITH b AS (SELECT CAST(label AS BIGINT) AS call_id, vec_id AS seg, unnest(range(len(embedding))) AS i,
+                  abs(CAST(unnest(embedding) AS DOUBLE)) AS m FROM embeddings),
+cu AS (SELECT *, sum(m) OVER (PARTITION BY seg ORDER BY i ROWS UNBOUNDED PRECEDING) AS cum,
+              sum(m) OVER (PARTITION BY seg) AS tot FROM b),
+fr AS (SELECT call_id, seg, CASE WHEN sum(m) > 0 THEN sum(i * m) / sum(m) END AS c,
+              exp(avg(ln(greatest(m * m, 1e-10)))) / avg(greatest(m * m, 1e-10)) AS f,
+              CASE WHEN max(tot) > 0 THEN min(i) FILTER (WHERE cum >= 0.99 * tot) END AS r99,
+              CASE WHEN max(tot) > 0 THEN min(i) FILTER (WHERE cum >= 0.01 * tot) END AS r01
+       FROM cu GROUP BY call_id, seg)
+SELECT call_id, {', '.join(_SPEC_AGGS)} FROM fr GROUP BY call_id""")
+
+_E = "SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings"
+oracle("frame_signal", f"""
+SELECT id, part, CAST(len(x) AS BIGINT) AS n, round(list_sum(x), 6) AS sum FROM
+  (SELECT id, part, e[part * 5 + 1 : part * 5 + 5] AS x FROM (SELECT id, e, unnest(range(len(e) // 5)) AS part FROM ({_E})))""")
+oracle("chunk_signal", f"""
+SELECT id, part, CAST(len(x) AS BIGINT) AS n, round(list_sum(x), 6) AS sum FROM
+  (SELECT id, part, e[part * 5 + 1 : least(part * 5 + 5, len(e))] AS x FROM
+    (SELECT id, e, unnest(range(CAST(ceil(len(e) / 5) AS BIGINT))) AS part FROM ({_E})))""")
+oracle("split_channels", f"""
+SELECT id, part, CAST(len(x) AS BIGINT) AS n, round(list_sum(x), 6) AS sum FROM
+  (SELECT id, 0 AS part, list_transform(range(0, len(e), 2), lambda i: e[i + 1]) AS x FROM ({_E})
+   UNION ALL SELECT id, 1, list_transform(range(1, len(e), 2), lambda i: e[i + 1]) FROM ({_E}))""")
