@@ -12,7 +12,8 @@ Plan: tokens are exploded map-side, matched by two broadcast hash joins against
 dictionary (one per key; a single join with OR degrades to a nested loop), gathered per id and
 joined back to the texts on id. When the input is already hash-partitioned by id (the
 cleaning chain), the gather and the join back add no shuffle. The dictionary is capped at
-``per_list`` names per list, so its broadcast size is bounded.
+``per_list`` names per list (TOP-3), so its broadcast size is bounded. (Matching inside the
+row against a literal set was measured 2.4x slower: higher-order functions are interpreted.)
 """
 
 from __future__ import annotations

@@ -17,6 +17,7 @@ from parley.operators import turns as tn
 from parley.operators.names import load_names, mask_names, names_from_items
 from parley.operators.repeats import filter_repeats
 from parley.plans.clean import clean_audit, clean_texts
+from parley.session import materialise
 from parley.sources.tables import read_table, turns_from_conversations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,7 +163,8 @@ def q_knn_topk(spark, d):
 
 
 def _candidates(spark, d):
-    return rt.candidates(_index_docs(spark, d), query_blocks=2, doc_blocks=4)
+    # the index is read several times (vectors, idf, queries, documents, texts): materialise once
+    return rt.candidates(materialise(_index_docs(spark, d)), query_blocks=2, doc_blocks=4)
 
 
 @query

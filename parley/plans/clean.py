@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from parley.functions import text as tx
 from parley.operators.names import mask_names
 from parley.operators.repeats import filter_repeats
+from parley.session import materialise
 
 
 def clean_texts(df: DataFrame, id_col: str, text_col: str, names: DataFrame | None, compat: bool = False,
@@ -24,6 +25,8 @@ def clean_texts(df: DataFrame, id_col: str, text_col: str, names: DataFrame | No
         c = tx.strip_digits(c)
     t = t.select(id_col, c.alias("_c"))
     if names is not None:
+        # masking reads the texts twice (token matching and the join back): compute them once
+        t = materialise(t)
         t = mask_names(t, id_col, "_c", names, compat=compat, partitioned=True)
     return t.withColumnRenamed("_c", out_col)
 
