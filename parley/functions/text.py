@@ -8,6 +8,9 @@ are spelled out instead of relying on engine flags.
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -118,3 +121,13 @@ def count_occurrences(col, token: str) -> Column:
     """Number of non-overlapping occurrences of ``token`` in a string."""
     c = _c(col)
     return ((F.length(c) - F.length(F.replace(c, F.lit(token), F.lit("")))) / len(token)).cast("bigint")
+
+
+def _nfc_batch(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+
+
+def nfc_normalise(col) -> Column:
+    """SCL-2, last step: Unicode NFC. Spark has no built-in for it, so this one step is an
+    Arrow-batched pandas UDF (vectorised transfer, one Python call per batch)."""
+    return F.pandas_udf(_nfc_batch, "string")(_c(col))

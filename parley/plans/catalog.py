@@ -530,3 +530,8 @@ def q_chunk_signal(spark, d):
 @query
 def q_split_channels(spark, d):
     return _signal_parts(spark, d, F.array(sg.channel("s", 0), sg.channel("s", 1)))
+
+
+@query
+def q_repair_unicode_nfc(spark, d):
+    return _docs(spark, d).select(F.col("id").alias("doc_id"), tx.nfc_normalise(tx.repair_unicode("text")).alias("text"))

@@ -408,3 +408,6 @@ oracle("split_channels", f"""
 SELECT id, part, CAST(len(x) AS BIGINT) AS n, round(list_sum(x), 6) AS sum FROM
   (SELECT id, 0 AS part, list_transform(range(0, len(e), 2), lambda i: e[i + 1]) AS x FROM ({_E})
    UNION ALL SELECT id, 1, list_transform(range(1, len(e), 2), lambda i: e[i + 1]) FROM ({_E}))""")
+
+oracle("repair_unicode_nfc", K.with_ctes([("src", DOCS)] + K.unicode_steps("src"),
+                                         "SELECT id AS doc_id, nfc_normalize(text) AS text FROM u7"))

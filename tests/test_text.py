@@ -117,3 +117,7 @@ def test_speech_concat_and_interleave(spark):
     assert sp == {"customer": "a b", "agent": "z"}
     order = [r["role"] for r in interleave(t.where("role = 'customer'"), t.where("role = 'agent'")).collect()]
     assert order[:2] == ["agent", "customer"]
+
+
+def test_nfc(spark):
+    assert _col(spark, tx.nfc_normalise, ["Café", None]) == ["Café", None]
