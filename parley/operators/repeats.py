@@ -26,17 +26,24 @@ from parley.functions.text import split_words
 
 def flag_repeats(words: DataFrame, id_col: str, min_occurrences: int = REPEAT_MIN_OCCURRENCES,
                  min_positions: int = REPEAT_MIN_POSITIONS) -> DataFrame:
-    """Add ``deleted`` to rows ``(id, pos, word)``."""
-    w_word = Window.partitionBy(id_col, "word")
-    w_ord = w_word.orderBy("pos")
+    """Add ``deleted`` to rows ``(id, pos, word)``.
+
+    Window keys lead with a 64-bit hash of the word, so sort comparisons are long comparisons;
+    the word itself stays in the key, so hash collisions cannot merge two words. The occurrence
+    count shares the ordered window (unbounded frame), so it costs no extra sort.
+    """
+    words = words.withColumn("_wh", F.xxhash64("word"))
+    keys = [id_col, "_wh", "word"]
+    w_ord = Window.partitionBy(*keys).orderBy("pos")
+    w_all = w_ord.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     df = (
-        words.withColumn("n_occ", F.count("pos").over(w_word))
+        words.withColumn("n_occ", F.count("pos").over(w_all))
         .withColumn("d1", F.col("pos") - F.lag("pos").over(w_ord))
         .withColumn("d2", F.lead("pos").over(w_ord) - F.col("pos"))
     )
     both = (F.col("d1") == F.col("d2")).cast("int")
-    w1 = Window.partitionBy(id_col, "word", "d1")
-    w2 = Window.partitionBy(id_col, "word", "d2")
+    w1 = Window.partitionBy(*keys, "d1")
+    w2 = Window.partitionBy(*keys, "d2")
     df = (
         df.withColumn("s1", 2 * F.count("d1").over(w1) - F.sum(both).over(w1))
         .withColumn("s2", 2 * F.count("d2").over(w2) - F.sum(both).over(w2))
@@ -45,7 +52,7 @@ def flag_repeats(words: DataFrame, id_col: str, min_occurrences: int = REPEAT_MI
         (F.coalesce(F.col("s1"), F.lit(0)) >= min_positions)
         | (F.coalesce(F.col("s2"), F.lit(0)) >= min_positions)
     )
-    return df.withColumn("deleted", F.coalesce(deleted, F.lit(False))).drop("n_occ", "d1", "d2", "s1", "s2")
+    return df.withColumn("deleted", F.coalesce(deleted, F.lit(False))).drop("_wh", "n_occ", "d1", "d2", "s1", "s2")
 
 
 def filter_repeats(df: DataFrame, id_col: str, text_col: str, out_col: str | None = None,
