@@ -44,7 +44,7 @@ def read_prompt(spark: SparkSession, text_or_path: str) -> DataFrame:
     import os
 
     if os.path.exists(text_or_path):
-        return spark.read.option("wholetext", True).text(text_or_path).select(F.col("value").alias("prompt"))
+        return spark.read.text(text_or_path, wholetext=True).select(F.col("value").alias("prompt"))
     return spark.createDataFrame([(text_or_path,)], "prompt string")
 
 

@@ -121,3 +121,33 @@ def test_label_flip_keeps_change_point(spark):
     a = _cp(spark, seqs)
     b = _cp(spark, [[1 - x for x in s] for s in seqs])
     assert a == b
+
+
+def test_manifest_prompt_and_features(spark):
+    from parley.sources.files import manifest, read_features, read_prompt
+
+    d = tempfile.mkdtemp(prefix="parley-files-", dir="/tmp")
+    for name in ("a.wav", "b.wav", "c.txt"):
+        open(os.path.join(d, name), "wb").write(b"x" * 10)
+    m = manifest(spark, d, glob="*.wav")
+    assert sorted(os.path.basename(r.path) for r in m.collect()) == ["a.wav", "b.wav"]
+    assert "content" not in m.columns
+    p = os.path.join(d, "prompt.txt")
+    open(p, "w").write("line one\nline two\n")
+    assert read_prompt(spark, p).first().prompt == "line one\nline two\n"
+    assert read_prompt(spark, "literal text").first().prompt == "literal text"
+    fd = tempfile.mkdtemp(prefix="parley-feat-", dir="/tmp")
+    pd.DataFrame({"seg": [0, 1], "f1": [1.0, 2.0]}).to_csv(os.path.join(fd, "features_x.opus.csv"), index=False)
+    pd.DataFrame({"seg": [0], "f1": [3.0]}).to_csv(os.path.join(fd, "features_y.opus.csv"), index=False)
+    got = read_features(spark, fd, ["f1"], calls=["x.opus"]).orderBy("seg").collect()
+    assert [(r.call_id, r.seg, r.f1) for r in got] == [("x.opus", 0, 1.0), ("x.opus", 1, 2.0)]
+
+
+def test_cost_prices_output_tokens_at_completion_price(spark):
+    from parley.operators.model_stage import price_table, usage_cost
+
+    u = spark.createDataFrame([("combine", "base", "chat", 1000, 1000), ("embed", "base", "embed", 1000, 0)],
+                              "stage string, model string, kind string, tokens_in long, tokens_out long")
+    got = {(r.stage, r.model): r.cost for r in usage_cost(u, price_table(spark)).collect()}
+    assert got[("combine", "base")] == 0.0035 and got[("embed", "base")] == 0.0001
+    assert got[(None, None)] == 0.0036
