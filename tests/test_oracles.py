@@ -4,6 +4,7 @@ driver contract (entry, names, column agreement)."""
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -14,8 +15,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def _norm(v):
+    if v is pd.NA:
+        return None
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6) + 0.0
+        return None if math.isnan(v) else round(v, 6) + 0.0
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         return _norm(v.item())
     return v
