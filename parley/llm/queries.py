@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, mixing, topk, warc
+from parley.llm import chat, mixing, neardup, topk, warc
 from parley.llm.common import table
 from parley.session import scratch_path
 
@@ -48,9 +48,15 @@ def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op5_warc_revisits": op5_warc_revisits,
     "op6_chat_format": op6_chat_format,
     "op7_topk_search": op7_topk_search,
+    "op9_simhash_neardup": op9_simhash_neardup,
 }
