@@ -8,11 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, mixing, neardup, topk, warc
+from parley.llm import chat, linededup, mixing, neardup, topk, warc
 from parley.llm.common import table
 from parley.session import scratch_path
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("row.doc_id", "n_lines", "dropped", "text")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"),
@@ -54,6 +59,7 @@ def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op5_warc_revisits": op5_warc_revisits,
     "op6_chat_format": op6_chat_format,
