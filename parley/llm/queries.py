@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, linededup, mixing, neardup, topk, warc
-from parley.llm.common import table
+from parley.llm import chat, langid, linededup, mixing, neardup, quality, topk, warc
+from parley.llm.common import pick, table
 from parley.session import scratch_path
 
 
@@ -53,16 +53,36 @@ def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.in_fold(F.col("doc_id"), 3, 1)
+    model = langid.fit(docs, held_out)
+    said = pick(docs, doc_id="long", text="string").select(
+        "doc_id", held_out.alias("held_out"), langid.predict(F.col("text"), model).alias("said"))
+    return said.select("doc_id", "held_out", F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"))
+
+
 def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.in_fold(F.col("doc_id"), 5, 0)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), held_out)
+    scored = pick(docs, doc_id="long", text="string").select(
+        "doc_id", held_out.alias("held_out"), quality.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op5_warc_revisits": op5_warc_revisits,
     "op6_chat_format": op6_chat_format,
     "op7_topk_search": op7_topk_search,
+    "op8_language_id": op8_language_id,
     "op9_simhash_neardup": op9_simhash_neardup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
