@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, langid, linededup, mixing, neardup, quality, topk, warc
+from parley.llm import chat, langid, linededup, minhash, mixing, neardup, quality, topk, warc
 from parley.llm.common import pick, table
 from parley.session import scratch_path
 
@@ -24,6 +24,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "repeats", F.get("positions", F.lit(0)).alias("first_position"))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -79,6 +83,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_order_minhash": op3_order_minhash,
     "op5_warc_revisits": op5_warc_revisits,
     "op6_chat_format": op6_chat_format,
     "op7_topk_search": op7_topk_search,
