@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, langid, linededup, minhash, mixing, neardup, quality, topk, warc
+from parley.llm import chat, langid, linededup, minhash, mixing, neardup, pieces, quality, topk, warc
 from parley.llm.common import pick, table
 from parley.session import scratch_path
 
@@ -28,6 +28,13 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_pairs(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    found = pieces.nbest_digest(F.col("text"), pieces.read_model(), 3)
+    return docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), found.alias("found")).select(
+        "doc_id", "n_chars", "found.*")
+
+
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -84,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op3_order_minhash": op3_order_minhash,
+    "op4_sentencepiece_nbest": op4_sentencepiece_nbest,
     "op5_warc_revisits": op5_warc_revisits,
     "op6_chat_format": op6_chat_format,
     "op7_topk_search": op7_topk_search,
