@@ -42,7 +42,6 @@ CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN_LESS = 10.0
 CACHED_CHUNKS = 150_000
 CACHED_LENGTH = 48
-NO_PIECE = object()
 
 Arc = tuple[int, float, bytes]   # where it starts, its score, its ids (4 bytes each)
 
@@ -81,7 +80,8 @@ def best_first(into: list[list[Arc]], forward: list[float], n: int) -> list[tupl
 class PieceModel:
     def __init__(self, model: bytes):
         sp = self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.prefixes: dict[str, object] = {}
+        #: A trie: by character, (the children, the piece that ends here as (score, ids) or None).
+        self.trie: dict[str, tuple] = {}
         self.spelled: list[bytes] = []
         byte_ids, scores = {}, []
         label = lambda i: int(i).to_bytes(4, "little")
@@ -98,10 +98,8 @@ class PieceModel:
             if MARK in piece.lstrip(MARK):
                 raise ValueError("a piece with the blank mark after another character")
             scores.append(sp.get_score(i))
-            for end in range(1, len(piece)):
-                self.prefixes.setdefault(piece[:end], None)
             if not sp.is_unused(i):
-                self.prefixes[piece] = (label(i), sp.get_score(i))
+                self._add(piece, (sp.get_score(i), label(i)))
         self.unknown = min(scores, default=0.0) - UNKNOWN_LESS
         self.bytes = byte_ids if len(byte_ids) == 256 else None
         self.unknown_id = label(sp.unk_id())
@@ -109,51 +107,78 @@ class PieceModel:
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
+    def _add(self, piece: str, entry: tuple[float, bytes]) -> None:
+        kids = self.trie
+        for c in piece[:-1]:
+            if c not in kids:
+                kids[c] = ({}, None)
+            kids = kids[c][0]
+        kids[piece[-1]] = (kids[piece[-1]][0] if piece[-1] in kids else {}, entry)
+
+    def _unknown_ids(self, c: str) -> bytes:
+        return b"".join(self.bytes[b] for b in c.encode()) if self.bytes else self.unknown_id
+
     def lattice(self, chunk: str) -> list[list[Arc]]:
         """For each place, the arcs that end there, by start."""
-        n, get = len(chunk), self.prefixes.get
+        n = len(chunk)
         into: list[list[Arc]] = [[] for _ in range(n + 1)]
         for i in range(n):
-            single = False
-            for j in range(i + 1, n + 1):
-                found = get(chunk[i:j], NO_PIECE)
-                if found is NO_PIECE:
+            kids = self.trie
+            if chunk[i] not in kids or kids[chunk[i]][1] is None:
+                into[i + 1].append((i, self.unknown, self._unknown_ids(chunk[i])))
+            for j in range(i, n):
+                found = kids.get(chunk[j])
+                if found is None:
                     break
-                if found is not None:
-                    into[j].append((i, found[1], found[0]))
-                    single = single or j == i + 1
-            if not single:
-                ids = b"".join(self.bytes[b] for b in chunk[i].encode()) if self.bytes else self.unknown_id
-                into[i + 1].append((i, self.unknown, ids))
+                kids, entry = found
+                if entry is not None:
+                    into[j + 1].append((i, *entry))
         return into
 
     @staticmethod
-    def viterbi(into: list[list[Arc]]) -> tuple[list[float], list[Arc | None], list[float]]:
-        """Best score to each place, the last arc of that path, and the loss of the next best arc."""
-        forward, back, loss = [0.0], [None], [float("inf")]
+    def forward(into: list[list[Arc]]) -> list[float]:
+        """Viterbi: the best score from the start to each place."""
+        best = [0.0]
         for arcs in into[1:]:
-            first = second = float("-inf")
-            last = None
-            for arc in arcs:
-                total = forward[arc[0]] + arc[1]
-                if total > first:
-                    first, second, last = total, first, arc
-                elif total > second:
-                    second = total
-            forward.append(first)
-            back.append(last)
-            loss.append(first - second)
-        return forward, back, loss
+            best.append(max(best[arc[0]] + arc[1] for arc in arcs))
+        return best
 
     def solve(self, chunk: str) -> tuple[bytes, float, float]:
-        """Ids and score of a chunk's best segmentation, and the smallest loss of leaving it."""
-        forward, back, loss = self.viterbi(self.lattice(chunk))
-        at, ids, least = len(chunk), [], float("inf")
+        """Ids and score of a chunk's best segmentation, and the smallest loss of leaving it: the
+        forward pass without a list of arcs, since nearly all chunks need no more than that."""
+        n, trie, low = len(chunk), self.trie, float("-inf")
+        best, second, back = [0.0] + [low] * n, [low] * (n + 1), [None] * (n + 1)
+        for i in range(n):
+            so_far, kids, j = best[i], trie, i
+            found = kids.get(chunk[i])
+            if found is None or found[1] is None:
+                j1 = i + 1
+                total = so_far + self.unknown
+                if total > best[j1]:
+                    second[j1], best[j1], back[j1] = best[j1], total, (i, self._unknown_ids(chunk[i]))
+                elif total > second[j1]:
+                    second[j1] = total
+            while found is not None:
+                j += 1
+                kids, entry = found
+                if entry is not None:
+                    total = so_far + entry[0]
+                    if total > best[j]:
+                        second[j], best[j], back[j] = best[j], total, (i, entry[1])
+                    elif total > second[j]:
+                        second[j] = total
+                if j == n:
+                    break
+                found = kids.get(chunk[j])
+        at, ids, least = n, [], float("inf")
         while at:
-            least = min(least, loss[at])
-            ids.append(back[at][2])
-            at = back[at][0]
-        return b"".join(reversed(ids)), forward[-1], least
+            loss = best[at] - second[at]
+            if loss < least:
+                least = loss
+            at, label = back[at]
+            ids.append(label)
+        ids.reverse()
+        return b"".join(ids), best[n], least
 
     def solved(self, chunk: str) -> tuple[bytes, float, float]:
         got = self.young.get(chunk)
@@ -167,7 +192,7 @@ class PieceModel:
 
     def chunk_best(self, chunk: str, n: int) -> list[tuple[float, bytes]]:
         into = self.lattice(chunk)
-        return [(score, b"".join(labels)) for score, labels in best_first(into, self.viterbi(into)[0], n)]
+        return [(score, b"".join(labels)) for score, labels in best_first(into, self.forward(into), n)]
 
     def segment(self, text: str | None, n: int = 1) -> list[Segmentation]:
         """The n best segmentations of a text, best first."""
