@@ -252,6 +252,17 @@ def encode(text: Column, model: bytes) -> Column:
     return run(text)
 
 
+def encode_scored(text: Column, model: bytes, n: int) -> Column:
+    """struct(ids array<int> of the best segmentation, scores array<double> of the n best)."""
+
+    @F.pandas_udf("ids array<int>, scores array<double>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        found = [loaded(model).segment(t, n) for t in texts]
+        return pd.DataFrame({"ids": [np.frombuffer(f[0].ids, dtype="<i4") for f in found], "scores": [[s.score for s in f] for f in found]})
+
+    return run(text)
+
+
 def encode_nbest(text: Column, model: bytes, n: int) -> Column:
     """The n best segmentations, best first: struct(scores array<double>, ids array<array<int>>)."""
 
