@@ -35,7 +35,7 @@ FOLD_TO = "".join(dst * len(src) for src, dst in ACCENT_FOLD)
 TERMINAL_ESCAPE_RE = r"\x1b\[[0-9;]*[A-Za-z]"
 CONTROL_RE = r"[\x00-\x08\x0B\x0E-\x1F\x7F\x{206A}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFC}]"
 LINE_BREAK_RE = r"\r\n|[\r\x{2028}\x{2029}\x{85}]"
-LATIN1_ONLY_RE = r"^[\x00-\x{FF}]*$"
+LATIN1_ONLY_RE = r"\A[\x00-\x{FF}]*\z"  # \z: $ would also match before a final line terminator
 UTF8_LEAD_RE = r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
 LIGATURES = [("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"),
              ("ﬆ", "st"), ("Ĳ", "IJ"), ("ĳ", "ij")]

@@ -9,9 +9,10 @@ its local top-k per query; the final ``row_number() <= k`` per query (planned as
 ``WindowGroupLimit``) sees at most ``doc_blocks * k`` rows per query.
 
 Shuffle volume: ``|Q| * doc_blocks + |D| * query_blocks`` vectors plus ``|Q| * doc_blocks * k``
-hits. Cell memory: ``|Q|/query_blocks`` queries plus one chunk of ``chunk_rows`` documents.
-Pick the block counts from the data sizes (``plan_blocks``); they are arguments, not hidden
-counts. Ties are broken by document id; null, empty and zero-norm vectors never score.
+hits. A task holds one block of each side: ``cell_queries`` and ``cell_docs`` rows on average
+(ids are hashed to blocks), whatever the size of the tables; the block counts follow from the row
+counts unless they are given. Ties are broken by document id; null, empty and zero-norm vectors
+never score.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ from parley.constants import TOP_K
 from parley.functions.vector import usable
 
 
-def plan_blocks(n_queries: int, n_docs: int, cell_queries: int = 20_000, cell_docs: int = 200_000) -> tuple[int, int]:
-    """Block counts that keep one cell near ``cell_queries`` x ``cell_docs``."""
-    return max(1, math.ceil(n_queries / cell_queries)), max(1, math.ceil(n_docs / cell_docs))
+def plan_blocks(n: int, per_block: int) -> int:
+    """Blocks of about ``per_block`` rows."""
+    return max(1, math.ceil(n / per_block))
 
 
 def _merge_topk(s: np.ndarray, idx: np.ndarray, id_rank: np.ndarray, k: int):
@@ -79,9 +80,10 @@ def _block_topk(k: int, chunk_rows: int, exclude_same_group: bool):
     return run
 
 
-def knn_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, query_blocks: int = 1, doc_blocks: int = 4,
-             q_id: str = "id", d_id: str = "id", vec: str = "embed", group_col: str | None = None,
-             chunk_rows: int = 8192) -> DataFrame:
+def knn_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, query_blocks: int | None = None,
+             doc_blocks: int | None = None, q_id: str = "id", d_id: str = "id", vec: str = "embed",
+             group_col: str | None = None, cell_queries: int = 4096, cell_docs: int = 8192,
+             chunk_rows: int = 2048) -> DataFrame:
     """``(query_id, doc_id, rank, score)`` with score = cosine + 1, rank 1..k per query.
 
     Filters on either side (for example the persona filter) must be applied before the call;
@@ -93,6 +95,8 @@ def knn_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, query_blocks:
                                            grp(queries).cast("long").alias("grp"))
     d = docs.where(usable(vec)).select(F.col(d_id).alias("did"), F.col(vec).alias("v"),
                                         grp(docs).cast("long").alias("grp"))
+    query_blocks = query_blocks or plan_blocks(q.count(), cell_queries)
+    doc_blocks = doc_blocks or plan_blocks(d.count(), cell_docs)
     q = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(query_blocks)).cast("int")).withColumn(
         "db", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1))))
     d = d.withColumn("db", F.pmod(F.xxhash64("did"), F.lit(doc_blocks)).cast("int")).withColumn(

@@ -11,15 +11,15 @@ its own messages (behaviours B6, B7).
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.constants import (
-    BASE_MODEL, BIG_ERROR, INVALID, LARGE_MODEL, NANO_USD_PER_TOKEN, NOT_YET,
+    BASE_MODEL, BIG_ERROR, INVALID, LARGE_MODEL, NANO_USD_PER_TOKEN, NOT_USEFUL_ANSWER, NOT_YET,
 )
 from parley.schemas import EMBED_RESPONSES, RESPONSES
 
@@ -46,44 +46,77 @@ def build_messages(df: DataFrame, system_prompt: str, content_col: str) -> DataF
 
 
 def call_model(requests: DataFrame, model_fn: ModelFn, concurrency: int | None = None) -> DataFrame:
-    """UDF-1: one call per distinct request. ``model_fn`` receives batches with
-    ``request_id, messages`` (plus ``model`` and ``attempt``) and yields RESPONSES rows.
-    ``concurrency`` bounds the number of tasks calling the service at once."""
-    todo = requests.select("request_id", "messages").dropDuplicates(["request_id"])
-    if "model" not in todo.columns:
-        todo = todo.withColumn("model", F.lit(BASE_MODEL)).withColumn("attempt", F.lit(1))
+    """UDF-1: one call per distinct request and attempt. ``model_fn`` receives batches with
+    ``request_id, messages, model, attempt`` and yields RESPONSES rows. Requests without a model or
+    an attempt are first attempts on the base model. ``concurrency`` bounds the number of tasks
+    calling the service at once."""
+    model = F.col("model") if "model" in requests.columns else F.lit(BASE_MODEL)
+    attempt = F.col("attempt") if "attempt" in requests.columns else F.lit(1)
+    todo = requests.select("request_id", "messages", model.alias("model"), attempt.cast("int").alias("attempt"))
+    todo = todo.dropDuplicates(["request_id", "attempt"])
     if concurrency:
         todo = todo.repartition(concurrency, "request_id")
     return todo.mapInPandas(model_fn, RESPONSES)
 
 
+def complete(requests: DataFrame, model_fn: ModelFn, write: Callable[[DataFrame, str], DataFrame],
+             existing: DataFrame | None = None, concurrency: int | None = None) -> DataFrame:
+    """UDF-1, UDF-2, JOIN-8: every response to ``requests``, the ``existing`` ones included.
+
+    Requests with an ``ok`` response are not called again (resume). The rest are called once; those
+    that are too large go once more to the larger model. ``write(df, name)`` writes each round's
+    responses before anything reads them, so a lost executor never pays for a call twice."""
+    todo = requests
+    if existing is not None:
+        todo = requests.join(existing.where("status = 'ok'").select("request_id"), "request_id", "left_anti")
+    first = write(call_model(todo, model_fn, concurrency), "responses-1")
+    again = requests.join(first.where("status = 'too_large'").select("request_id").distinct(), "request_id", "left_semi")
+    again = again.select("request_id", "messages").withColumn("model", F.lit(LARGE_MODEL)).withColumn("attempt", F.lit(2))
+    second = write(call_model(again, model_fn, concurrency), "responses-2")
+    found = first.unionByName(second)
+    return found if existing is None else found.unionByName(existing)
+
+
 def merge_responses(requests: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
-    """JOIN-8 / JOIN-7 / SCL-10: latest successful response per request joined back by key;
-    a request without one is ``NOT YET`` / ``pending`` (no other row shifts)."""
-    ok = responses.where(F.col("status") == "ok").groupBy("request_id").agg(
-        F.max_by("text", "attempt").alias("_text"))
-    j = requests.join(ok, "request_id", "left")
-    return j.select(*keys, "request_id", F.coalesce("_text", F.lit(NOT_YET)).alias("answer"),
-                    F.when(F.col("_text").isNull(), F.lit("pending")).otherwise(F.lit("done")).alias("status"))
+    """JOIN-8 / JOIN-7 / SCL-10: latest successful response per request joined back by key. One that
+    was too large for the larger model too is ``BIG ERROR`` / ``failed``; any other request without
+    a response is ``NOT YET`` / ``pending`` (no other row shifts)."""
+    ok, big = F.col("status") == "ok", F.col("status") == "too_large"
+    said = responses.groupBy("request_id").agg(
+        F.max_by(F.when(ok, F.col("text")), F.when(ok, F.col("attempt"))).alias("_text"),
+        F.max(F.when(ok, 1)).alias("_ok"),
+        F.max(F.when(big & (F.col("model") == LARGE_MODEL), 1)).alias("_big"))
+    j = requests.join(said, "request_id", "left")
+    done, failed = F.col("_ok").isNotNull(), F.col("_big").isNotNull()
+    return j.select(*keys, "request_id",
+                    F.when(done, F.coalesce("_text", F.lit(""))).when(failed, F.lit(BIG_ERROR)).otherwise(F.lit(NOT_YET)).alias("answer"),
+                    F.when(done, F.lit("done")).when(failed, F.lit("failed")).otherwise(F.lit("pending")).alias("status"))
+
+
+def usage_log(responses: DataFrame, stage: str, kind: str = "chat") -> DataFrame:
+    """SNK-4: one row per call: stage, model, kind, request_id, attempt, tokens_in, tokens_out."""
+    return responses.select(F.lit(stage).alias("stage"), "model", F.lit(kind).alias("kind"), "request_id", "attempt",
+                            F.coalesce("tokens_in", F.lit(0)).alias("tokens_in"), F.coalesce("tokens_out", F.lit(0)).alias("tokens_out"))
+
+
+STUB_TAGS = re.compile("</?(?:transcription|dem|res)>")
 
 
 def stub_model(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Deterministic stand-in model for tests: answers ``ok:<md5 prefix>`` of the user content,
-    gives no answer when the md5 starts with ``0`` (a failed call)."""
+    """Deterministic stand-in model for tests, by the md5 of the user content: none for a first
+    ``0`` (a failed call), too large for a first ``1`` (on the larger model only with a second
+    digit under ``4``), else ``a`` + 8 digits + the content without tags, 400 characters of it."""
     for b in batches:
-        user = [m[-1]["content"] for m in b["messages"]]
-        digest = [hashlib.md5(u.encode("utf-8")).hexdigest() for u in user]
-        keep = np.array([not h.startswith("0") for h in digest], dtype=bool)
-        out = pd.DataFrame({
-            "request_id": b["request_id"],
-            "attempt": b["attempt"].astype("int32"),
-            "model": b["model"],
-            "status": "ok",
-            "text": ["ok:" + h[:12] for h in digest],
-            "tokens_in": [len(u.split()) for u in user],
-            "tokens_out": 1,
-        })
-        yield out[keep]
+        rows = []
+        for request, messages, model, attempt in zip(b["request_id"], b["messages"], b["model"], b["attempt"]):
+            user = messages[-1]["content"]
+            h = hashlib.md5(user.encode()).hexdigest()
+            big = h[0] == "1" and (model != LARGE_MODEL or h[1] < "4")
+            if h[0] == "0":
+                continue
+            text = None if big else f"a{h[:8]} " + STUB_TAGS.sub("", user)[:400]
+            rows.append((request, attempt, model, "too_large" if big else "ok", text, len(user.split()), 0 if big else len(text.split())))
+        yield pd.DataFrame(rows, columns=[f.name for f in RESPONSES]).astype({"attempt": "int32", "tokens_in": "int64", "tokens_out": "int64"})
 
 
 # ---- attempts and routing (UDF-2, WIN-7) ------------------------------------------------------
@@ -121,14 +154,15 @@ def next_attempts(latest: DataFrame) -> DataFrame:
 
 # ---- verdicts and cost (SCL-19, AGG-4, AGG-5) -------------------------------------------------
 
-def classify_verdict(text_col) -> F.Column:
-    """SCL-19: tolerant reading of a verdict answer: ``INVALID`` anywhere as a word, a bare 0/1,
-    or the words not useful / useful."""
+def classify_verdict(text_col, not_useful: str = NOT_USEFUL_ANSWER) -> F.Column:
+    """SCL-19: tolerant reading of a verdict answer: ``INVALID`` anywhere as a word, the declared
+    answer for nothing of use, a bare 0/1, or the words not useful / useful."""
     t = F.col(text_col) if isinstance(text_col, str) else text_col
     up = F.upper(F.trim(t))
     return (
         F.when(t.isNull(), F.lit(None))
         .when(up.rlike(f"(^|[^A-Z]){INVALID}([^A-Z]|$)"), F.lit("invalid"))
+        .when(up.contains(not_useful.upper()), F.lit("not_useful"))
         .when(up == "1", F.lit("useful"))
         .when(up == "0", F.lit("not_useful"))
         .when(up.contains("NOT USEFUL"), F.lit("not_useful"))
@@ -138,7 +172,7 @@ def classify_verdict(text_col) -> F.Column:
 
 
 def price_table(spark) -> DataFrame:
-    """Nano-dollars per token by stage kind (three rows; broadcast)."""
+    """Nano-dollars per token by stage kind (two rows)."""
     rows = [("embed", NANO_USD_PER_TOKEN["embed"], 0),
             ("chat", NANO_USD_PER_TOKEN["prompt"], NANO_USD_PER_TOKEN["completion"])]
     return spark.createDataFrame(rows, "kind string, nano_in long, nano_out long")
@@ -146,33 +180,33 @@ def price_table(spark) -> DataFrame:
 
 def usage_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """AGG-5: tokens and cost by stage and model with roll-up rows; output tokens priced at the
-    completion price (behaviour B8 fixed)."""
-    j = usage.join(F.broadcast(prices), "kind")
-    nano = F.col("tokens_in") * F.col("nano_in") + F.col("tokens_out") * F.col("nano_out")
+    completion price (behaviour B8 fixed). Usage of a kind without a price counts its tokens, costs
+    nothing and is reported in ``n_unpriced``."""
+    j = usage.join(prices, "kind", "left")
+    price = lambda c: F.coalesce(c, F.lit(0))
+    nano = F.col("tokens_in") * price(F.col("nano_in")) + F.col("tokens_out") * price(F.col("nano_out"))
     return j.rollup("stage", "model").agg(
         F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"),
-        F.round(F.sum(nano) / F.lit(1e9), 6).alias("cost"))
+        F.round(F.sum(nano) / F.lit(1e9), 6).alias("cost"),
+        F.count_if(F.col("nano_in").isNull()).alias("n_unpriced"))
 
 
 # ---- embedding stage (UDF-3) -------------------------------------------------------------------
 
-def embed_stage(texts: DataFrame, id_col: str, text_col: str, embed_fn: ModelFn) -> DataFrame:
-    """UDF-3: embed each distinct text once (keyed by its SHA-256), join vectors back by key."""
+def embed_stage(texts: DataFrame, id_col: str, text_col: str, embed_fn: ModelFn,
+                write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """UDF-3: embed each distinct text once (keyed by its SHA-256), write the vectors, join them back
+    by key."""
     keyed = texts.withColumn("text_key", F.sha2(F.col(text_col), 256))
     todo = keyed.select("text_key", F.col(text_col).alias("text")).dropDuplicates(["text_key"])
-    vecs = todo.mapInPandas(embed_fn, EMBED_RESPONSES)
+    vecs = write(todo.mapInPandas(embed_fn, EMBED_RESPONSES), "embedded")
     return keyed.join(vecs, "text_key", "left").select(id_col, "embed", "tokens")
 
 
-def stub_embedder(dims: int = 16) -> ModelFn:
-    """Deterministic stand-in embedder for tests: a unit vector seeded by the text's md5."""
+def stub_embedder() -> ModelFn:
+    """Deterministic stand-in embedder for tests: the 16 bytes of the text's md5, over 255."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            vecs, toks = [], []
-            for t in b["text"]:
-                seed = int(hashlib.md5((t or "").encode("utf-8")).hexdigest()[:8], 16)
-                v = np.random.default_rng(seed).normal(size=dims)
-                vecs.append((v / np.linalg.norm(v)).astype(np.float32).tolist())
-                toks.append(len((t or "").split()))
-            yield pd.DataFrame({"text_key": b["text_key"], "embed": vecs, "tokens": toks})
+            vecs = [[x / 255 for x in hashlib.md5((t or "").encode()).digest()] for t in b["text"]]
+            yield pd.DataFrame({"text_key": b["text_key"], "embed": vecs, "tokens": [len((t or "").split()) for t in b["text"]]})
     return run

@@ -8,35 +8,37 @@ characters removed), lower-cased and accent-folded, or only lower-cased, is in t
 * ``compat``: the stripped word is replaced as a substring of the whole text, sequentially in
   token order (behaviour B3), and folding happens before lower-casing (behaviour B4).
 
-Plan: tokens are exploded map-side, matched by two broadcast hash joins against the
-dictionary (one per key; a single join with OR degrades to a nested loop), gathered per id and
-joined back to the texts on id. When the input is already hash-partitioned by id (the
-cleaning chain), the gather and the join back add no shuffle. The dictionary is capped at
-``per_list`` names per list (TOP-3), so its broadcast size is bounded. (Matching inside the
-row against a literal set was measured 2.4x slower: higher-order functions are interpreted.)
+No name is left out: ``per_list`` (TOP-3) cuts the lists only where a caller asks for it.
+
+Plan: a dictionary of at most ``SMALL_DICTIONARY`` names, counted first, travels to the tasks as a
+set, and masking is one pass over each text without a shuffle. A larger one is joined: tokens are
+exploded map-side, matched on both keys by equi-joins whose strategy adaptive execution picks from
+measured sizes, gathered per id and joined back to the texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.constants import NAME_MASK, NAMES_PER_LIST
+from parley.constants import ACCENT_FOLD, NAME_MASK
 from parley.functions.text import WORD, WS, fold_accents, strip_non_word
 
+#: Names (not texts) that a closure may carry: some megabytes at most.
+SMALL_DICTIONARY = 100_000
 
-def load_names(names: DataFrame, per_list: int = NAMES_PER_LIST) -> DataFrame:
-    """``names(name, list, rank)`` -> distinct lower-cased ``name``: the first ``per_list``
-    rows of each list by rank (TOP-3), lists united (SET-3)."""
-    w = Window.partitionBy("list").orderBy("rank", "name")
-    return (
-        names.where(F.col("name").isNotNull())
-        .withColumn("_r", F.row_number().over(w))
-        .where(F.col("_r") <= per_list)
-        .select(F.lower("name").alias("name"))
-        .where(F.col("name") != "")
-        .distinct()
-    )
+
+def load_names(names: DataFrame, per_list: int | None = None) -> DataFrame:
+    """``names(name, list, rank)`` -> distinct lower-cased ``name``, lists united (SET-3). All
+    names; with ``per_list``, the first ``per_list`` rows of each list by rank (TOP-3)."""
+    given = names.where(F.col("name").isNotNull())
+    if per_list is not None:
+        w = Window.partitionBy("list").orderBy("rank", "name")
+        given = given.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_list)
+    return given.select(F.lower("name").alias("name")).where(F.col("name") != "").distinct()
 
 
 def names_from_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -71,8 +73,8 @@ def matched_words(df: DataFrame, id_col: str, text_col: str, names: DataFrame, c
         .select(id_col, "pos", "t.w", "t.k1", "t.k2")
         .where(F.col("w") != "")
     )
-    nm = F.broadcast(names.select(F.col("name").alias("_n1"), F.lit(True).alias("_h1")))
-    nm2 = F.broadcast(names.select(F.col("name").alias("_n2"), F.lit(True).alias("_h2")))
+    nm = names.select(F.col("name").alias("_n1"), F.lit(True).alias("_h1"))
+    nm2 = names.select(F.col("name").alias("_n2"), F.lit(True).alias("_h2"))
     hit = (
         toks.join(nm, toks.k1 == nm._n1, "left")
         .join(nm2, toks.k2 == nm2._n2, "left")
@@ -106,16 +108,64 @@ def apply_mask(text, words, compat: bool = False):
     return F.regexp_replace(text, _token_pattern(F.array_join(words, "|")), F.lit(f"$1{NAME_MASK}$2"))
 
 
-def mask_names(df: DataFrame, id_col: str, text_col: str, names: DataFrame, compat: bool = False,
-               out_col: str | None = None, partitioned: bool = False) -> DataFrame:
-    """Return ``df`` with names in ``text_col`` masked; other columns kept.
+def small_dictionary(names: DataFrame, most: int = SMALL_DICTIONARY) -> frozenset[str] | None:
+    """The names as a set, or None if there are more than ``most``."""
+    found = names.limit(most + 1).collect()
+    return frozenset(r.name for r in found) if len(found) <= most else None
+
+
+def _mask_texts(texts: pd.Series, names: frozenset[str], compat: bool) -> pd.Series:
+    folding = str.maketrans({c: plain for accented, plain in ACCENT_FOLD for c in accented})
+    marks = re.compile(r"\W+")
+    around = re.compile(r"\A(\W*)(\w+)(\W*)\Z")
+    is_name: dict[str, bool] = {}
+
+    def known(word: str) -> bool:
+        if word not in is_name:
+            if len(is_name) > 200_000:
+                is_name.clear()
+            folded = word.translate(folding).lower() if compat else word.lower().translate(folding)
+            is_name[word] = folded in names or word.lower() in names
+        return is_name[word]
 
-    ``partitioned=True`` says ``df`` is already hash-partitioned by ``id_col``; otherwise it is
-    repartitioned once, so token work is spread over tasks and the join back is co-located.
-    """
+    def mask(text: str | None) -> str | None:
+        if text is None:
+            return None
+        hits = {t: w for t in set(text.split()) if (w := t if t.isalnum() else marks.sub("", t)) and known(w)}
+        if not hits:
+            return text
+        if compat:
+            for token in text.split():
+                if token in hits:
+                    text = text.replace(hits[token], NAME_MASK)
+            return text
+        for token, word in hits.items():
+            parts = around.match(token)
+            hits[token] = parts[1] + NAME_MASK + parts[3] if parts and parts[2] == word else token
+        # blanks as Python's split() sees them: \s and the four separators it leaves out
+        return re.sub(r"[^\s\x1c-\x1f]+", lambda m: hits.get(m[0], m[0]), text)
+
+    return texts.map(mask)
+
+
+def masked_text(text: Column, names: frozenset[str], compat: bool = False) -> Column:
+    """Mask with a small dictionary: one pass over each text."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return _mask_texts(texts, names, compat)
+
+    return run(text)
+
+
+def mask_names(df: DataFrame, id_col: str, text_col: str, names: DataFrame, compat: bool = False,
+               out_col: str | None = None, small: int = SMALL_DICTIONARY) -> DataFrame:
+    """Return ``df`` with names in ``text_col`` masked; other columns kept. A dictionary of more
+    than ``small`` names is joined instead of sent along."""
     out_col = out_col or text_col
-    if not partitioned:
-        df = df.repartition(id_col)
+    held = small_dictionary(names, small)
+    if held is not None:
+        return df.withColumn(out_col, masked_text(F.col(text_col), held, compat))
     found = matched_words(df, id_col, text_col, names, compat)
     joined = df.join(found, id_col, "left")
     masked = F.when(F.col("words").isNull(), F.col(text_col)).otherwise(

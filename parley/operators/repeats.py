@@ -7,80 +7,99 @@ every position in it is deleted (the first one included, behaviour B1). The rema
 are re-joined with single blanks. A text that loses every word becomes ``''``; a null text
 stays null.
 
-Plan: the input is hash-partitioned by id once (shuffling whole texts, not exploded words);
-every window below is partitioned by ``(id, word[, gap])`` and the final aggregation by ``id``,
-so all of them reuse that single partitioning. A set size is computed without materialising
-the sets: for gap length d, ``|S_d| = 2 * A_d - C_d`` where ``A_d`` is the number of gaps of
-length d and ``C_d`` the number of positions whose gaps on both sides have length d.
-Memory per window partition is bounded by the length of one text.
+The rule concerns one text at a time, so it needs no shuffle: a batch of texts is one Arrow
+batch, whose words are numbered and handled together by array operations. (As DataFrame steps it
+took a shuffle of the texts and three sorts of every word; see README for both times.) A set's
+size is computed without building the set: for gap length d, ``|S_d| = 2 * A_d - C_d`` where
+``A_d`` is the number of gaps of length d and ``C_d`` the number of positions whose gaps on both
+sides have length d.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.constants import REPEAT_MIN_OCCURRENCES, REPEAT_MIN_POSITIONS
-from parley.functions.text import split_words
-
-
-def flag_repeats(words: DataFrame, id_col: str, min_occurrences: int = REPEAT_MIN_OCCURRENCES,
-                 min_positions: int = REPEAT_MIN_POSITIONS) -> DataFrame:
-    """Add ``deleted`` to rows ``(id, pos, word)``.
-
-    Window keys lead with a 64-bit hash of the word, so sort comparisons are long comparisons;
-    the word itself stays in the key, so hash collisions cannot merge two words. The occurrence
-    count shares the ordered window (unbounded frame), so it costs no extra sort.
-    """
-    words = words.withColumn("_wh", F.xxhash64("word"))
-    keys = [id_col, "_wh", "word"]
-    w_ord = Window.partitionBy(*keys).orderBy("pos")
-    w_all = w_ord.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    df = (
-        words.withColumn("n_occ", F.count("pos").over(w_all))
-        .withColumn("d1", F.col("pos") - F.lag("pos").over(w_ord))
-        .withColumn("d2", F.lead("pos").over(w_ord) - F.col("pos"))
-    )
-    both = (F.col("d1") == F.col("d2")).cast("int")
-    w1 = Window.partitionBy(*keys, "d1")
-    w2 = Window.partitionBy(*keys, "d2")
-    df = (
-        df.withColumn("s1", 2 * F.count("d1").over(w1) - F.sum(both).over(w1))
-        .withColumn("s2", 2 * F.count("d2").over(w2) - F.sum(both).over(w2))
-    )
-    deleted = (F.col("n_occ") >= min_occurrences) & (
-        (F.coalesce(F.col("s1"), F.lit(0)) >= min_positions)
-        | (F.coalesce(F.col("s2"), F.lit(0)) >= min_positions)
-    )
-    return df.withColumn("deleted", F.coalesce(deleted, F.lit(False))).drop("_wh", "n_occ", "d1", "d2", "s1", "s2")
-
-
-def filter_repeats(df: DataFrame, id_col: str, text_col: str, out_col: str | None = None,
-                   min_occurrences: int = REPEAT_MIN_OCCURRENCES, min_positions: int = REPEAT_MIN_POSITIONS,
-                   keep_first: bool = False, partitioned: bool = False) -> DataFrame:
-    """Return ``(id_col, out_col)`` with repeated words removed; one row per input id.
-
-    ``partitioned=True`` says the input is already hash-partitioned by ``id_col``.
-    ``keep_first=True`` keeps the first position of each deleted word (our option).
-    """
-    out_col = out_col or text_col
-    base = df.select(id_col, text_col)
-    if not partitioned:
-        base = base.repartition(id_col)
-    words = base.select(
-        id_col,
-        F.col(text_col).isNull().alias("_null"),
-        F.posexplode_outer(split_words(text_col)).alias("pos", "word"),
-    )
-    flagged = flag_repeats(words, id_col, min_occurrences, min_positions)
+
+#: Words handled at once; a longer text is a batch of its own.
+WORDS_AT_ONCE = 1 << 18
+
+
+def deleted_words(keys: np.ndarray, min_occurrences: int, min_positions: int, keep_first: bool) -> np.ndarray:
+    """Which places of a run of words go. ``keys`` numbers the pairs (text, word), so that places
+    of different texts never meet."""
+    n = len(keys)
+    order = np.argsort(keys, kind="stable")
+    same = np.zeros(n + 1, dtype=bool)
+    same[1:n] = keys[order[1:]] == keys[order[:-1]]
+    before = np.where(same[:n], np.diff(order, prepend=0), 0)    # gap to the same word before, 0 for none
+    after = np.append(before[1:], 0)                             # and behind
+    after[~same[1:]] = 0
+    _, word = np.unique(keys[order], return_inverse=True)
+    often = np.bincount(word)[word] >= min_occurrences
+    wide = np.int64(n + 1)
+    kinds, kind = np.unique(word * wide + before, return_inverse=True)
+    sizes = 2 * np.bincount(kind) - np.bincount(kind, weights=(before == after), minlength=len(kinds)).astype(np.int64)
+    sizes[kinds % wide == 0] = 0
+    behind = np.searchsorted(kinds, word * wide + after)
+    gone = often & ((sizes[kind] >= min_positions) | ((after > 0) & (sizes[np.minimum(behind, len(kinds) - 1)] >= min_positions)))
     if keep_first:
-        first_del = F.min(F.when(F.col("deleted"), F.col("pos"))).over(Window.partitionBy(id_col, "word"))
-        flagged = flagged.withColumn("deleted", F.col("deleted") & (F.col("pos") != first_del))
-    kept = F.when(~F.col("deleted"), F.col("word"))
-    joined = F.expr("listagg(_kept, ' ') WITHIN GROUP (ORDER BY pos)")
-    return (
-        flagged.withColumn("_kept", kept)
-        .groupBy(id_col)
-        .agg(F.max("_null").alias("_null"), joined.alias("_t"))
-        .select(id_col, F.when(~F.col("_null"), F.coalesce(F.col("_t"), F.lit(""))).alias(out_col))
-    )
+        firsts = np.flatnonzero(gone)
+        gone[firsts[np.unique(word[firsts], return_index=True)[1]]] = False
+    out = np.zeros(n, dtype=bool)
+    out[order] = gone
+    return out
+
+
+def _batches(texts: pd.Series) -> Iterator[tuple[list[int], list[list[str]]]]:
+    rows, words, held = [], [], 0
+    for i, text in enumerate(texts):
+        if text is None:
+            continue
+        own = text.split()
+        rows.append(i)
+        words.append(own)
+        held += len(own)
+        if held >= WORDS_AT_ONCE:
+            yield rows, words
+            rows, words, held = [], [], 0
+    yield rows, words
+
+
+def without_repeats(texts: pd.Series, min_occurrences: int, min_positions: int, keep_first: bool) -> pd.Series:
+    out: list[str | None] = [None] * len(texts)
+    for rows, words in _batches(texts):
+        numbers: dict[str, int] = {}
+        codes = np.fromiter((numbers.setdefault(w, len(numbers)) for own in words for w in own), dtype=np.int64)
+        lengths = np.array([len(own) for own in words], dtype=np.int64)
+        keys = np.repeat(np.arange(len(words)), lengths) * max(1, len(numbers)) + codes
+        gone = deleted_words(keys, min_occurrences, min_positions, keep_first) if len(keys) else np.zeros(0, dtype=bool)
+        ends = np.cumsum(lengths)
+        hit = np.add.reduceat(np.append(gone, False), np.minimum(ends - lengths, len(gone))) if len(words) else []
+        for i, own, end, some in zip(rows, words, ends, hit):
+            if len(own) and some:
+                own = [w for w, g in zip(own, gone[end - len(own):end]) if not g]
+            out[i] = " ".join(own)
+    return pd.Series(out, dtype=object)
+
+
+def repeats_removed(text: Column, min_occurrences: int = REPEAT_MIN_OCCURRENCES,
+                    min_positions: int = REPEAT_MIN_POSITIONS, keep_first: bool = False) -> Column:
+    """The text without its repeated words. ``keep_first=True`` keeps the first position of each
+    deleted word (our option)."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return without_repeats(texts, min_occurrences, min_positions, keep_first)
+
+    return run(text)
+
+
+def filter_repeats(df: DataFrame, id_col: str, text_col: str, out_col: str | None = None, **settings) -> DataFrame:
+    """Return ``(id_col, out_col)`` with repeated words removed; one row per input row."""
+    return df.select(id_col, repeats_removed(F.col(text_col), **settings).alias(out_col or text_col))

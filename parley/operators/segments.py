@@ -7,29 +7,46 @@ call; aggregations use partial (map-side) combination.
 
 from __future__ import annotations
 
-import zlib
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.constants import EDGE_FILTER_LEN, EDGE_OFFSET, SEGMENT_SECONDS
+from parley.constants import EDGE_FILTER_LEN, EDGE_OFFSET, FEATURES, SEGMENT_SECONDS
+from parley.functions import signal as sg
+
+
+def with_segments(samples: DataFrame, size: int = SEGMENT_SECONDS) -> DataFrame:
+    """Add ``seg``."""
+    return samples.withColumn("seg", F.floor(F.col("t") / size).cast("bigint"))
 
 
 def frame_samples(samples: DataFrame, size: int = SEGMENT_SECONDS) -> DataFrame:
     """Add ``seg``; drop the incomplete last frame of each call."""
-    s = samples.withColumn("seg", F.floor(F.col("t") / size).cast("bigint"))
-    full = s.groupBy("call_id", "seg").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == size)
-    return s.join(full.select("call_id", "seg"), ["call_id", "seg"], "left_semi")
+    s = with_segments(samples, size)
+    count = F.count(F.lit(1)).over(Window.partitionBy("call_id", "seg"))
+    return s.withColumn("_n", count).where(F.col("_n") == size).drop("_n")
 
 
-def segment_stats(framed: DataFrame, value_col: str = "value") -> DataFrame:
-    """AGG-3: per (call, seg): mean, population sd, median, max, min, n."""
+def segment_stats(samples: DataFrame, value_col: str = "value", size: int = SEGMENT_SECONDS, **more) -> DataFrame:
+    """AGG-3: per complete (call, seg): mean, population sd, median, max, min, n, and ``more``
+    aggregates by name, in one aggregation of the samples."""
     v = F.col(value_col)
-    return framed.groupBy("call_id", "seg").agg(
+    return with_segments(samples, size).groupBy("call_id", "seg").agg(
         F.avg(v).alias("mean"), F.stddev_pop(v).alias("sd"), F.median(v).alias("median"),
-        F.max(v).alias("max"), F.min(v).alias("min"), F.count(F.lit(1)).alias("n"))
+        F.max(v).alias("max"), F.min(v).alias("min"), F.count(F.lit(1)).alias("n"),
+        *(a.alias(name) for name, a in more.items())).where(F.col("n") == size)
+
+
+def spectral_features(frames: DataFrame, mag: str = "mag") -> DataFrame:
+    """AGG-3: the 18 features per (call, seg) over the segment's frames ``(call_id, seg, mag)``, under
+    the names of the feature files. A segment has few frames, so its medians have little state."""
+    fr = frames.select("call_id", "seg", sg.centroid(mag).alias("c"), sg.flatness(mag).alias("f"),
+                       sg.rolloff(mag, 0.99).cast("double").alias("r99"), sg.rolloff(mag, 0.01).cast("double").alias("r01"))
+    stats = {"mean": F.avg, "sd": F.stddev_pop, "median": F.median, "max": F.max, "min": F.min}
+    parts = [("c", s) for s in ("mean", "sd", "median", "max", "min")] + [("f", s) for s in ("mean", "median", "sd")] + [
+        (r, s) for r in ("r99", "r01") for s in ("mean", "median", "sd", "min", "max")]
+    return fr.groupBy("call_id", "seg").agg(*(stats[s](F.col(c)).alias(name) for (c, s), name in zip(parts, FEATURES)))
 
 
 def two_means_1d(df: DataFrame, key: str, order: str, value_col: str) -> DataFrame:
@@ -46,7 +63,9 @@ def two_means_1d(df: DataFrame, key: str, order: str, value_col: str) -> DataFra
          .withColumn("_tot", F.sum(v).over(w_all))
          .withColumn("_next", F.lead(v).over(w)))
     rest = F.col("_tot") - F.col("_cum")
-    score = (F.col("_cum") * F.col("_cum")) / F.col("_k") + (rest * rest) / (F.col("_n") - F.col("_k"))
+    # squares as 38-digit decimals: a call's sum may pass the root of the largest bigint
+    square = lambda x: (x.cast("decimal(19,0)") * x.cast("decimal(19,0)")).cast("double")
+    score = square(F.col("_cum")) / F.col("_k") + square(rest) / (F.col("_n") - F.col("_k"))
     valid = (F.col("_k") < F.col("_n")) & (F.col("_next") > v)
     d = d.withColumn("_cand", F.when(valid, F.struct(score.alias("s"), (-F.col("_k")).alias("nk"))))
     best = F.max("_cand").over(w_all)
@@ -91,42 +110,40 @@ def cut_before(rows: DataFrame, changes: DataFrame, key: str, time_col: str) ->
 
 # ---- CLU-1 in many dimensions -------------------------------------------------------------------
 
-def _lloyd(x: np.ndarray, seed: int, n_init: int = 10, iters: int = 100):
-    rng = np.random.default_rng(seed)
-    best = None
-    for _ in range(n_init):
-        c = x[rng.choice(len(x), size=2, replace=False)].copy()
-        for _ in range(iters):
-            d = ((x[:, None, :] - c[None, :, :]) ** 2).sum(-1)
-            lab = d.argmin(1)
-            new = np.array([x[lab == j].mean(0) if (lab == j).any() else c[j] for j in range(2)])
-            if np.allclose(new, c):
-                break
-            c = new
-        inertia = float(((x - c[lab]) ** 2).sum())
-        if best is None or inertia < best[0]:
-            best = (inertia, lab)
-    return best[1]
-
-
-def two_means(df: DataFrame, key: str, seg: str, features: list[str], seed: int = 0,
+def two_means(df: DataFrame, key: str, seg: str, features: list[str], write: Callable[[DataFrame, str], DataFrame],
               standardise: bool = False) -> DataFrame:
-    """CLU-1: 2-means per call on the given feature columns (10 seeded starts, best inertia),
-    raw features by default (behaviour B18). Each call is one group handed to numpy; a call is
-    bounded by its duration. Label 0 is the cluster of the call's first segment."""
-    out_schema = f"{key} {df.schema[key].dataType.simpleString()}, {seg} {df.schema[seg].dataType.simpleString()}, label int"
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seg)
-        x = pdf[features].to_numpy(dtype=np.float64)
-        if standardise:
-            sd = x.std(0)
-            x = (x - x.mean(0)) / np.where(sd > 0, sd, 1)
-        if len(pdf) < 2:
-            lab = np.zeros(len(pdf), dtype=np.int32)
-        else:
-            lab = _lloyd(x, seed + zlib.crc32(str(pdf[key].iloc[0]).encode())).astype(np.int32)
-            lab = np.where(lab == lab[0], 0, 1).astype(np.int32)
-        return pd.DataFrame({key: pdf[key].to_numpy(), seg: pdf[seg].to_numpy(), "label": lab})
-
-    return df.groupBy(key).applyInPandas(fit, out_schema)
+    """CLU-1: 2-means per call on the feature columns: ``(key, seg, label)``; raw features by
+    default (behaviour B18). Label 0 is the cluster of the call's first segment.
+
+    Lloyd's steps run for all calls at once: partial sums per (call, label), then a join of the few
+    centres back to the segments; a call of any length is spread over tasks. The start is a split
+    at the mean of the call's most varied feature. Steps go on until no segment moves, which they
+    reach because each lowers the total distance (a segment at equal distance stays), and each is
+    written with ``write``. Missing features count as 0."""
+    x = df.select(F.col(key).alias("key"), F.col(seg).alias("seg"),
+                  F.array(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features)).alias("x"))
+    at = range(len(features))
+    dims = lambda fn: F.array(*(fn(F.col("x")[i]) for i in at))
+    spread = x.groupBy("key").agg(dims(F.avg).alias("mean"), dims(F.stddev_pop).alias("sd"))
+    if standardise:
+        scaled = F.zip_with("x", F.arrays_zip("mean", "sd"), lambda v, m: F.when(m["sd"] > 0, (v - m["mean"]) / m["sd"]).otherwise(0.0))
+        x = x.join(spread, "key").select("key", "seg", scaled.alias("x"))
+        spread = x.groupBy("key").agg(dims(F.avg).alias("mean"), dims(F.stddev_pop).alias("sd"))
+    widest = (F.array_position("sd", F.array_max("sd")) - 1).cast("int")
+    labelled = write(x.join(spread.select("key", widest.alias("w"), "mean"), "key").select(
+        "key", "seg", "x", (F.get("x", F.col("w")) > F.get("mean", F.col("w"))).cast("int").alias("label")), "two-means")
+    away = lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
+    while True:
+        sums = labelled.groupBy("key", "label").agg(dims(F.avg).alias("c"))
+        centres = sums.groupBy("key").agg(F.max(F.when(F.col("label") == 0, F.col("c"))).alias("c0"),
+                                          F.max(F.when(F.col("label") == 1, F.col("c"))).alias("c1"))
+        d0, d1 = away("c0"), away("c1")
+        new = F.when(d0 < d1 - 1e-12, 0).when(d1 < d0 - 1e-12, 1).otherwise(F.col("label"))
+        after = write(labelled.join(centres, "key").select("key", "seg", "x", new.alias("label"), (new != F.col("label")).alias("moved")), "two-means")
+        moved = after.where("moved").limit(1).count()
+        labelled = after.drop("moved")
+        if not moved:
+            break
+    first = labelled.groupBy("key").agg(F.min_by("label", "seg").alias("first"))
+    return labelled.join(first, "key").select(F.col("key").alias(key), F.col("seg").alias(seg),
+                                              (F.col("label") != F.col("first")).cast("int").alias("label"))

@@ -51,15 +51,14 @@ def interleave(customer: DataFrame, agent: DataFrame) -> DataFrame:
     return both.orderBy("call_id", "start_s", "role", "end_s", "text")
 
 
-def gap_turns(rows: DataFrame, key: str, ts_col: str, min_silence_s: float, min_speech_s: float = 0.0,
+def gap_turns(rows: DataFrame, key: str, ts_col: str, tie_col: str, min_silence_s: float, min_speech_s: float = 0.0,
               pad_s: float = 0.0) -> DataFrame:
-    """WIN-6: gaps and islands. Rows of one key ordered by time start a new turn after a silence
+    """WIN-6: gaps and islands. Rows of one key, in order of time and ``tie_col``, start a new turn after a silence
     longer than ``min_silence_s``; turns shorter than ``min_speech_s`` are dropped; start and
     end are padded by ``pad_s``. Output ``(key, turn, start_us, end_us, n)`` in microseconds."""
     t = F.unix_micros(F.col(ts_col).cast("timestamp"))
     w = Window.partitionBy(key).orderBy("_t", "_tie")
-    tie = F.col(rows.columns[0])
-    df = rows.select(key, t.alias("_t"), tie.alias("_tie"))
+    df = rows.select(key, t.alias("_t"), F.col(tie_col).alias("_tie"))
     gap = F.col("_t") - F.lag("_t").over(w)
     df = df.withColumn("_new", F.when(gap.isNull() | (gap > int(min_silence_s * 1e6)), 1).otherwise(0))
     df = df.withColumn("turn", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)

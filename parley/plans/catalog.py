@@ -7,6 +7,7 @@ match the oracle SQL in ``parley.plans.oracles`` by name; doubles are rounded to
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ from parley.operators import turns as tn
 from parley.operators.names import load_names, mask_names, names_from_items
 from parley.operators.repeats import filter_repeats
 from parley.plans.clean import clean_audit, clean_texts
-from parley.session import materialise
 from parley.sources.tables import read_table, turns_from_conversations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,7 +104,12 @@ def q_mask_names_compat(spark, d):
 @query
 def q_clean_speech(spark, d):
     docs = _docs(spark, d)
-    return clean_texts(docs, "id", "text", _names(spark, d))
+    return clean_texts(docs, "id", "text", _names(spark, d)).select("id", "text")
+
+
+@query
+def q_capped_names(spark, d):
+    return load_names(names_from_items(read_table(spark, d, "benchmark")), per_list=5)
 
 
 @query
@@ -126,17 +131,38 @@ def q_analyse_text(spark, d):
 
 from parley.operators.hashvec import term_weights  # noqa: E402
 from parley.operators.knn import knn_topk  # noqa: E402
+from parley.operators import model_stage as ms  # noqa: E402
+from parley.plans import dataset as ds  # noqa: E402
 from parley.plans import retrieval as rt  # noqa: E402
 from parley.sources.tables import vectors_from_embeddings  # noqa: E402
 
 
+def _write(spark):
+    return lambda df, name: ds.write_stage(spark, df, name)
+
+
 def _speech(spark, d):
-    return rt.cleaned_speech(_turns(spark, d), _names(spark, d))
+    """Cleaned (masked) speech as a stage table: the conversations are read once."""
+    return ds.write_stage(spark, rt.cleaned_speech(_turns(spark, d), _names(spark, d)), "speech")
+
+
+def _requests_of(speech):
+    return ds.restate_requests(rt.requests_from_speech(speech))
+
+
+def _restated(spark, speech):
+    """``(call_id, spoken, request_id, answer, status)`` after the restating stage."""
+    reqs = _requests_of(speech)
+    return ms.merge_responses(reqs, ms.complete(reqs, ms.stub_model, _write(spark)), ["call_id", "spoken"])
+
+
+def _finished(restated):
+    return restated.where("status = 'done'").select("call_id", "spoken", F.col("answer").alias("request"))
 
 
 def _index_docs(spark, d):
     sp = _speech(spark, d)
-    return rt.build_docs(sp, rt.requests_from_speech(sp))
+    return rt.build_docs(sp, _finished(_restated(spark, sp)))
 
 
 @query
@@ -157,14 +183,14 @@ def q_hash_vectors(spark, d):
 def q_knn_topk(spark, d):
     v = vectors_from_embeddings(read_table(spark, d, "embeddings"))
     hits = knn_topk(v.where(F.col("persona") == CUSTOMER), v.where(F.col("persona") == AGENT),
-                    k=10, query_blocks=2, doc_blocks=4)
+                    k=10)
     return hits.select("query_id", "doc_id", F.col("rank").cast("bigint").alias("rank"),
                        F.round("score", 6).alias("score"))
 
 
 def _candidates(spark, d):
-    # the index is read several times (vectors, idf, queries, documents, texts): materialise once
-    return rt.candidates(materialise(_index_docs(spark, d)), query_blocks=2, doc_blocks=4)
+    docs = ds.write_stage(spark, _index_docs(spark, d), "index")
+    return rt.candidates(ds.write_stage(spark, rt.doc_vectors(docs), "vectors"))
 
 
 @query
@@ -180,16 +206,14 @@ def q_split_candidates(spark, d):
 
 # ---- model stages and the dataset -------------------------------------------------------------
 
-from parley.constants import INVALID  # noqa: E402
-from parley.operators import model_stage as ms  # noqa: E402
-from parley.plans import dataset as ds  # noqa: E402
+from parley.constants import FEATURES, INVALID, NOT_USEFUL_ANSWER  # noqa: E402
 from parley.sources import files as fs  # noqa: E402
 from parley.sources import sinks as sk  # noqa: E402
 from parley.sources.tables import samples_from_events  # noqa: E402
 
 
 def _requests(spark, d):
-    return ds.restate_requests(rt.requests_from_speech(_speech(spark, d)))
+    return _requests_of(_speech(spark, d))
 
 
 @query
@@ -204,6 +228,35 @@ def q_build_messages(spark, d):
         "request_id", "call_id", F.col("pos").cast("bigint").alias("pos"), "m.role", "m.content")
 
 
+@query
+def q_merge_responses(spark, d):
+    reqs = _requests(spark, d)
+    return ms.merge_responses(reqs, ms.complete(reqs, ms.stub_model, _write(spark)), ["call_id"])
+
+
+@query
+def q_usage_log(spark, d):
+    reqs = _requests(spark, d)
+    log = ms.usage_log(ms.complete(reqs, ms.stub_model, _write(spark)), "restate")
+    return log.select("stage", "model", "kind", "request_id", F.col("attempt").cast("bigint").alias("attempt"), "tokens_in", "tokens_out")
+
+
+@query
+def q_restated_requests(spark, d):
+    return _restated(spark, _speech(spark, d)).select("call_id", "answer", "status")
+
+
+def _refine(spark, cands):
+    """Refined answers ``(call_id, rank, answer, status)``."""
+    reqs = ds.refine_requests(cands)
+    return ms.merge_responses(reqs, ms.complete(reqs, ms.stub_model, _write(spark)), ["call_id", "rank"])
+
+
+def _combine(spark, refined):
+    reqs = ds.combine_requests(refined)
+    return ms.merge_responses(reqs, ms.complete(reqs, ms.stub_model, _write(spark)), ["call_id"])
+
+
 @query
 def q_refine_requests(spark, d):
     return ds.refine_requests(_candidates(spark, d)).select(
@@ -211,20 +264,18 @@ def q_refine_requests(spark, d):
 
 
 @query
-def q_merge_responses(spark, d):
-    reqs = _requests(spark, d)
-    resp = ms.call_model(reqs, ms.stub_model, concurrency=4)
-    return ms.merge_responses(reqs, resp, ["call_id"])
+def q_refined_answers(spark, d):
+    return _refine(spark, _candidates(spark, d)).select("call_id", F.col("rank").cast("bigint").alias("rank"), "answer", "status")
 
 
-def _numbered(cands):
-    return cands.select("call_id", "request", ds.number_answers(
-        F.transform(F.slice("answers", 1, 3), lambda a: a["text"])).alias("numbered"))
+@query
+def q_combined_answers(spark, d):
+    return _combine(spark, _refine(spark, _candidates(spark, d))).select("call_id", "answer", "status")
 
 
 @query
 def q_number_answers(spark, d):
-    return _numbered(_candidates(spark, d)).select("call_id", "numbered")
+    return ds.combine_requests(_refine(spark, _candidates(spark, d))).select("call_id", F.col("content").alias("numbered"))
 
 
 @query
@@ -233,8 +284,8 @@ def q_pick_instruction(spark, d):
 
 
 def _pairs(spark, d):
-    merged = _numbered(_candidates(spark, d)).withColumnRenamed("numbered", "answer")
-    return ds.to_pairs(merged)
+    cands = ds.write_stage(spark, _candidates(spark, d), "candidates")
+    return ds.to_pairs(cands.select("call_id", "request"), _combine(spark, _refine(spark, cands)))
 
 
 @query
@@ -250,7 +301,11 @@ def q_sample_pairs(spark, d):
 def _verdict_text():
     return (F.when((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit(f"This request is {INVALID}."))
             .when(F.col("quality") == 0, F.lit(INVALID))
-            .when(F.col("toxic") == 1, F.lit("0")).otherwise(F.lit("1")))
+            .when((F.col("toxic") == 1) & (F.col("doc_id") % 2 == 0), F.lit(f" {NOT_USEFUL_ANSWER.lower()}. "))
+            .when(F.col("toxic") == 1, F.lit("0"))
+            .when(F.col("doc_id") % 5 == 0, F.lit("This is useful"))
+            .when(F.col("doc_id") % 5 == 1, F.lit("not useful at all"))
+            .when(F.col("doc_id") % 5 == 2, F.lit("perhaps")).otherwise(F.lit("1")))
 
 
 @query
@@ -316,9 +371,10 @@ def q_usage_cost(spark, d):
 
 @query
 def q_embed_stage(spark, d):
-    sp = _speech(spark, d).select(F.concat_ws(":", "role", F.col("call_id").cast("string")).alias("id"), "clean")
-    e = ms.embed_stage(sp, "id", "clean", ms.stub_embedder(16))
-    return e.select("id", F.size("embed").cast("bigint").alias("dims"), "tokens")
+    sp = _speech(spark, d).select(F.col("key").alias("id"), "clean")
+    e = ms.embed_stage(sp, "id", "clean", ms.stub_embedder(), _write(spark))
+    total = F.aggregate("embed", F.lit(0.0), lambda a, x: a + F.round(x.cast("double") * 255))
+    return e.select("id", F.size("embed").cast("bigint").alias("dims"), "tokens", total.cast("bigint").alias("bytes_sum"))
 
 
 @query
@@ -342,7 +398,9 @@ def q_profile(spark, d):
     o = read_table(spark, d, "orders")
     cols = o.columns
     one = o.agg(*[F.count(c).alias(c) for c in cols], F.count(F.lit(1)).alias("n"))
-    return one.unpivot("n", cols, "column", "non_null").select("column", "non_null", "n")
+    kinds = F.create_map(*(F.lit(x) for c, kind in o.dtypes for x in (c, kind)))
+    return one.unpivot("n", cols, "column", "non_null").select(
+        "column", "non_null", "n", F.element_at(kinds, F.col("column")).alias("dtype"))
 
 
 @query
@@ -377,11 +435,21 @@ def q_strict_docs(spark, d):
 
 @query
 def q_bad_inputs(spark, d):
-    docs = read_table(spark, d, "documents").select(
-        F.lit("documents").alias("source"), F.col("doc_id").alias("id"), sk.text_problem("text").alias("problem"))
-    emb = read_table(spark, d, "embeddings").select(
-        F.lit("embeddings").alias("source"), F.col("vec_id").alias("id"), sk.vector_problem("embedding", 64).alias("problem"))
-    return docs.unionByName(emb).where(F.col("problem").isNotNull())
+    """Problems of the tables as they are, and of three columns that Spark derives from them and
+    that hold bad values: digits alone of a text, vectors cut short, props cut open."""
+    docs = read_table(spark, d, "documents")
+    emb = read_table(spark, d, "embeddings")
+    ev = read_table(spark, d, "events")
+    digits = docs.select("doc_id", F.regexp_replace("text", "[^0-9]", " ").alias("digits"))
+    short = emb.select("vec_id", F.when(F.col("label") % 4 == 1, F.slice("embedding", 1, 32)).when(
+        F.col("label") % 4 == 2, F.transform("embedding", lambda x: x * 0)).otherwise(F.col("embedding")).alias("short"))
+    cut = ev.select("event_id", F.when(F.col("event_type") == "error", F.expr("left(props, length(props) - 1)")).when(
+        F.col("event_type") != "signup", F.col("props")).alias("cut"))
+    checked = [("documents", docs, "doc_id", sk.text_problem("text")), ("embeddings", emb, "vec_id", sk.vector_problem("embedding", 64)),
+               ("digits", digits, "doc_id", sk.text_problem("digits")), ("short", short, "vec_id", sk.vector_problem("short", 64)),
+               ("cut", cut, "event_id", fs.chunk_problem("cut"))]
+    parts = [df.select(F.lit(name).alias("source"), F.col(key).alias("id"), problem.alias("problem")) for name, df, key, problem in checked]
+    return reduce(DataFrame.unionByName, parts).where(F.col("problem").isNotNull())
 
 
 @query
@@ -396,11 +464,6 @@ def q_chunks_to_turns(spark, d):
     return fs.chunks_to_turns(src, "stt", ["call_id", "blk"])
 
 
-@query
-def q_manifest(spark, d):
-    return fs.manifest(spark, d, glob="*.parquet").select("path", "length")
-
-
 @query
 def q_incremental_ingest(spark, d):
     from parley.schemas import TABLE_SCHEMAS
@@ -410,9 +473,16 @@ def q_incremental_ingest(spark, d):
     def transform(df):
         return turns_from_conversations(df).select("call_id", "start_s", "role", "text")
 
-    return ingest_available(spark, d, "conversations.parquet", TABLE_SCHEMAS["conversations"], transform,
-                            ["call_id", "start_s", "role"], scratch_path(spark, "ingest-sink"),
-                            scratch_path(spark, "ingest-ckpt"))
+    sink, seen = scratch_path(spark, "ingest-sink"), scratch_path(spark, "ingest-ckpt")
+    step = lambda folder: ingest_available(
+        spark, folder, "*.parquet", TABLE_SCHEMAS["conversations"], transform, sink, seen, files_per_batch=1)
+    # the table arrives in two files; each run takes what is new, and a third run finds nothing
+    folder = scratch_path(spark, "ingest-source")
+    given = read_table(spark, d, "conversations")
+    for part in (0, 1):
+        given.where(F.pmod("conv_id", F.lit(2)) == part).write.mode("append").parquet(folder)
+        step(folder)
+    return step(folder).drop("epoch")
 
 
 # ---- segments, spectra and signals -------------------------------------------------------------
@@ -421,8 +491,8 @@ from parley.functions import signal as sg  # noqa: E402
 from parley.operators import segments as seg  # noqa: E402
 
 
-def _framed(spark, d):
-    return seg.frame_samples(samples_from_events(read_table(spark, d, "events")).select("call_id", "t", "value", "event_type"))
+def _samples(spark, d):
+    return samples_from_events(read_table(spark, d, "events")).select("call_id", "t", "value", "event_type")
 
 
 def _r6(c):
@@ -431,24 +501,23 @@ def _r6(c):
 
 @query
 def q_segment_features(spark, d):
-    st = seg.segment_stats(_framed(spark, d))
+    st = seg.segment_stats(_samples(spark, d))
     return st.select("call_id", "seg", *[_r6(c).alias(c) for c in ("mean", "sd", "median", "max", "min")], "n")
 
 
-def _frame_cents(spark, d):
-    return _framed(spark, d).groupBy("call_id", "seg").agg(F.round(F.sum("value") * 100).cast("bigint").alias("v"))
+def _cents():
+    return F.round(F.sum("value") * 100).cast("bigint")
 
 
 @query
 def q_two_means_1d(spark, d):
-    return seg.two_means_1d(_frame_cents(spark, d), "call_id", "seg", "v").select(
+    return seg.two_means_1d(seg.segment_stats(_samples(spark, d), v=_cents()), "call_id", "seg", "v").select(
         "call_id", "seg", F.col("label").cast("bigint").alias("label"))
 
 
 def _click_changes(spark, d):
-    lab = _framed(spark, d).groupBy("call_id", "seg").agg(
-        F.max((F.col("event_type") == "click").cast("int")).alias("label"))
-    return seg.change_point(lab)
+    clicks = seg.segment_stats(_samples(spark, d), label=F.max((F.col("event_type") == "click").cast("int")))
+    return seg.change_point(clicks.select("call_id", "seg", "label"))
 
 
 @query
@@ -458,11 +527,9 @@ def q_change_point(spark, d):
 
 @query
 def q_ivr_removal(spark, d):
-    framed = _framed(spark, d)
-    labels = seg.two_means_1d(_frame_cents(spark, d), "call_id", "seg", "v")
-    cp = seg.change_point(labels)
-    st = seg.segment_stats(framed).withColumn("t0", F.col("seg") * 5)
-    kept = seg.cut_before(st, cp, "call_id", "t0")
+    st = ds.write_stage(spark, seg.segment_stats(_samples(spark, d), v=_cents()).select("call_id", "seg", "mean", "v"), "segments")
+    cp = seg.change_point(seg.two_means_1d(st, "call_id", "seg", "v"))
+    kept = seg.cut_before(st.withColumn("t0", F.col("seg") * 5), cp, "call_id", "t0")
     return kept.select("call_id", "seg", _r6("mean").alias("value"))
 
 
@@ -476,37 +543,39 @@ def q_cut_ivr(spark, d):
 @query
 def q_gap_turns(spark, d):
     ev = read_table(spark, d, "events").select("event_id", F.col("user_id").alias("call_id"), "ts")
-    g = tn.gap_turns(ev, "call_id", "ts", min_silence_s=6 * 3600, min_speech_s=0.0, pad_s=0.4)
+    g = tn.gap_turns(ev, "call_id", "ts", "event_id", min_silence_s=6 * 3600, min_speech_s=1800, pad_s=0.4)
     return g.select("call_id", F.col("turn").cast("bigint").alias("turn"), "start_us", "end_us", "n")
 
 
 def _spectra(spark, d):
+    """Vectors as spectra: 64 frames a call, 8 frames a segment, in order of the id."""
     e = read_table(spark, d, "embeddings")
-    return e.select(F.col("label").cast("bigint").alias("call_id"), F.col("vec_id").alias("seg"),
+    return e.select(F.floor(F.col("vec_id") / 64).alias("call_id"), F.floor(F.pmod("vec_id", F.lit(64)) / 8).alias("seg"),
                     F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("mag"))
 
 
 @query
 def q_spectral_summary(spark, d):
-    fr = _spectra(spark, d).select("call_id", "seg", sg.centroid("mag").alias("c"), sg.flatness("mag").alias("f"),
-                                   sg.rolloff("mag", 0.99).alias("r99"), sg.rolloff("mag", 0.01).alias("r01"))
-    aggs = []
-    for col, name, stats in (("c", "centroid", ("mean", "sd", "median", "max", "min")),
-                             ("f", "sfm", ("mean", "median", "sd")),
-                             ("r99", "rolloff_099", ("mean", "median", "sd", "min", "max")),
-                             ("r01", "rolloff_001", ("mean", "median", "sd", "min", "max"))):
-        fn = {"mean": F.avg, "sd": F.stddev_pop, "median": F.median, "max": F.max, "min": F.min}
-        aggs += [_r6(fn[s](F.col(col).cast("double"))).alias(f"{s}_{name}") for s in stats]
-    return fr.groupBy("call_id").agg(*aggs)
+    f = seg.spectral_features(_spectra(spark, d))
+    return f.select("call_id", "seg", *(_r6(c).alias(c) for c in FEATURES))
+
+
+def _two_means(spark, d):
+    features = ds.write_stage(spark, seg.spectral_features(_spectra(spark, d)), "features")
+    return features, seg.two_means(features, "call_id", "seg", FEATURES, _write(spark))
 
 
 @query
 def q_two_means(spark, d):
-    e = read_table(spark, d, "embeddings")
-    feats = [f"f{i}" for i in range(18)]
-    x = e.select(F.col("label").cast("bigint").alias("call_id"), F.col("vec_id").alias("seg"),
-                 *[F.get("embedding", i).cast("double").alias(f) for i, f in enumerate(feats)])
-    return seg.two_means(x, "call_id", "seg", feats)
+    return _two_means(spark, d)[1]
+
+
+@query
+def q_ivr_cut_features(spark, d):
+    """The whole opening removal: features, clusters, change point, cut."""
+    features, labels = _two_means(spark, d)
+    kept = seg.cut_before(features.withColumn("t0", F.col("seg") * 5), seg.change_point(labels), "call_id", "t0")
+    return kept.select("call_id", "seg", _r6("meanfreq").alias("meanfreq"))
 
 
 def _signal_parts(spark, d, parts):

@@ -1,7 +1,7 @@
 """SCL-1: the cleaning chain - repeats, unicode, punctuation, digits, names, in this order.
 
-The texts are hash-partitioned by id once; the repetition filter, the name matching and the
-join back all reuse that partitioning, so the chain costs one shuffle of the texts.
+With a small name dictionary the whole chain is one pass over the texts: no shuffle, no
+checkpoint. With a large one, masking joins (see :mod:`parley.operators.names`).
 """
 
 from __future__ import annotations
@@ -11,24 +11,20 @@ from pyspark.sql import functions as F
 
 from parley.functions import text as tx
 from parley.operators.names import mask_names
-from parley.operators.repeats import filter_repeats
-from parley.session import materialise
+from parley.operators.repeats import repeats_removed
 
 
 def clean_texts(df: DataFrame, id_col: str, text_col: str, names: DataFrame | None, compat: bool = False,
                 out_col: str | None = None, digits_twice: bool = False) -> DataFrame:
-    """``(id_col, out_col)``: one cleaned text per id. ``names=None`` skips masking."""
+    """The rows of ``df`` with a cleaned text in ``out_col`` (``text_col`` by default; it is not kept
+    otherwise). ``names=None`` skips masking."""
     out_col = out_col or text_col
-    t = filter_repeats(df, id_col, text_col, out_col="_c")
-    c = tx.strip_digits(tx.normalise_punct(tx.repair_unicode(F.col("_c")), compat=compat))
+    c = tx.strip_digits(tx.normalise_punct(tx.repair_unicode(repeats_removed(F.col(text_col))), compat=compat))
     if digits_twice:  # the agent side removes digits again (idempotent, kept for parity)
         c = tx.strip_digits(c)
-    t = t.select(id_col, c.alias("_c"))
-    if names is not None:
-        # masking reads the texts twice (token matching and the join back): compute them once
-        t = materialise(t)
-        t = mask_names(t, id_col, "_c", names, compat=compat, partitioned=True)
-    return t.withColumnRenamed("_c", out_col)
+    rest = [x for x in df.columns if x not in (text_col, out_col)]
+    t = df.select(*rest, c.alias(out_col))
+    return t if names is None else mask_names(t, id_col, out_col, names, compat=compat)
 
 
 def clean_audit(original: DataFrame, cleaned: DataFrame, id_col: str, group_col: str) -> DataFrame:

@@ -36,8 +36,12 @@ def number_answers(answers) -> F.Column:
 
 
 def combine_requests(refined: DataFrame) -> DataFrame:
-    """PIPE-5: one combine request per call from its refined answers (array column ``refined``)."""
-    return build_messages(refined.withColumn("content", number_answers(F.col("refined"))), PROMPT_COMBINE, "content")
+    """PIPE-5: one combine request per call from its finished refined answers ``(call_id, rank,
+    answer, status)``, in rank order. Answers that are not finished are left out, and a call
+    without any waits."""
+    done = refined.where("status = 'done'").groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("rank", "answer"))).alias("a"))
+    return build_messages(done.select("call_id", number_answers(F.transform("a", lambda x: x["answer"])).alias("content")),
+                          PROMPT_COMBINE, "content")
 
 
 def pick_instruction(key_col: str, seed: str = INSTRUCTION_SEED) -> F.Column:
@@ -47,9 +51,11 @@ def pick_instruction(key_col: str, seed: str = INSTRUCTION_SEED) -> F.Column:
     return F.element_at(F.array(*[F.lit(t) for t in INSTRUCTIONS]), idx.cast("int"))
 
 
-def to_pairs(merged: DataFrame) -> DataFrame:
-    """PIPE-6 / PRJ-2: ``(call_id, instruction, request, answer)``."""
-    return merged.select("call_id", pick_instruction("call_id").alias("instruction"), "request", "answer")
+def to_pairs(requests: DataFrame, combined: DataFrame) -> DataFrame:
+    """PIPE-6 / PRJ-2: ``(call_id, instruction, request, answer)`` of the calls whose request and
+    combined answer are both finished."""
+    answers = combined.where("status = 'done'").select("call_id", "answer")
+    return requests.join(answers, "call_id").select("call_id", pick_instruction("call_id").alias("instruction"), "request", "answer")
 
 
 def sample_rows(df: DataFrame, key_col: str, n: int, seed: str = INSTRUCTION_SEED) -> DataFrame:
@@ -66,5 +72,7 @@ def write_stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
-    """SNK-2 export of the final pairs (header and separator options as the reference offers)."""
-    df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+    """SNK-2 export of the final pairs; quotes inside a field are doubled. An existing folder is an
+    error, not overwritten."""
+    (df.write.mode("errorifexists").option("header", header).option("sep", sep)
+     .option("quote", '"').option("escape", '"').csv(path))

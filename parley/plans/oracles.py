@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parley.constants import NAME_MASK
+from parley.constants import INSTRUCTION_SEED, INSTRUCTIONS, NAME_MASK, PROMPT_REFINE, PROMPT_RESTATE
 from parley.plans import sqlkit as K
 
 ORACLES: dict[str, str] = {}
@@ -63,11 +63,33 @@ SELECT doc_id, CAST(len(t) AS BIGINT) AS n_terms, CAST(len(list_distinct(t)) AS
 FROM (SELECT doc_id, {K.terms('text')} AS t FROM documents)""")
 
 
+oracle("capped_names", K.with_ctes(
+    K.names_steps(), "SELECT DISTINCT lower(name) AS name FROM (SELECT *, row_number() OVER (PARTITION BY list "
+                     "ORDER BY rank, name) AS r FROM nm_raw) WHERE r <= 5 AND lower(name) <> ''"))
+
+
+# ---- model answers -----------------------------------------------------------------------------
+
+NL = "chr(10)"
+
+
+def req_key(prompt: str, content: str) -> str:
+    return f"sha256({K.lit(prompt)} || {NL} || {NL} || {content})"
+
+
+def stub_answer(content: str) -> str:
+    """Answer and status that the stand-in model leads to, retry round included."""
+    h, body = f"md5({content})", f"left(regexp_replace({content}, '</?(transcription|dem|res)>', '', 'g'), 400)"
+    return (f"CASE WHEN {h} LIKE '0%' THEN 'NOT YET' WHEN {h} SIMILAR TO '1[0-3].*' THEN 'BIG ERROR' "
+            f"ELSE 'a' || substr({h}, 1, 8) || ' ' || {body} END AS answer, "
+            f"CASE WHEN {h} LIKE '0%' THEN 'pending' WHEN {h} SIMILAR TO '1[0-3].*' THEN 'failed' ELSE 'done' END AS status")
+
+
 # ---- vectors and retrieval ---------------------------------------------------------------------
 
 def speech_docs_steps() -> list[tuple[str, str]]:
-    """CTEs ending in ``ix(doc_id, persona, category, call_id, original, text)``."""
-    nl = "chr(10)"
+    """CTEs ending in ``ix(doc_id, persona, category, call_id, original, text)``; on the way
+    ``rq(request_id, call_id, content)`` and ``rst(call_id, request_id, content, answer, status)``."""
     return [
         ("t", TURNS),
         ("sp", "SELECT role || ':' || CAST(call_id AS VARCHAR) AS id, call_id, role, "
@@ -75,12 +97,14 @@ def speech_docs_steps() -> list[tuple[str, str]]:
                "WHERE text IS NOT NULL AND text <> '' GROUP BY call_id, role"),
         ("src", "SELECT id, text FROM sp"),
     ] + K.names_steps() + K.clean_steps("src", "nm") + [
-        ("ix", f"SELECT 'customer:' || CAST(sp.call_id AS VARCHAR) AS doc_id, 'customer' AS persona, "
-               f"'request' AS category, sp.call_id, {nl} || {nl} || '<transcription>' || {nl} || c.text || {nl} "
-               f"|| '</transcription>' AS original, c.text AS text FROM sp JOIN c_out c ON sp.id = c.id "
-               f"WHERE sp.role = 'customer' UNION ALL "
-               f"SELECT 'agent:' || CAST(sp.call_id AS VARCHAR), 'agent', NULL, sp.call_id, 'N/A', c.text "
-               f"FROM sp JOIN c_out c ON sp.id = c.id WHERE sp.role = 'agent'"),
+        ("rq", f"SELECT {req_key(PROMPT_RESTATE, 'content')} AS request_id, call_id, content FROM (SELECT sp.call_id, "
+               f"{NL} || {NL} || '<transcription>' || {NL} || c.text || {NL} || '</transcription>' AS content "
+               f"FROM sp JOIN c_out c ON sp.id = c.id WHERE sp.role = 'customer')"),
+        ("rst", f"SELECT call_id, request_id, content, {stub_answer('content')} FROM rq"),
+        ("ix", "SELECT 'customer:' || CAST(call_id AS VARCHAR) AS doc_id, 'customer' AS persona, 'request' AS category, "
+               "call_id, content AS original, answer AS text FROM rst WHERE status = 'done' UNION ALL "
+               "SELECT 'agent:' || CAST(sp.call_id AS VARCHAR), 'agent', NULL, sp.call_id, 'N/A', c.text "
+               "FROM sp JOIN c_out c ON sp.id = c.id WHERE sp.role = 'agent'"),
     ]
 
 
@@ -137,7 +161,7 @@ def candidates_steps() -> list[tuple[str, str]]:
         ("top", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, did) AS rank "
                 "FROM sc) WHERE rank <= 10"),
         ("agg", "SELECT qid, count(*) AS n, max(score) AS max_score, "
-                "string_agg(ix.text || '<sep>', '' ORDER BY rank) AS answers_joined "
+                "string_agg(replace(replace(ix.text, '\\', '\\\\'), '<sep>', '<\\sep>') || '<sep>', '' ORDER BY rank) AS answers_joined "
                 "FROM top JOIN ix ON ix.doc_id = top.did GROUP BY qid"),
         ("cand", "SELECT r.call_id, r.text AS request, coalesce(agg.n, 0) AS n, "
                  "round(coalesce(agg.max_score, -1), 6) AS max_score, coalesce(agg.answers_joined, '') AS answers_joined "
@@ -148,26 +172,13 @@ def candidates_steps() -> list[tuple[str, str]]:
 oracle("candidates", K.with_ctes(candidates_steps(), "SELECT * FROM cand"))
 
 oracle("split_candidates", K.with_ctes(
-    candidates_steps(),
-    "SELECT call_id, pos, answer FROM (SELECT call_id, unnest(p[1:len(p) - 1]) AS answer, "
-    "unnest(range(len(p) - 1)) AS pos FROM (SELECT call_id, string_split(answers_joined, '<sep>') AS p FROM cand))"))
+    candidates_steps(), "SELECT r.call_id, top.rank - 1 AS pos, a.text AS answer FROM top JOIN ix r ON r.doc_id = top.qid "
+                        "JOIN ix a ON a.doc_id = top.did"))
 
 
 # ---- model stages and the dataset -------------------------------------------------------------
 
-from parley.constants import INSTRUCTION_SEED, INSTRUCTIONS, PROMPT_REFINE, PROMPT_RESTATE  # noqa: E402
-
-NL = "chr(10)"
-
-
-def req_key(prompt: str, content: str) -> str:
-    return f"sha256({K.lit(prompt)} || {NL} || {NL} || {content})"
-
-
-REQ = speech_docs_steps() + [
-    ("rq", f"SELECT {req_key(PROMPT_RESTATE, 'original')} AS request_id, call_id, original AS content "
-           f"FROM ix WHERE persona = 'customer'"),
-]
+REQ = speech_docs_steps()
 
 oracle("build_requests", K.with_ctes(REQ, "SELECT request_id, call_id, content FROM rq"))
 
@@ -175,26 +186,39 @@ oracle("build_messages", K.with_ctes(
     REQ, f"SELECT request_id, call_id, 0 AS pos, 'system' AS role, {K.lit(PROMPT_RESTATE)} AS content FROM rq "
          f"UNION ALL SELECT request_id, call_id, 1, 'user', content FROM rq"))
 
-oracle("merge_responses", K.with_ctes(
-    REQ, "SELECT call_id, request_id, CASE WHEN md5(content) LIKE '0%' THEN 'NOT YET' "
-         "ELSE 'ok:' || substr(md5(content), 1, 12) END AS answer, "
-         "CASE WHEN md5(content) LIKE '0%' THEN 'pending' ELSE 'done' END AS status FROM rq"))
+oracle("merge_responses", K.with_ctes(REQ, "SELECT call_id, request_id, answer, status FROM rst"))
+oracle("restated_requests", K.with_ctes(REQ, "SELECT call_id, answer, status FROM rst"))
+
+_N = "CAST(len({}) AS BIGINT)".format
+oracle("usage_log", K.with_ctes(
+    REQ + [("calls", f"SELECT DISTINCT request_id, md5(content) AS h, content, {_N(K.words_list('content'))} AS tokens_in, "
+                     f"{_N(K.words_list('answer'))} AS n_out FROM rst WHERE md5(content) NOT LIKE '0%'")],
+    "SELECT 'restate' AS stage, 'base' AS model, 'chat' AS kind, request_id, 1 AS attempt, tokens_in, "
+    "CASE WHEN h LIKE '1%' THEN 0 ELSE n_out END AS tokens_out FROM calls UNION ALL "
+    "SELECT 'restate', 'large', 'chat', request_id, 2, tokens_in, CASE WHEN h SIMILAR TO '1[0-3].*' THEN 0 ELSE n_out END "
+    "FROM calls WHERE h LIKE '1%'"))
 
 _REF = (f"'<dem>' || r.text || '</dem>' || {NL} || '<res>' || a.text || '</res>'")
-oracle("refine_requests", K.with_ctes(
-    candidates_steps(),
-    f"SELECT {req_key(PROMPT_REFINE, 'content')} AS request_id, call_id, rank, content FROM "
-    f"(SELECT r.call_id, top.rank, {_REF} AS content FROM top JOIN ix r ON r.doc_id = top.qid "
-    f"JOIN ix a ON a.doc_id = top.did WHERE top.rank <= 3)"))
 
-NUMBERED = candidates_steps() + [
-    ("nb", f"SELECT qid, string_agg(CAST(top.rank AS VARCHAR) || ') ' || ix.text, {NL} ORDER BY top.rank) AS numbered "
-           f"FROM top JOIN ix ON ix.doc_id = top.did WHERE top.rank <= 3 GROUP BY qid"),
-    ("nbr", "SELECT r.call_id, r.text AS request, coalesce(nb.numbered, '') AS numbered FROM ix r "
-            "LEFT JOIN nb ON nb.qid = r.doc_id WHERE r.persona = 'customer'"),
-]
 
-oracle("number_answers", K.with_ctes(NUMBERED, "SELECT call_id, numbered FROM nbr"))
+def refine_steps() -> list[tuple[str, str]]:
+    """CTEs on to ``rf(call_id, rank, content)``, its answers ``ra``, the combine requests ``cb`` and
+    their answers ``ca``."""
+    return candidates_steps() + [
+        ("rf", f"SELECT r.call_id, top.rank, {_REF} AS content FROM top JOIN ix r ON r.doc_id = top.qid "
+               f"JOIN ix a ON a.doc_id = top.did WHERE top.rank <= 3"),
+        ("ra", f"SELECT call_id, rank, {stub_answer('content')} FROM rf"),
+        ("cb", f"SELECT call_id, string_agg(CAST(k AS VARCHAR) || ') ' || answer, {NL} ORDER BY rank) AS content FROM "
+               f"(SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY rank) AS k FROM ra WHERE status = 'done') GROUP BY call_id"),
+        ("ca", f"SELECT call_id, {stub_answer('content')} FROM cb"),
+    ]
+
+
+oracle("refine_requests", K.with_ctes(
+    refine_steps(), f"SELECT {req_key(PROMPT_REFINE, 'content')} AS request_id, call_id, rank, content FROM rf"))
+oracle("refined_answers", K.with_ctes(refine_steps(), "SELECT call_id, rank, answer, status FROM ra"))
+oracle("number_answers", K.with_ctes(refine_steps(), "SELECT call_id, content AS numbered FROM cb"))
+oracle("combined_answers", K.with_ctes(refine_steps(), "SELECT call_id, answer, status FROM ca"))
 
 
 def pick(key: str) -> str:
@@ -203,20 +227,23 @@ def pick(key: str) -> str:
     return f"list_extract({arr}, ({h} % {len(INSTRUCTIONS)}) + 1)"
 
 
-oracle("pick_instruction", K.with_ctes(speech_docs_steps(),
-                                       f"SELECT call_id, {pick('call_id')} AS instruction FROM ix WHERE persona = 'customer'"))
+oracle("pick_instruction", K.with_ctes(REQ, f"SELECT call_id, {pick('call_id')} AS instruction FROM rq"))
 
-PAIRS = f"SELECT call_id, {pick('call_id')} AS instruction, request, numbered AS answer FROM nbr"
-oracle("pairs", K.with_ctes(NUMBERED, PAIRS))
+PAIRS = (f"SELECT ca.call_id, {pick('ca.call_id')} AS instruction, ix.text AS request, ca.answer FROM ca "
+         f"JOIN ix ON ix.call_id = ca.call_id AND ix.persona = 'customer' WHERE ca.status = 'done'")
+oracle("pairs", K.with_ctes(refine_steps(), PAIRS))
 oracle("sample_pairs", K.with_ctes(
-    NUMBERED, f"SELECT * FROM ({PAIRS}) ORDER BY md5({K.lit(INSTRUCTION_SEED + ':')} || CAST(call_id AS VARCHAR)), "
+    refine_steps(), f"SELECT * FROM ({PAIRS}) ORDER BY md5({K.lit(INSTRUCTION_SEED + ':')} || CAST(call_id AS VARCHAR)), "
               f"call_id LIMIT 10"))
 
 VERDICT_TEXT = ("CASE WHEN quality = 0 AND toxic = 1 THEN 'This request is INVALID.' WHEN quality = 0 THEN 'INVALID' "
-                "WHEN toxic = 1 THEN '0' ELSE '1' END")
+                "WHEN toxic = 1 AND doc_id % 2 = 0 THEN ' não é útil. ' WHEN toxic = 1 THEN '0' "
+                "WHEN doc_id % 5 = 0 THEN 'This is useful' WHEN doc_id % 5 = 1 THEN 'not useful at all' "
+                "WHEN doc_id % 5 = 2 THEN 'perhaps' ELSE '1' END")
 oracle("classify_verdict", f"""
 SELECT doc_id, CASE WHEN t IS NULL THEN NULL
   WHEN regexp_matches(upper(trim(t)), '(^|[^A-Z])INVALID([^A-Z]|$)') THEN 'invalid'
+  WHEN contains(lower(t), 'não é útil') THEN 'not_useful'
   WHEN upper(trim(t)) = '1' THEN 'useful' WHEN upper(trim(t)) = '0' THEN 'not_useful'
   WHEN contains(upper(trim(t)), 'NOT USEFUL') THEN 'not_useful' WHEN contains(upper(trim(t)), 'USEFUL') THEN 'useful'
   ELSE 'unknown' END AS verdict
@@ -258,8 +285,9 @@ u AS (SELECT CASE l_returnflag WHEN 'A' THEN 'embed' WHEN 'N' THEN 'restate' ELS
              CASE WHEN l_returnflag = 'A' THEN 0 ELSE CAST(floor(l_quantity) AS BIGINT) * 10 END AS tokens_out
       FROM lineitem)
 SELECT stage, model, CAST(sum(tokens_in) AS BIGINT) AS tokens_in, CAST(sum(tokens_out) AS BIGINT) AS tokens_out,
-       round(CAST(sum(tokens_in * nano_in + tokens_out * nano_out) AS DOUBLE) / 1e9, 6) AS cost
-FROM u JOIN p USING (kind) GROUP BY ROLLUP (stage, model)""")
+       round(CAST(sum(tokens_in * coalesce(nano_in, 0) + tokens_out * coalesce(nano_out, 0)) AS DOUBLE) / 1e9, 6) AS cost,
+       CAST(count(*) FILTER (WHERE nano_in IS NULL) AS BIGINT) AS n_unpriced
+FROM u LEFT JOIN p USING (kind) GROUP BY ROLLUP (stage, model)""")
 
 oracle("compare_runs", """
 SELECT d.doc_id, r1.run1, r2.run2, r3.run3,
@@ -271,8 +299,14 @@ LEFT JOIN (SELECT doc_id, CASE WHEN quality = 0 AND toxic = 1 THEN 'INVALID' ELS
   ON d.doc_id = r3.doc_id""")
 
 oracle("profile", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count({c}) AS non_null, count(*) AS n FROM orders"
-    for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]))
+    f"SELECT '{c}' AS \"column\", count({c}) AS non_null, count(*) AS n, '{kind}' AS dtype FROM orders"
+    for c, kind in [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+                    ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]))
+
+oracle("embed_stage", K.with_ctes(speech_docs_steps(), f"""
+SELECT sp.id, 16 AS dims, CAST(len({K.words_list('c.text')}) AS BIGINT) AS tokens,
+       CAST(list_sum(list_transform(range(16), lambda i: ('0x' || substr(md5(c.text), 2 * i + 1, 2))::BIGINT)) AS BIGINT) AS bytes_sum
+FROM sp JOIN c_out c ON sp.id = c.id"""))
 
 oracle("stage_counts", """
 WITH j AS (SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
@@ -293,14 +327,25 @@ SELECT event_id, array_to_string(list_sort(list_filter(k, lambda x: x NOT IN ('k
        coalesce(k IS NOT NULL AND len(list_filter(k, lambda x: x NOT IN ('k'))) = 0 AND list_contains(k, 'k'), false) AS ok
 FROM (SELECT event_id, CASE WHEN json_valid(props) THEN json_keys(props) END AS k FROM events)""")
 
+_VEC = ("CASE WHEN {0} IS NULL THEN 'null_vector' WHEN len({0}) <> 64 THEN 'bad_dims' "
+        "WHEN list_bool_and(list_transform({0}, lambda x: x = 0)) THEN 'zero_vector' END").format
+
+
+def _TXT(e: str) -> str:
+    return f"CASE WHEN {e} IS NULL THEN 'null_text' WHEN regexp_full_match({e}, {K.lit('[' + K.WS + ']*')}) THEN 'empty_text' END"
+
+
 oracle("bad_inputs", f"""
-SELECT 'documents' AS source, doc_id AS id,
-       CASE WHEN text IS NULL THEN 'null_text' ELSE 'empty_text' END AS problem
-FROM documents WHERE text IS NULL OR regexp_full_match(text, {K.lit('[' + K.WS + ']*')})
-UNION ALL
-SELECT 'embeddings', vec_id, CASE WHEN embedding IS NULL THEN 'null_vector' WHEN len(embedding) <> 64 THEN 'bad_dims'
-       ELSE 'zero_vector' END
-FROM embeddings WHERE embedding IS NULL OR len(embedding) <> 64 OR list_bool_and(list_transform(embedding, lambda x: x = 0))""")
+SELECT * FROM (
+SELECT 'documents' AS source, doc_id AS id, {_TXT('text')} AS problem FROM documents
+UNION ALL SELECT 'embeddings', vec_id, {_VEC('embedding')} FROM embeddings
+UNION ALL SELECT 'digits', doc_id, {_TXT("regexp_replace(text, '[^0-9]', ' ', 'g')")} FROM documents
+UNION ALL SELECT 'short', vec_id, {_VEC('s')} FROM (SELECT vec_id, CASE label % 4 WHEN 1 THEN embedding[1:32]
+  WHEN 2 THEN list_transform(embedding, lambda x: x * 0) ELSE embedding END AS s FROM embeddings)
+UNION ALL SELECT 'cut', event_id, CASE WHEN c IS NULL THEN 'null_json' WHEN NOT json_valid(c) THEN 'bad_json' END FROM
+  (SELECT event_id, CASE WHEN event_type = 'error' THEN left(props, length(props) - 1) WHEN event_type <> 'signup' THEN props END AS c
+   FROM events)
+) WHERE problem IS NOT NULL""")
 
 oracle("chunks_to_turns", f"""
 SELECT call_id, blk, seq, start_s, CASE WHEN seq = n - 1 THEN NULL ELSE start_s + 1 END AS end_s, text
@@ -374,27 +419,24 @@ h AS (SELECT *, CASE WHEN lag(t) OVER w IS NULL OR t - lag(t) OVER w > 216000000
       FROM g WINDOW w AS (PARTITION BY call_id ORDER BY t, event_id)),
 i AS (SELECT *, sum(nw) OVER (PARTITION BY call_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) - 1 AS turn FROM h)
 SELECT call_id, CAST(turn AS BIGINT) AS turn, min(t) - 400000 AS start_us, max(t) + 400000 AS end_us, count(*) AS n
-FROM i GROUP BY call_id, turn HAVING max(t) - min(t) >= 0""")
+FROM i GROUP BY call_id, turn HAVING max(t) - min(t) >= 1800000000""")
 
-_SPEC_AGGS = []
-for _col, _name, _stats in (("c", "centroid", ("mean", "sd", "median", "max", "min")),
-                            ("f", "sfm", ("mean", "median", "sd")),
-                            ("r99", "rolloff_099", ("mean", "median", "sd", "min", "max")),
-                            ("r01", "rolloff_001", ("mean", "median", "sd", "min", "max"))):
-    _fn = {"mean": "avg", "sd": "stddev_pop", "median": "median", "max": "max", "min": "min"}
-    _SPEC_AGGS += [f"round({_fn[s]}(CAST({_col} AS DOUBLE)), 6) AS {s}_{_name}" for s in _stats]
+_FN = {"mean": "avg", "sd": "stddev_pop", "median": "median", "max": "max", "min": "min"}
+_SPEC_AGGS = [f"round({_FN[_s]}(CAST({_c} AS DOUBLE)), 6) AS {_name}" for _c, _s, _name in [
+    ("c", "mean", "meanfreq"), ("c", "sd", "sd"), ("c", "median", "median"), ("c", "max", "maxfreq"), ("c", "min", "minfreq"),
+    *[("f", _s, f"{_s}_sfm") for _s in ("mean", "median", "sd")],
+    *[(f"r{_r[1:]}", _s, f"{_s}_rolloff_{_r}") for _r in ("099", "001") for _s in ("mean", "median", "sd", "min", "max")]]]
 
 oracle("spectral_summary", f"""
-WITH b AS (SELECT CAST(label AS BIGINT) AS call_id, vec_id AS seg, unnest(range(len(embedding))) AS i,
-                  abs(CAST(unnest(embedding) AS DOUBLE)) AS m FROM embeddings),
-cu AS (SELECT *, sum(m) OVER (PARTITION BY seg ORDER BY i ROWS UNBOUNDED PRECEDING) AS cum,
-              sum(m) OVER (PARTITION BY seg) AS tot FROM b),
-fr AS (SELECT call_id, seg, CASE WHEN sum(m) > 0 THEN sum(i * m) / sum(m) END AS c,
+WITH b AS (SELECT vec_id, unnest(range(len(embedding))) AS i, abs(CAST(unnest(embedding) AS DOUBLE)) AS m FROM embeddings),
+cu AS (SELECT *, sum(m) OVER (PARTITION BY vec_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS cum,
+              sum(m) OVER (PARTITION BY vec_id) AS tot FROM b),
+fr AS (SELECT vec_id // 64 AS call_id, vec_id % 64 // 8 AS seg, CASE WHEN sum(m) > 0 THEN sum(i * m) / sum(m) END AS c,
               exp(avg(ln(greatest(m * m, 1e-10)))) / avg(greatest(m * m, 1e-10)) AS f,
               CASE WHEN max(tot) > 0 THEN min(i) FILTER (WHERE cum >= 0.99 * tot) END AS r99,
               CASE WHEN max(tot) > 0 THEN min(i) FILTER (WHERE cum >= 0.01 * tot) END AS r01
-       FROM cu GROUP BY call_id, seg)
-SELECT call_id, {', '.join(_SPEC_AGGS)} FROM fr GROUP BY call_id""")
+       FROM cu GROUP BY vec_id)
+SELECT call_id, seg, {', '.join(_SPEC_AGGS)} FROM fr GROUP BY call_id, seg""")
 
 _E = "SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings"
 oracle("frame_signal", f"""

@@ -18,23 +18,22 @@ from parley.plans.clean import clean_texts
 
 
 def cleaned_speech(turns: DataFrame, names: DataFrame | None) -> DataFrame:
-    """``(call_id, role, speech, clean)``: both roles' speech cleaned in one chain
-    (the agent side has digits removed twice; idempotent)."""
-    sp = speech_by_role(turns).withColumn("key", F.concat_ws(":", "role", F.col("call_id").cast("string")))
-    cl = clean_texts(sp.select("key", "speech"), "key", "speech", names, out_col="clean")
-    return sp.join(cl, "key").select("call_id", "role", "speech", "clean")
+    """``(key, call_id, role, clean)``: both roles' speech cleaned in one chain (the agent side has
+    digits removed twice; idempotent). call_id and role travel with the text."""
+    sp = speech_by_role(turns).select(F.concat_ws(":", "role", F.col("call_id").cast("string")).alias("key"),
+                                      "call_id", "role", "speech")
+    return clean_texts(sp, "key", "speech", names, out_col="clean")
 
 
 def requests_from_speech(speech: DataFrame) -> DataFrame:
-    """PIPE-1 data side: one request row per call with customer speech. ``request`` is what
-    the restating model returns; without a model stage it is the cleaned speech itself."""
+    """PIPE-1 data side: one request row per call with customer speech: ``(call_id, spoken)``."""
     c = speech.where(F.col("role") == CUSTOMER)
-    wrapped = F.concat(F.lit(f"\n\n{TAG_SPEECH[0]}\n"), F.col("clean"), F.lit(f"\n{TAG_SPEECH[1]}"))
-    return c.select("call_id", wrapped.alias("spoken"), F.col("clean").alias("request"))
+    return c.select("call_id", F.concat(F.lit(f"\n\n{TAG_SPEECH[0]}\n"), F.col("clean"), F.lit(f"\n{TAG_SPEECH[1]}")).alias("spoken"))
 
 
 def build_docs(speech: DataFrame, requests: DataFrame) -> DataFrame:
-    """PIPE-2, PRJ-1, SET-2: request and agent documents in one index table."""
+    """PIPE-2, PRJ-1, SET-2: request and agent documents in one index table. ``requests`` are the
+    finished restated requests ``(call_id, spoken, request)``."""
     req = requests.select(
         F.concat(F.lit(CUSTOMER + ":"), F.col("call_id").cast("string")).alias("doc_id"),
         F.lit(CUSTOMER).alias("persona"), F.lit("request").alias("category"), "call_id",
@@ -52,16 +51,14 @@ def doc_vectors(docs: DataFrame) -> DataFrame:
     return docs.join(dense_vectors(w, "doc_id"), "doc_id", "left")
 
 
-def candidates(docs: DataFrame, k: int = TOP_K, query_blocks: int = 1, doc_blocks: int = 4,
-               exclude_same_call: bool = False) -> DataFrame:
+def candidates(vec: DataFrame, k: int = TOP_K, exclude_same_call: bool = False, **blocks) -> DataFrame:
     """PIPE-3: ``(call_id, request, n, max_score, answers)``; answers = array of
-    ``struct(rank, doc_id, score, text)`` over all agent documents."""
-    vec = doc_vectors(docs)
+    ``struct(rank, doc_id, score, text)`` over all agent documents. ``vec``: index documents with
+    their vectors (``doc_vectors``), best written as a table, since each side reads it."""
     q = vec.where(F.col("persona") == CUSTOMER)
     d = vec.where(F.col("persona") == AGENT)   # FIL-5: persona filter before scoring
     hits = knn_topk(q.select("doc_id", "call_id", "embed"), d.select("doc_id", "call_id", "embed"), k=k,
-                    query_blocks=query_blocks, doc_blocks=doc_blocks, q_id="doc_id", d_id="doc_id",
-                    group_col="call_id" if exclude_same_call else None)
+                    q_id="doc_id", d_id="doc_id", group_col="call_id" if exclude_same_call else None, **blocks)
     texts = d.select(F.col("doc_id").alias("hit_id"), F.col("text").alias("hit_text"))
     hits = hits.join(texts, hits.doc_id == texts.hit_id).drop("hit_id")
     agg = hits.groupBy("query_id").agg(
@@ -79,9 +76,16 @@ def candidates(docs: DataFrame, k: int = TOP_K, query_blocks: int = 1, doc_block
     )
 
 
+def escape_separator(text):
+    """A text in which the separator cannot occur: a backslash is doubled, and one goes into it."""
+    inside = CANDIDATE_SEP[0] + "\\" + CANDIDATE_SEP[1:]
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(CANDIDATE_SEP), F.lit(inside))
+
+
 def export_candidates(cands: DataFrame) -> DataFrame:
-    """Candidate texts as one string, each followed by the separator (the export format)."""
-    joined = F.array_join(F.transform("answers", lambda a: F.concat(a["text"], F.lit(CANDIDATE_SEP))), "")
+    """Candidate texts as one string, each followed by the separator (the export format); a
+    separator inside a text is escaped."""
+    joined = F.array_join(F.transform("answers", lambda a: F.concat(escape_separator(a["text"]), F.lit(CANDIDATE_SEP))), "")
     return cands.select("call_id", "request", F.size("answers").cast("bigint").alias("n"),
                         F.round("max_score", 6).alias("max_score"), joined.alias("answers_joined"))
 
@@ -91,4 +95,5 @@ def split_candidates(exported: DataFrame) -> DataFrame:
     piece after the last separator is dropped."""
     parts = F.split(F.col("answers_joined"), CANDIDATE_SEP, -1)
     kept = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
-    return exported.select("call_id", F.posexplode(kept).alias("pos", "answer"))
+    plain = F.transform(kept, lambda x: F.regexp_replace(x, r"(?s)\\(.)", "$1"))
+    return exported.select("call_id", F.posexplode(plain).alias("pos", "answer"))

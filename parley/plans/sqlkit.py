@@ -3,17 +3,34 @@
 These produce plain ANSI-ish SQL text for DuckDB (RE2 regular expressions, list lambdas).
 They re-state each rule in a different form from the Spark plans (for instance the
 repetition filter materialises the gap end-point sets, and default name masking rebuilds the
-text piece by piece), so an agreement is a real check. Only shared constants are imported.
+text piece by piece), so an agreement is a real check. Patterns and tables are stated here again,
+in RE2's terms; only fixed values of ``constants`` are imported.
 """
 
 from __future__ import annotations
 
-from parley.constants import NAME_MASK, NAMES_PER_LIST, PUNCT_MAP, PUNCT_COMPAT_ONLY
-from parley.functions.text import (
-    CONTROL_RE, DOUBLE_QUOTES, FOLD_FROM, FOLD_TO, HTML_ENTITIES, LATIN1_ONLY_RE, LIGATURES,
-    LINE_BREAK_RE, NON_WORD_RE, SINGLE_QUOTES, TERMINAL_ESCAPE_RE, TERM_RE, UTF8_LEAD_RE, WIDE_FROM,
-    WIDE_TO, WORD, WS,
-)
+from parley.constants import ACCENT_FOLD, NAME_MASK, PUNCT_MAP, PUNCT_COMPAT_ONLY
+
+# Characters that end a word, by code point.
+WS = "".join(f"\\x{{{c:x}}}" for c in [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                      0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+WORD = "_\\pL\\pN"
+NON_WORD_RE = f"[^{WS}{WORD}]"
+TERM_RE = "(?:\\pL|\\pN)+"
+FOLD_FROM = "".join(accented for accented, _ in ACCENT_FOLD)
+FOLD_TO = "".join(plain for accented, plain in ACCENT_FOLD for _ in accented)
+TERMINAL_ESCAPE_RE = "\\x1b\\[[;0-9]*[a-zA-Z]"
+CONTROL_RE = "[" + "".join(f"\\x{{{c:x}}}" for c in [*range(9), 11, *range(14, 32), 127, *range(0x206A, 0x2070), 0xFEFF,
+                                                    *range(0xFFF9, 0xFFFD)]) + "]"
+LINE_BREAK_RE = "\r\n|\r|\u2028|\u2029|\u0085"
+LATIN1_ONLY_RE = "[\\x{0}-\\x{ff}]*"
+UTF8_LEAD_RE = "[Â-ô][\\x{80}-¿]"
+LIGATURES = dict(zip("ﬀﬁﬂﬃﬄﬅﬆĲĳ", ["ff", "fi", "fl", "ffi", "ffl", "st", "st", "IJ", "ij"])).items()
+HTML_ENTITIES = [("&nbsp;", "\u00a0"), ("&apos;", "'"), ("&#39;", "'"), ("&quot;", '"'), ("&gt;", ">"), ("&lt;", "<"), ("&amp;", "&")]
+SINGLE_QUOTES = "\u2018\u2019\u201a\u201b"
+DOUBLE_QUOTES = "\u201c\u201d\u201e\u201f"
+WIDE_FROM = "\u3000" + "".join(map(chr, range(0xFF01, 0xFF5F)))
+WIDE_TO = "".join(chr(ord(c) - 0xFEE0) if c != "\u3000" else " " for c in WIDE_FROM)
 
 
 def lit(s: str) -> str:
@@ -54,7 +71,7 @@ def unicode_steps(src: str, id_col: str = "id", col: str = "text") -> list[tuple
     step("u1", f"regexp_replace({col}, {lit(TERMINAL_ESCAPE_RE)}, '', 'g')")
     latin_bytes = (f"array_to_string(list_transform(string_split({col}, ''), "
                    f"lambda ch: printf('\\x%02X', unicode(ch))), '')")
-    step("u2", f"CASE WHEN regexp_full_match({col}, {lit(LATIN1_ONLY_RE[1:-1])}) "
+    step("u2", f"CASE WHEN regexp_full_match({col}, {lit(LATIN1_ONLY_RE)}) "
                f"AND regexp_matches({col}, {lit(UTF8_LEAD_RE)}) "
                f"THEN coalesce(try(decode(({latin_bytes})::BLOB)), {col}) ELSE {col} END")
     html = col
@@ -96,9 +113,7 @@ def names_steps(out: str = "nm") -> list[tuple[str, str]]:
     return [
         ("nm_raw", f"SELECT regexp_extract(text, {lit('^[' + WS + ']*([' + WORD + ']+)')}, 1) AS name, "
                    f"CASE WHEN item_id % 2 = 0 THEN 'list_a' ELSE 'list_b' END AS list, item_id AS rank FROM benchmark"),
-        (out, f"SELECT DISTINCT lower(name) AS name FROM (SELECT *, row_number() OVER (PARTITION BY list "
-              f"ORDER BY rank, name) AS r FROM nm_raw WHERE name IS NOT NULL) WHERE r <= {NAMES_PER_LIST} "
-              f"AND lower(name) <> ''"),
+        (out, "SELECT DISTINCT lower(name) AS name FROM nm_raw WHERE name IS NOT NULL AND lower(name) <> ''"),
     ]
 
 

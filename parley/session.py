@@ -61,19 +61,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df):
-    """Round-robin a DataFrame whose plan has fewer partitions than the session's parallelism
-    (for example one large single-row-group file); leaves well-partitioned inputs untouched, so
-    on a cluster reading many files it adds no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def materialise(df):
     """Reliable checkpoint into the shared folder: cuts the lineage (a lost executor never
-    re-runs the stages before it), lets several consumers share one computation, and keeps the
-    plan's output partitioning."""
+    re-runs the stages before it) and lets several consumers share one computation. With adaptive
+    execution the result's partitioning is not known to later plans."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)

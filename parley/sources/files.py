@@ -3,23 +3,28 @@ SRC-5 prompt text, SRC-6 feature CSVs. All with fixed schemas; no inference."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parley.constants import FEATURES, FILE_ROLES
 from parley.schemas import CHUNK_LIST, TURN
 
 
 def read_transcripts(spark: SparkSession, path: str, glob: str | None = "*.csv") -> DataFrame:
     """SRC-1: one CSV per call (header, columns start, end, transcription, role); the file name
-    without its suffix is the call key. ``glob=None`` scans every file (the agent-side stage)."""
-    r = spark.read.schema(TURN).option("header", True)
+    without its suffix is the call key. Quoted fields may hold quotes (doubled), commas and line
+    breaks. The files' role words become ours; other role words stay as they are. ``glob=None``
+    scans every file (the agent-side stage)."""
+    r = spark.read.schema(TURN).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.csv(path)
     key = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    roles = F.create_map(*(F.lit(x) for pair in FILE_ROLES.items() for x in pair))
+    role = F.coalesce(F.try_element_at(roles, F.lower(F.trim("role"))), F.col("role"))
     return df.select(key.alias("call_id"), F.col("start").alias("start_s"), F.col("end").alias("end_s"),
-                     "role", F.col("transcription").alias("text"))
+                     role.alias("role"), F.col("transcription").alias("text"))
 
 
 def manifest(spark: SparkSession, path: str, glob: str = "*.wav", recursive: bool = False) -> DataFrame:
@@ -39,23 +44,36 @@ def chunks_to_turns(df: DataFrame, json_col: str, key_cols: list[str]) -> DataFr
                          F.get(F.col("c.timestamp"), 1).alias("end_s"), F.col("c.text").alias("text"))
 
 
-def read_prompt(spark: SparkSession, text_or_path: str) -> DataFrame:
-    """SRC-5: a literal prompt, or the whole content of a text file, as a one-row table."""
-    import os
+def chunk_problem(json_col: str) -> Column:
+    """FIL-6 for chunk lists: rows that :func:`chunks_to_turns` can read nothing from."""
+    c = F.col(json_col)
+    return F.when(c.isNull(), F.lit("null_json")).when(F.from_json(c, CHUNK_LIST).isNull(), F.lit("bad_json"))
 
-    if os.path.exists(text_or_path):
-        return spark.read.text(text_or_path, wholetext=True).select(F.col("value").alias("prompt"))
-    return spark.createDataFrame([(text_or_path,)], "prompt string")
 
+def read_prompt(spark: SparkSession, text: str | None = None, path: str | None = None) -> DataFrame:
+    """SRC-5: a literal prompt, or the whole content of a text file (any file system that Spark
+    reads), as a one-row table. Exactly one of the two is given."""
+    if (text is None) == (path is None):
+        raise ValueError("give either a text or a path")
+    if path is not None:
+        return spark.read.text(path, wholetext=True).select(F.col("value").alias("prompt"))
+    return spark.createDataFrame([(text,)], "prompt string")
 
-def read_features(spark: SparkSession, path: str, feature_names: list[str], calls: list[str] | None = None) -> DataFrame:
-    """SRC-6: feature CSVs (header, one row per segment, ``seg`` column first); the call key is
-    the file name without ``features_`` and ``.csv``. ``calls`` restricts to a subset."""
-    schema = T.StructType([T.StructField("seg", T.IntegerType())] +
-                          [T.StructField(n, T.DoubleType()) for n in feature_names])
-    df = spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").csv(path)
-    key = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_name"), r"^features_", ""), r"\.csv$", "")
-    df = df.withColumn("call_id", key)
+
+def read_features(spark: SparkSession, path: str, feature_names: list[str] = FEATURES, calls: list[str] | None = None,
+                  tab_separated: bool = False) -> DataFrame:
+    """SRC-6: feature files, one row per segment in order of time and no index column, so the row
+    number is the segment: ``(call_id, seg, features...)``. Comma-separated files have a header;
+    tab-separated ones have none. The call key is the file name without ``features_`` and its
+    suffix. ``calls`` restricts to a subset. One file is one call, and is read as a whole."""
+    sep, suffix = ("\t", ".tsv") if tab_separated else (",", ".csv")
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=f"*{suffix}").select(
+        F.regexp_replace(F.regexp_replace(F.col("_metadata.file_name"), r"^features_", ""), rf"\{suffix}$", "").alias("call_id"),
+        F.split(F.regexp_replace("value", r"(\r?\n)+\z", ""), r"\r?\n").alias("rows"))
     if calls is not None:
-        df = df.where(F.col("call_id").isin(calls))
-    return df
+        files = files.where(F.col("call_id").isin(calls))
+    skipped = 0 if tab_separated else 1
+    rows = files.select("call_id", F.posexplode("rows").alias("at", "row")).where((F.col("at") >= skipped) & (F.col("row") != ""))
+    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in feature_names])
+    parsed = F.from_csv(F.col("row"), schema.simpleString()[len("struct<"):-1].replace(":", " "), {"sep": sep})
+    return rows.select("call_id", (F.col("at") - skipped).alias("seg"), parsed.alias("f")).select("call_id", "seg", "f.*")

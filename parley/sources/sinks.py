@@ -3,8 +3,9 @@ normalisation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.functions.text import WS
 
@@ -21,14 +22,37 @@ def strict_check(df: DataFrame, json_col: str, allowed: list[str], required: lis
     for r in required or []:
         ok = ok & F.array_contains(keys, r)
     if vector_field and dims:
-        n = F.json_array_length(F.get_json_object(F.col(json_col), f"$.{vector_field}"))
-        ok = ok & (F.coalesce(n, F.lit(-1)) == dims)
+        vector = F.from_json(F.get_json_object(F.col(json_col), f"$.{vector_field}"), "array<double>")
+        ok = ok & (F.coalesce(F.size(vector), F.lit(-1)) == dims) & ~F.coalesce(F.exists(vector, lambda x: x.isNull()), F.lit(False))
     return df.withColumn("unknown_keys", F.array_join(unknown, ",")).withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
-def split_rejects(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Accepted rows and the rejects table."""
-    return checked.where(F.col("ok")), checked.where(~F.col("ok"))
+def document_problem(docs: DataFrame, schema: T.StructType, required: list[str], dims: int, vector: str = "embed") -> Column:
+    """SNK-1 on typed rows: what keeps a document out, or null. The columns and their types must be
+    the schema's (an error for the table otherwise); a required field must not be null, and a
+    vector, where there is one, holds ``dims`` finite numbers."""
+    given, wanted = dict(docs.dtypes), {f.name: f.dataType.simpleString() for f in schema}
+    if unknown := sorted(set(given) - set(wanted)):
+        raise ValueError(f"fields that the index does not have: {unknown}")
+    if wrong := sorted(c for c in given if given[c] != wanted[c]):
+        raise ValueError(f"fields of another type than the index's: {wrong}")
+    problem = F.lit(None).cast("string")
+    if vector in given:
+        v = F.col(vector)
+        odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+        problem = F.when(v.isNotNull() & (F.size(v) != dims), F.lit("bad_dims")).when(odd, F.lit("bad_number"))
+    for c in reversed(required):
+        problem = F.when(F.col(c).isNull() if c in given else F.lit(True), F.lit(f"missing_{c}")).otherwise(problem)
+    return problem
+
+
+def write_documents(docs: DataFrame, path: str, rejects_path: str, schema: T.StructType, required: list[str], dims: int) -> None:
+    """SNK-1: the accepted documents, with every column of the schema in its order, and a rejects
+    table with the reason."""
+    checked = docs.withColumn("problem", document_problem(docs, schema, required, dims))
+    columns = [(F.col(f.name) if f.name in docs.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    checked.where("problem is null").select(*columns).write.parquet(path)
+    checked.where("problem is not null").write.parquet(rejects_path)
 
 
 def text_problem(text_col: str) -> F.Column:

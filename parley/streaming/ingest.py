@@ -1,8 +1,10 @@
 """STR-1: incremental ingest of new transcript files with Structured Streaming.
 
 ``readStream`` over a directory (file glob), ``trigger(availableNow=True)`` so each run takes
-what is new and stops, a checkpoint location under the shared folder, and ``foreachBatch``
-appending to a sink after an anti-join on the key, so a replayed batch adds nothing twice.
+what is new and stops, and a checkpoint location under the shared folder. ``foreachBatch`` writes
+each batch to a folder of its own, ``epoch=<id>``, and overwrites it: a batch that is replayed
+after a failure has the same id and the same files, so it replaces what it left, whatever its
+rows' keys are. The sink is never read to write to it.
 """
 
 from __future__ import annotations
@@ -14,31 +16,23 @@ from pyspark.sql import types as T
 
 
 def ingest_available(spark: SparkSession, source_dir: str, glob: str, schema: T.StructType,
-                     transform: Callable[[DataFrame], DataFrame], key_cols: list[str], sink_path: str,
-                     checkpoint_path: str, timeout_s: float | None = 600) -> DataFrame:
-    """Process every file not yet seen by ``checkpoint_path``; return the whole sink."""
-    fs_exists = _path_exists(spark, sink_path)
-    state = {"exists": fs_exists}
+                     transform: Callable[[DataFrame], DataFrame], sink_path: str, checkpoint_path: str,
+                     files_per_batch: int | None = None) -> DataFrame:
+    """Process every file not yet seen by ``checkpoint_path``, however long that takes; return the
+    whole sink (with ``epoch``, the batch a row came with). ``sink_path`` and ``checkpoint_path``
+    belong together: a fresh checkpoint starts again at epoch 0."""
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        out = transform(df)
-        if state["exists"] or _path_exists(spark, sink_path):
-            seen = spark.read.parquet(sink_path).select(*key_cols)
-            out = out.join(seen, key_cols, "left_anti")
-        out.write.mode("append").parquet(sink_path)
-        state["exists"] = True
-
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
-    q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_path)
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("incremental ingest did not finish")
-    if not _path_exists(spark, sink_path):
-        empty = transform(spark.createDataFrame([], schema))
-        empty.write.mode("append").parquet(sink_path)
-    return spark.read.parquet(sink_path)
+        transform(df).write.mode("overwrite").parquet(f"{sink_path}/epoch={epoch_id}")
+
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    query = (stream.parquet(source_dir).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_path)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    out = transform(spark.createDataFrame([], schema)).schema.add("epoch", T.LongType())
+    return spark.read.schema(out).parquet(sink_path) if _path_exists(spark, sink_path) else spark.createDataFrame([], out)
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:

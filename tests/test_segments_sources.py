@@ -5,12 +5,16 @@ import os
 import random
 import tempfile
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
+import pytest
 
+from parley.constants import FEATURES
 from parley.functions import signal as sg
 from parley.operators import segments as seg
-from parley.sources.files import chunks_to_turns, read_transcripts
+from parley.operators.turns import role_filter
+from parley.plans.dataset import write_stage
+from parley.sources.files import chunk_problem, chunks_to_turns, read_transcripts
 from parley.streaming.ingest import ingest_available
 
 
@@ -55,11 +59,38 @@ def test_two_means_1d_is_optimal(spark):
         assert [got[c][i] for i in range(len(vs))] == _brute_two_means(vs)
 
 
+def test_two_means_1d_large_sums(spark):
+    rows = [(1, i, v) for i, v in enumerate([2_000_000_000, 2_000_000_001, 4_000_000_000_000, 4_000_000_000_001])]
+    df = spark.createDataFrame(rows, "call_id long, seg long, v long")
+    assert [r.label for r in seg.two_means_1d(df, "call_id", "seg", "v").orderBy("seg").collect()] == [0, 0, 1, 1]
+
+
+def _write(spark):
+    return lambda df, name: write_stage(spark, df, name)
+
+
 def test_two_means_many_dims(spark):
-    rows = [(1, i, float(i >= 5), float(i >= 5) * 2) for i in range(10)] + [(2, 0, 1.0, 1.0)]
-    df = spark.createDataFrame(rows, "call_id long, seg long, a double, b double")
-    got = {(r.call_id, r.seg): r.label for r in seg.two_means(df, "call_id", "seg", ["a", "b"]).collect()}
-    assert [got[(1, i)] for i in range(10)] == [0] * 5 + [1] * 5 and got[(2, 0)] == 0
+    rows = [(1, i, float(i >= 5), float(i >= 5) * 2, 0.0) for i in range(10)] + [(2, 0, 1.0, 1.0, 1.0)] + [(3, i, 5.0, 5.0, None) for i in range(4)]
+    df = spark.createDataFrame(rows, "call_id long, seg long, a double, b double, key double")
+    for standardise in (False, True):
+        out = seg.two_means(df, "call_id", "seg", ["a", "b", "key"], _write(spark), standardise)
+        got = {(r.call_id, r.seg): r.label for r in out.collect()}
+        assert [got[(1, i)] for i in range(10)] == [0] * 5 + [1] * 5 and got[(2, 0)] == 0 and {got[(3, i)] for i in range(4)} == {0}
+
+
+def test_two_means_is_a_fixed_point(spark):
+    """Converged: every segment is nearest to its own cluster's mean."""
+    rng = np.random.default_rng(4)
+    x = {(c, i): rng.normal(size=18) + (i % 3 == 0) * rng.normal(size=18) for c in range(6) for i in range(40)}
+    names = [f"f{j}" for j in range(18)]
+    df = spark.createDataFrame([(c, i, *map(float, v)) for (c, i), v in x.items()], "call_id long, seg long, " + ", ".join(f"{n} double" for n in names))
+    lab = {(r.call_id, r.seg): r.label for r in seg.two_means(df, "call_id", "seg", names, _write(spark)).collect()}
+    for c in range(6):
+        assert lab[c, 0] == 0
+        means = [np.mean([x[c, i] for i in range(40) if lab[c, i] == k], axis=0) for k in (0, 1)]
+        for i in range(40):
+            d = [((x[c, i] - m) ** 2).sum() for m in means]
+            assert d[lab[c, i]] <= d[1 - lab[c, i]] + 1e-9
 
 
 def test_framing(spark):
@@ -72,11 +103,14 @@ def test_framing(spark):
 
 def test_transcript_csv_scan(spark):
     d = tempfile.mkdtemp(prefix="parley-csv-", dir="/tmp")
-    pd.DataFrame({"start": [0.0, 1.5], "end": [1.0, None], "transcription": ["oi", "tchau"],
-                  "role": ["cliente", "atendente"]}).to_csv(os.path.join(d, "call1.csv"), index=False)
+    texts = ['disse "oi", sim', "duas\nlinhas", "tchau"]
+    pd.DataFrame({"start": [0.0, 1.5, 3.0], "end": [1.0, None, 4.0], "transcription": texts,
+                  "role": ["cliente", "atendente", "robot"]}).to_csv(os.path.join(d, "call1.csv"), index=False)
     open(os.path.join(d, "notes.txt"), "w").write("ignored")
-    got = read_transcripts(spark, d).orderBy("start_s").collect()
-    assert [(r.call_id, r.start_s, r.end_s, r.text) for r in got] == [("call1", 0.0, 1.0, "oi"), ("call1", 1.5, None, "tchau")]
+    got = read_transcripts(spark, d).orderBy("start_s")
+    assert [(r.call_id, r.start_s, r.end_s, r.text, r.role) for r in got.collect()] == [
+        ("call1", 0.0, 1.0, texts[0], "customer"), ("call1", 1.5, None, texts[1], "agent"), ("call1", 3.0, 4.0, texts[2], "robot")]
+    assert role_filter(got, "customer").count() == 1
 
 
 def test_chunk_list(spark):
@@ -86,27 +120,40 @@ def test_chunk_list(spark):
     assert got == [(0, 0.0, 2.5, "a"), (1, 2.5, None, "b")]
 
 
-def test_incremental_ingest_takes_only_new_files(spark):
+def test_chunk_problems(spark):
+    df = spark.createDataFrame([("[]",), (None,), ("[{",), ("nope",)], "j string")
+    assert [r[0] for r in df.select(chunk_problem("j")).collect()] == [None, "null_json", "bad_json", "bad_json"]
+
+
+def test_incremental_ingest(spark):
     src = tempfile.mkdtemp(prefix="parley-src-", dir="/tmp")
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     sink, ckpt = os.path.join(root, "sink"), os.path.join(root, "ckpt")
-    schema = "k long, v string"
-    spark.createDataFrame([(1, "a"), (2, "b")], schema).coalesce(1).write.parquet(os.path.join(src, "p1"))
-    batches = []
-
-    def transform(df):
-        batches.append(1)
-        return df
-
-    from pyspark.sql import types as T
-    st = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
-    out = ingest_available(spark, os.path.join(src, "*"), "*.parquet", st, transform, ["k"], sink, ckpt)
-    assert out.count() == 2
-    spark.createDataFrame([(3, "c")], schema).coalesce(1).write.parquet(os.path.join(src, "p2"))
-    out = ingest_available(spark, os.path.join(src, "*"), "*.parquet", st, transform, ["k"], sink, ckpt)
-    assert sorted(r.k for r in out.collect()) == [1, 2, 3]
-    again = ingest_available(spark, os.path.join(src, "*"), "*.parquet", st, transform, ["k"], sink, ckpt)
-    assert again.count() == 3  # resume twice = once
+    kinds = "k long, v string"
+    st = spark.createDataFrame([], kinds).schema
+    run = lambda: ingest_available(spark, os.path.join(src, "*"), "*.parquet", st, lambda df: df, sink, ckpt)
+    add = lambda rows, name: spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(os.path.join(src, name))
+    rows = lambda df: sorted((r.k, r.v) for r in df.collect())
+    add([(1, "a"), (None, "n")], "p1")
+    assert rows(run().fillna(0)) == [(0, "n"), (1, "a")]
+    add([(1, "other text"), (3, "c")], "p2")   # a key that was there already
+    first = rows(run().fillna(0))
+    assert first == [(0, "n"), (1, "a"), (1, "other text"), (3, "c")]
+    assert rows(run().fillna(0)) == first  # nothing new
+    # a batch whose commit was lost is run again with the same number, and replaces what it left
+    commits = os.path.join(ckpt, "commits")
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for f in (last, f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, f)):
+            os.remove(os.path.join(commits, f))
+    assert rows(run().fillna(0)) == first
+
+
+def test_incremental_ingest_of_nothing(spark):
+    src = tempfile.mkdtemp(prefix="parley-src-", dir="/tmp")
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    st = spark.createDataFrame([], "k long").schema
+    assert ingest_available(spark, src, "*.parquet", st, lambda df: df, f"{root}/none", f"{root}/none-ckpt").count() == 0
 
 
 def test_spectral_functions(spark):
@@ -134,13 +181,20 @@ def test_manifest_prompt_and_features(spark):
     assert "content" not in m.columns
     p = os.path.join(d, "prompt.txt")
     open(p, "w").write("line one\nline two\n")
-    assert read_prompt(spark, p).first().prompt == "line one\nline two\n"
-    assert read_prompt(spark, "literal text").first().prompt == "literal text"
+    assert read_prompt(spark, path=f"file://{p}").first().prompt == "line one\nline two\n"
+    assert read_prompt(spark, text=p).first().prompt == p
+    with pytest.raises(ValueError):
+        read_prompt(spark)
     fd = tempfile.mkdtemp(prefix="parley-feat-", dir="/tmp")
-    pd.DataFrame({"seg": [0, 1], "f1": [1.0, 2.0]}).to_csv(os.path.join(fd, "features_x.opus.csv"), index=False)
-    pd.DataFrame({"seg": [0], "f1": [3.0]}).to_csv(os.path.join(fd, "features_y.opus.csv"), index=False)
-    got = read_features(spark, fd, ["f1"], calls=["x.opus"]).orderBy("seg").collect()
-    assert [(r.call_id, r.seg, r.f1) for r in got] == [("x.opus", 0, 1.0), ("x.opus", 1, 2.0)]
+    x = np.arange(36.0).reshape(2, 18)
+    pd.DataFrame(x, columns=FEATURES).to_csv(os.path.join(fd, "features_x.opus.csv"), index=False)
+    pd.DataFrame(x + 1, columns=FEATURES).to_csv(os.path.join(fd, "features_y.opus.csv"), index=False)
+    pd.DataFrame(x, columns=FEATURES).to_csv(os.path.join(fd, "features_z.tsv"), index=False, header=False, sep="\t")
+    got = read_features(spark, fd, calls=["x.opus"]).orderBy("seg").collect()
+    assert [(r.call_id, r.seg, [r[f] for f in FEATURES]) for r in got] == [("x.opus", i, x[i].tolist()) for i in (0, 1)]
+    assert read_features(spark, fd).count() == 4
+    tabs = read_features(spark, fd, tab_separated=True).orderBy("seg").collect()
+    assert [(r.call_id, r.seg, r.meanfreq, r.max_rolloff_001) for r in tabs] == [("z", 0, 0.0, 17.0), ("z", 1, 18.0, 35.0)]
 
 
 def test_cost_prices_output_tokens_at_completion_price(spark):
@@ -151,3 +205,6 @@ def test_cost_prices_output_tokens_at_completion_price(spark):
     got = {(r.stage, r.model): r.cost for r in usage_cost(u, price_table(spark)).collect()}
     assert got[("combine", "base")] == 0.0035 and got[("embed", "base")] == 0.0001
     assert got[(None, None)] == 0.0036
+    strange = u.union(spark.createDataFrame([("combine", "odd", "video", 7, 5)], u.schema))
+    total = [r for r in usage_cost(strange, price_table(spark)).collect() if r.stage is None][0]
+    assert (total.tokens_in, total.cost, total.n_unpriced) == (2007, 0.0036, 1)

@@ -2,15 +2,18 @@
 
 import random
 
+import duckdb
+import pandas as pd
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
-from parley.operators.names import mask_names
+from parley.constants import PUNCT_MAP
+from parley.operators import repeats
+from parley.operators.names import load_names, mask_names
 from parley.operators.repeats import filter_repeats
 from parley.operators.turns import interleave, speech_by_role
+from parley.plans import sqlkit as K
 
 
 def _rep(spark, texts, **kw):
@@ -19,49 +22,41 @@ def _rep(spark, texts, **kw):
     return [out[i] for i in range(len(texts))]
 
 
-def py_repeats(text):
-    """Direct re-statement of the rule, used as a brute-force reference."""
-    words = text.split()
-    pos = {}
-    for i, w in enumerate(words):
-        pos.setdefault(w, []).append(i)
-    gone = set()
-    for ps in pos.values():
-        if len(ps) < 4:
-            continue
-        by_gap = {}
-        for a, b in zip(ps, ps[1:]):
-            by_gap.setdefault(b - a, set()).update((a, b))
-        for s in by_gap.values():
-            if len(s) >= 5:
-                gone |= s
-    return " ".join(w for i, w in enumerate(words) if i not in gone)
-
-
 def test_repeats_fixtures(spark):
-    demo = ("Isso é um teste é um teste é um teste é um teste é um teste de equidistante de repetições "
-            "em um teste.")
-    got = _rep(spark, ["a b a b a b a b", "a b a b a b a b a", "x x x c d e f g h i x x x", "x x x x x",
-                       "a b", demo, None, "", "   "])
-    assert got[:5] == ["a b a b a b a b", "b b b b", "c d e f g h i", "", "a b"]
-    assert got[5] == "Isso de equidistante de repetições em um teste."
-    assert got[6] is None and got[7] == "" and got[8] == ""
+    rows = {
+        "a b a b a b a b": "a b a b a b a b",              # four places each: not enough
+        "a b a b a b a b a": "b b b b",                    # a touches five places at gap 2
+        "x x x c d e f g h i x x x": "c d e f g h i",      # two runs of gap 1, six places together
+        "x x x x x": "",
+        "a b": "a b",
+        "oi tudo oi bem oi sim oi ok oi até logo": "tudo bem sim ok até logo",
+        "q q q q r r r r": "q q q q r r r r",
+        "p 1 p 2 p 3 4 p 5 6 p 7 8 p": "p 1 p 2 p 3 4 p 5 6 p 7 8 p",  # gaps 2 2 3 3 3: sets of 3 and 4
+        "p 1 p 2 p 3 p 4 5 p 6 7 p": "p 1 p 2 p 3 p 4 5 p 6 7 p",      # gaps 2 2 2 3 3: sets of 4 and 3
+        "p 1 p 2 p 3 p 4 p 5 6 p 7 8 p": "1 2 3 4 5 6 p 7 8 p",        # the set of gap 2 alone goes
+        "": "", "   ": "",
+    }
+    assert _rep(spark, [*rows, None]) == [*rows.values(), None]
 
 
 def test_repeats_keep_first(spark):
     assert _rep(spark, ["x x x x x"], keep_first=True) == ["x"]
 
 
-@settings(max_examples=1, deadline=None)
-@given(st.just(0))
-def test_repeats_matches_brute_force(spark, _):
+def test_repeats_by_another_route(spark):
+    """Random texts against SQL that builds the sets of places."""
     rng = random.Random(7)
-    texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 60))) for _ in range(200)]
-    got = _rep(spark, texts)
-    assert got == [py_repeats(t) for t in texts]
-    for t, g in zip(texts, got):  # output words are a subsequence of the input words
-        it = iter(t.split())
-        assert all(w in it for w in g.split())
+    texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    src = pd.DataFrame({"id": range(len(texts)), "text": texts})  # noqa: F841  (read by DuckDB)
+    want = duckdb.sql(K.with_ctes([("given", "SELECT * FROM src")] + K.repeats_steps("given"), "SELECT id, text FROM r_out ORDER BY id")).fetchall()
+    assert _rep(spark, texts) == [t for _, t in want]
+
+
+def test_repeats_in_small_batches(monkeypatch):
+    texts = pd.Series(["x x x x x", None, "a b", "", "y y y y y y z"])
+    whole = repeats.without_repeats(texts, 4, 5, False).tolist()
+    monkeypatch.setattr(repeats, "WORDS_AT_ONCE", 1)
+    assert repeats.without_repeats(texts, 4, 5, False).tolist() == whole == ["", None, "a b", "", "z"]
 
 
 def _col(spark, fn, values):
@@ -74,6 +69,14 @@ def test_punctuation(spark):
     assert _col(spark, lambda c: tx.normalise_punct(c, compat=True), ["１"]) == ['"']
 
 
+def test_every_punctuation_entry(spark):
+    assert _col(spark, lambda c: tx.normalise_punct(c, compat=True), [src for src, _ in PUNCT_MAP]) == [dst for _, dst in PUNCT_MAP]
+
+
+def test_repair_survives_a_final_line_separator(spark):
+    assert _col(spark, tx.repair_unicode, ["cafÃ©\u2028", "cafÃ©\n", "Ã©\u0085"]) == ["cafÃ©\n", "café\n", "Ã©\n"]
+
+
 def test_digits(spark):
     assert _col(spark, tx.strip_digits, ["CPF 123.456 ok 7", "a٣b３c"]) == ["CPF . ok ", "abc"]
 
@@ -90,10 +93,31 @@ def test_split_words_unicode_blanks(spark):
 
 
 def _mask(spark, names, texts, compat):
+    """Both ways, by set and by join, must agree."""
     nm = spark.createDataFrame([(n,) for n in names], "name string")
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    out = {r["id"]: r["text"] for r in mask_names(df, "id", "text", nm, compat=compat).collect()}
-    return [out[i] for i in range(len(texts))]
+    found = []
+    for small in (1000, 0):
+        out = {r["id"]: r["text"] for r in mask_names(df, "id", "text", nm, compat=compat, small=small).collect()}
+        found.append([out[i] for i in range(len(texts))])
+    assert found[0] == found[1]
+    return found[0]
+
+
+def test_no_name_is_left_out(spark):
+    many = spark.createDataFrame([(f"Name{i}", "a", i) for i in range(501)], "name string, list string, rank int")
+    names = load_names(many)
+    df = spark.createDataFrame([(1, "name500 and NAME0, nobody")], "id long, text string")
+    assert mask_names(df, "id", "text", names).first()["text"] == "NOME and NOME, nobody"
+    assert load_names(many, per_list=500).count() == 500
+
+
+@pytest.mark.parametrize("compat", [False, True])
+def test_mask_ways_agree_on_random_texts(spark, compat):
+    rng = random.Random(3)
+    bits = ["ana", "Ana", "ÁNA", "(ana)", "ana.ana", "bea", "me", "ME", "x", "\u00a0", "\u2028", "\x1c", " ", "_ana_", "a-n-a", "não", "É"]
+    texts = ["".join(rng.choice(bits) + rng.choice([" ", "", "\t"]) for _ in range(12)) for _ in range(150)]
+    _mask(spark, ["ana", "bea", "me", "anaana", "não"], texts, compat)
 
 
 def test_mask_fixtures(spark):

@@ -2,14 +2,19 @@
 
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.accumulators import AccumulatorParam
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from parley.functions.vector import cosine_plus_one
+from parley.operators import knn
 from parley.operators import model_stage as ms
 from parley.operators.knn import knn_topk
 from parley.plans import dataset as ds
 from parley.plans import retrieval as rt
-from parley.sources.sinks import strict_check
+from parley.schemas import INDEX_DOC
+from parley.sources.sinks import strict_check, write_documents
 
 
 def test_cosine_plus_one(spark):
@@ -47,13 +52,38 @@ def test_knn_matches_brute_force_for_any_blocking(spark):
 def test_knn_plan_has_group_limit(spark):
     qdf = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embed array<double>")
     plan = knn_topk(qdf, qdf)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan or "Window" in plan
+    assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_knn_blocks_follow_the_counts(spark):
+    assert [knn.plan_blocks(n, 100) for n in (0, 1, 100, 101, 12345)] == [1, 1, 1, 2, 124]
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 4)))], "id long, embed array<double>")
+    most = spark.sparkContext.accumulator(0)
+    plain = knn._block_topk
+
+    def watched(*args):
+        run = plain(*args)
+
+        def cell(q, d):
+            most.add(1 << 20 if len(q) > 60 or len(d) > 60 else 0)
+            return run(q, d)
+
+        return cell
+
+    knn._block_topk = watched
+    try:
+        got = {(r.query_id, r.doc_id, r.rank) for r in knn_topk(df, df, k=3, cell_queries=30, cell_docs=30).collect()}
+    finally:
+        knn._block_topk = plain
+    x = np.array([r.embed for r in df.orderBy("id").collect()])
+    assert got == _brute(x, x, 3) and most.value == 0  # no task held more than twice a block's mean
 
 
 def test_candidates_without_agent_docs(spark):
     docs = spark.createDataFrame([("customer:1", "customer", "request", 1, "x", "hello there")],
                                  "doc_id string, persona string, category string, call_id long, original string, text string")
-    out = rt.candidates(docs).first()
+    out = rt.candidates(rt.doc_vectors(docs)).first()
     assert out["answers"] == [] and out["max_score"] == -1.0
 
 
@@ -61,6 +91,10 @@ def test_split_and_number(spark):
     df = spark.createDataFrame([(1, "a<sep>b<sep>"), (2, "")], "call_id long, answers_joined string")
     got = [(r.call_id, r.pos, r.answer) for r in rt.split_candidates(df).collect()]
     assert got == [(1, 0, "a"), (1, 1, "b")]
+    texts = ["x<sep>y", "a\\b", "<\\sep>", "<sep>", ""]
+    answers = spark.createDataFrame([(7, "r", 1.0, [(i, "d", 1.0, t) for i, t in enumerate(texts)])],
+                                    "call_id long, request string, max_score double, answers array<struct<rank int, doc_id string, score double, text string>>")
+    assert [r.answer for r in rt.split_candidates(rt.export_candidates(answers)).orderBy("pos").collect()] == texts
     arr = spark.createDataFrame([(["x", "y"],)], "a array<string>")
     assert arr.select(ds.number_answers(F.col("a"))).first()[0] == "1) x\n2) y"
 
@@ -106,3 +140,88 @@ def test_model_called_once_per_distinct_prompt(spark):
     req = ms.build_messages(df, "sys", "c")
     ms.call_model(req, model).collect()
     assert calls.value == 2
+
+
+def _responder(log):
+    def model(batches):
+        for b in batches:
+            rows = []
+            for request, messages, model, attempt in zip(b["request_id"], b["messages"], b["model"], b["attempt"]):
+                said = messages[-1]["content"]
+                log.add([(said, model, int(attempt))])
+                if said == "silent":
+                    continue
+                big = said == "huge" or (said == "big" and model == "base")
+                rows.append((request, attempt, model, "too_large" if big else "ok", None if big else f"{said}:{model}", 3, 1))
+            yield pd.DataFrame(rows, columns=["request_id", "attempt", "model", "status", "text", "tokens_in", "tokens_out"])
+    return model
+
+
+class _Calls(AccumulatorParam):
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, a, b):
+        return a + b
+
+
+def test_one_retry_on_the_larger_model_and_resume(spark):
+    calls = spark.sparkContext.accumulator([], _Calls())
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(["plain", "big", "huge", "silent", "plain"])], "call_id long, c string")
+    req = ms.build_messages(df, "sys", "c")
+    write = lambda d, n: ds.write_stage(spark, d, n)
+    responses = ds.write_stage(spark, ms.complete(req, _responder(calls), write), "all")
+    assert sorted(calls.value) == [("big", "base", 1), ("big", "large", 2), ("huge", "base", 1), ("huge", "large", 2), ("plain", "base", 1), ("silent", "base", 1)]
+    merged = {r.call_id: (r.answer, r.status) for r in ms.merge_responses(req, responses, ["call_id"]).collect()}
+    assert merged == {0: ("plain:base", "done"), 1: ("big:large", "done"), 2: ("BIG ERROR", "failed"), 3: ("NOT YET", "pending"), 4: ("plain:base", "done")}
+    calls.value.clear()
+    again = ms.complete(req, _responder(calls), write, existing=responses)
+    assert again.where("status = 'ok'").count() == 2
+    assert {c for c, _, _ in calls.value} == {"huge", "silent"}  # finished requests are not paid for again
+    log = ms.usage_log(responses, "restate").collect()
+    assert len(log) == 5 and {r.kind for r in log} == {"chat"}
+
+
+def test_call_keeps_the_routing(spark):
+    calls = spark.sparkContext.accumulator([], _Calls())
+    req = ms.build_messages(spark.createDataFrame([("q", "large", 2)], "c string, model string, attempt long"), "sys", "c")
+    got = ms.call_model(req, _responder(calls)).collect()[0]
+    assert (got.model, got.attempt) == ("large", 2) and calls.value == [("q", "large", 2)]
+
+
+def test_combined_answers_wait_for_their_parts(spark):
+    refined = spark.createDataFrame([(1, 2, "b", "done"), (1, 1, "a", "done"), (1, 3, "NOT YET", "pending"), (2, 1, "BIG ERROR", "failed")],
+                                    "call_id long, rank int, answer string, status string")
+    assert [(r.call_id, r.content) for r in ds.combine_requests(refined).collect()] == [(1, "1) a\n2) b")]
+
+
+def test_verdicts(spark):
+    said = {"Não é útil": "not_useful", 'Saída: "não é útil".': "not_useful", "1": "useful", " 0 ": "not_useful", "INVALID.": "invalid",
+            "INVALIDATED": "unknown", "Useful": "useful", "not useful": "not_useful", "x": "unknown", None: None}
+    df = spark.createDataFrame([(t,) for t in said], "t string")
+    assert [r[0] for r in df.select(ms.classify_verdict("t")).collect()] == list(said.values())
+    assert df.select(ms.classify_verdict(F.lit("nada"), not_useful="Nada")).first()[0] == "not_useful"
+
+
+def test_document_sink(spark, tmp_path):
+    kinds = "text string, persona string, call_id string, embed array<float>"
+    rows = [("a", "agent", "1", [1.0, 2.0]), ("b", "agent", "2", [1.0]), (None, "agent", "3", [1.0, 2.0]), ("d", "agent", "4", None), ("e", "agent", "5", [1.0, float("nan")])]
+    write_documents(spark.createDataFrame(rows, kinds), f"{tmp_path}/ok", f"{tmp_path}/no", INDEX_DOC, ["text", "persona"], 2)
+    ok, no = spark.read.parquet(f"{tmp_path}/ok"), spark.read.parquet(f"{tmp_path}/no")
+    assert ok.columns == INDEX_DOC.names and {r.call_id for r in ok.collect()} == {"1", "4"}
+    assert {(r.call_id, r.problem) for r in no.collect()} == {("2", "bad_dims"), ("3", "missing_text"), ("5", "bad_number")}
+    for bad in ("text string, persona string, other int", "text int, persona string"):
+        with pytest.raises(ValueError):
+            write_documents(spark.createDataFrame([], bad), f"{tmp_path}/x", f"{tmp_path}/y", INDEX_DOC, ["text"], 2)
+    checked = spark.createDataFrame([('{"embed": [1, "x"]}',), ('{"embed": [1, 2]}',)], "j string")
+    assert [r.ok for r in strict_check(checked, "j", ["embed"], vector_field="embed", dims=2).collect()] == [False, True]
+
+
+def test_csv_export_round_trip(spark, tmp_path):
+    rows = [(1, 'say "oi", ok'), (2, "a\\b"), (3, "line\nbreak"), (4, "plain")]
+    df = spark.createDataFrame(rows, "call_id long, answer string")
+    ds.export_csv(df, f"{tmp_path}/out", sep=";")
+    back = spark.read.schema(df.schema).csv(f"{tmp_path}/out", sep=";", header=True, multiLine=True, escape='"')
+    assert sorted(map(tuple, back.collect())) == rows
+    with pytest.raises(AnalysisException):
+        ds.export_csv(df, f"{tmp_path}/out")
