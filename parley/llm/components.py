@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import staged
 
+#: The tables between rounds are read several times; their number of files follows from their rows.
+ROWS_PER_FILE = 250_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -36,10 +39,11 @@ def _mark(edges: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """``links``: columns a, b (any ordered type, no nulls). Returns node, root for every node that
     has a link to another one; root is the component's smallest node, and has a row itself."""
+    files = lambda df, count: df.coalesce(max(4, -(-count // ROWS_PER_FILE)))
     edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     mark = _mark(edges)
     while mark[0]:
-        after = staged(_small_star(_large_star(edges)), "stars")
+        after = staged(files(_small_star(_large_star(edges)), mark[0]), "stars")
         seen, edges = mark, after
         mark = _mark(edges)
         if mark == seen:
