@@ -40,7 +40,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN_LESS = 10.0
-CACHED_CHUNKS = 150_000
+CACHED_CHUNKS = 250_000
 CACHED_LENGTH = 48
 
 Arc = tuple[int, float, bytes]   # where it starts, its score, its ids (4 bytes each)
@@ -194,26 +194,41 @@ class PieceModel:
         into = self.lattice(chunk)
         return [(score, b"".join(labels)) for score, labels in best_first(into, self.forward(into), n)]
 
+    def chunks(self, text: str) -> list[str]:
+        """The normalised text cut before each run of blank marks."""
+        norm = self.sp.normalize(text)
+        if MARK + MARK in norm or " " in norm:
+            return CHUNK.findall(norm)
+        found = norm.replace(MARK, " " + MARK).split(" ")
+        return found if found[0] else found[1:]
+
     def segment(self, text: str | None, n: int = 1) -> list[Segmentation]:
         """The n best segmentations of a text, best first."""
-        chunks = CHUNK.findall(self.sp.normalize(text or ""))
-        known, solved = self.young.get, self.solved
-        done = [known(c) or solved(c) for c in chunks]
-        total = float(sum(d[1] for d in done))
-        parts = [d[0] for d in done]
-        out = [Segmentation(total, b"".join(parts))]
-        if n < 2 or not done:
+        chunks, known, solved = self.chunks(text or ""), self.young.get, self.solved
+        if not chunks:
+            return [Segmentation(0.0, b"")]
+        ids, scores, losses = zip(*[known(c) or solved(c) for c in chunks])
+        total = float(sum(scores))
+        out = [Segmentation(total, b"".join(ids))]
+        if n < 2:
             return out
-        open_ = heapq.nsmallest(n - 1, [(d[2], i) for i, d in enumerate(done) if d[2] < float("inf")])
-        places = sorted(i for _, i in open_)
+        places, rest = [], list(losses)
+        for _ in range(min(n - 1, len(rest))):
+            least = min(rest)
+            if least == float("inf"):
+                break
+            places.append(rest.index(least))
+            rest[places[-1]] = float("inf")
+        places.sort()
         into: list[list[Arc]] = [[]]
-        forward = [total - sum(done[i][1] for i in places)]
-        into += [[(k, score, ids) for score, ids in self.chunk_best(chunks[i], n)] for k, i in enumerate(places)]
+        into += [[(k, score, label) for score, label in self.chunk_best(chunks[i], n)] for k, i in enumerate(places)]
+        forward = [total - sum(scores[i] for i in places)]
         for i in places:
-            forward.append(forward[-1] + done[i][1])
+            forward.append(forward[-1] + scores[i])
+        parts = list(ids)
         for score, labels in best_first(into, forward, n)[1:]:
-            for i, ids in zip(places, labels):
-                parts[i] = ids
+            for i, label in zip(places, labels):
+                parts[i] = label
             out.append(Segmentation(forward[0] + score, b"".join(parts)))
         return out
 
