@@ -36,13 +36,16 @@ def request_key(system_prompt: str, content) -> F.Column:
     return F.sha2(F.concat(F.lit(system_prompt + "\n\n"), content), 256)
 
 
-def build_messages(df: DataFrame, system_prompt: str, content_col: str) -> DataFrame:
-    """UDF-5: add ``messages`` (system, user) and ``request_id``."""
-    msgs = F.array(
-        F.struct(F.lit("system").alias("role"), F.lit(system_prompt).alias("content")),
-        F.struct(F.lit("user").alias("role"), F.col(content_col).alias("content")),
-    )
-    return df.withColumn("messages", msgs).withColumn("request_id", request_key(system_prompt, F.col(content_col)))
+def build_messages(df: DataFrame, system_prompt: str, content_col: str, history_col: str | None = None) -> DataFrame:
+    """UDF-5: add ``messages`` and ``request_id``. The messages are the system prompt, the earlier
+    messages of a conversation in order (``history_col``, an array of role and content, empty where
+    null) and the user's content."""
+    message = lambda role, content: F.struct(F.lit(role).alias("role"), content.cast("string").alias("content"))
+    first, last = F.array(message("system", F.lit(system_prompt))), F.array(message("user", F.col(content_col)))
+    if history_col is None:
+        return df.withColumn("messages", F.concat(first, last)).withColumn("request_id", request_key(system_prompt, F.col(content_col)))
+    earlier = F.coalesce(F.transform(history_col, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))), F.slice(last, 1, 0))
+    return df.withColumn("messages", F.concat(first, earlier, last)).withColumn("request_id", F.sha2(F.to_json("messages"), 256))
 
 
 def call_model(requests: DataFrame, model_fn: ModelFn, concurrency: int | None = None) -> DataFrame:

@@ -228,6 +228,20 @@ def q_build_messages(spark, d):
         "request_id", "call_id", F.col("pos").cast("bigint").alias("pos"), "m.role", "m.content")
 
 
+@query
+def q_message_history(spark, d):
+    """Each call's last customer turn as the request, all turns before it as the history."""
+    t = _turns(spark, d).where(F.col("text").isNotNull())
+    last = t.where(F.col("role") == CUSTOMER).groupBy("call_id").agg(F.max("start_s").alias("last"))
+    said = F.struct("start_s", F.when(F.col("role") == CUSTOMER, "user").otherwise("assistant").alias("role"), F.col("text").alias("content"))
+    calls = t.join(last, "call_id").where(F.col("start_s") <= F.col("last")).groupBy("call_id").agg(
+        F.array_sort(F.collect_list(said)).alias("all"))
+    asked = calls.select("call_id", F.slice("all", 1, F.size("all") - 1).alias("earlier"), F.element_at("all", -1)["content"].alias("content"))
+    m = ms.build_messages(asked, "system", "content", "earlier")
+    return m.select("call_id", F.posexplode("messages").alias("pos", "m")).select(
+        "call_id", F.col("pos").cast("bigint").alias("pos"), "m.role", "m.content")
+
+
 @query
 def q_merge_responses(spark, d):
     reqs = _requests(spark, d)
@@ -470,8 +484,12 @@ def q_incremental_ingest(spark, d):
     from parley.session import scratch_path
     from parley.streaming.ingest import ingest_available
 
+    names = _names(spark, d)
+
     def transform(df):
-        return turns_from_conversations(df).select("call_id", "start_s", "role", "text")
+        turns = turns_from_conversations(df).select("call_id", "start_s", "role", "text")
+        keyed = turns.withColumn("key", F.concat_ws(":", F.col("call_id").cast("string"), F.col("start_s").cast("string")))
+        return clean_texts(keyed, "key", "text", names).select("call_id", "start_s", "role", "text")
 
     sink, seen = scratch_path(spark, "ingest-sink"), scratch_path(spark, "ingest-ckpt")
     step = lambda folder: ingest_available(

@@ -354,7 +354,17 @@ FROM (SELECT call_id, CAST(floor(start_s / 32) AS BIGINT) AS blk, start_s, text,
              count(*) OVER (PARTITION BY call_id, floor(start_s / 32)) AS n
       FROM ({TURNS}))""")
 
-oracle("incremental_ingest", f"SELECT call_id, start_s, role, text FROM ({TURNS})")
+oracle("incremental_ingest", K.with_ctes(
+    [("t0", TURNS), ("src", "SELECT call_id || ':' || start_s AS id, * FROM t0")] + K.names_steps() + K.clean_steps("src", "nm"),
+    "SELECT s.call_id, s.start_s, s.role, c.text FROM src s JOIN c_out c ON s.id = c.id"))
+
+oracle("message_history", f"""
+WITH t AS (SELECT * FROM ({TURNS}) WHERE text IS NOT NULL),
+l AS (SELECT call_id, max(start_s) AS last FROM t WHERE role = 'customer' GROUP BY call_id)
+SELECT call_id, 0 AS pos, 'system' AS role, 'system' AS content FROM l UNION ALL
+SELECT t.call_id, row_number() OVER (PARTITION BY t.call_id ORDER BY start_s, role DESC, text),
+       CASE role WHEN 'customer' THEN 'user' ELSE 'assistant' END, text
+FROM t JOIN l ON t.call_id = l.call_id WHERE start_s <= last""")
 
 
 # ---- segments, spectra and signals -------------------------------------------------------------

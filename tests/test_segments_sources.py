@@ -208,3 +208,12 @@ def test_cost_prices_output_tokens_at_completion_price(spark):
     strange = u.union(spark.createDataFrame([("combine", "odd", "video", 7, 5)], u.schema))
     total = [r for r in usage_cost(strange, price_table(spark)).collect() if r.stage is None][0]
     assert (total.tokens_in, total.cost, total.n_unpriced) == (2007, 0.0036, 1)
+
+
+def test_key_normalisation(spark):
+    from parley.sources.sinks import base_name, normalise_key
+
+    cases = {"http://a/b/features_x.opus.csv?v=1": "x.mp3", "s3://b/y.opus#t": "y.mp3", "z.csv": "z", "features_features_q.csv.csv": "features_q.csv",
+             "plain": "plain", "d/": ""}
+    df = spark.createDataFrame([(u,) for u in cases], "url string")
+    assert [r[0] for r in df.select(normalise_key(base_name("url"))).collect()] == list(cases.values())

@@ -225,3 +225,12 @@ def test_csv_export_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == rows
     with pytest.raises(AnalysisException):
         ds.export_csv(df, f"{tmp_path}/out")
+
+
+def test_messages_with_history(spark):
+    kinds = "c string, h array<struct<role string, content string>>"
+    df = spark.createDataFrame([("now", [("user", "a"), ("assistant", "b")]), ("now", []), ("now", None)], kinds)
+    rows = ms.build_messages(df, "sys", "c", "h").collect()
+    assert [[(m.role, m.content) for m in r.messages] for r in rows] == [
+        [("system", "sys"), ("user", "a"), ("assistant", "b"), ("user", "now")], [("system", "sys"), ("user", "now")], [("system", "sys"), ("user", "now")]]
+    assert rows[0].request_id != rows[1].request_id == rows[2].request_id
