@@ -59,11 +59,3 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared folder for one stage table or stream."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def materialise(df):
-    """Reliable checkpoint into the shared folder: cuts the lineage (a lost executor never
-    re-runs the stages before it) and lets several consumers share one computation. With adaptive
-    execution the result's partitioning is not known to later plans."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
