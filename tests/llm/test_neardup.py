@@ -6,7 +6,6 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from parley.llm import neardup
 from parley.llm.components import components
