@@ -18,7 +18,7 @@ from parley.operators import turns as tn
 from parley.operators.names import load_names, mask_names, names_from_items
 from parley.operators.repeats import filter_repeats
 from parley.plans.clean import clean_audit, clean_texts
-from parley.sources.tables import read_table, turns_from_conversations
+from parley.sources.tables import read_table, spread_small, turns_from_conversations
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -38,7 +38,7 @@ def _names(spark, d):
 
 
 def _docs(spark, d):
-    return read_table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    return spread_small(read_table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "lang"), "id")
 
 
 # ---- turns -----------------------------------------------------------------------------------

@@ -16,6 +16,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_small(df: DataFrame, key: str, most_bytes: int = 256 << 20) -> DataFrame:
+    """Deal a small table out over the session's cores by ``key``. A file of one row group is read by
+    one task, whatever follows; up to ``most_bytes`` (by the plan's own estimate) one small shuffle
+    is cheaper than that. Larger tables have row groups enough and are left as they are."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if estimate <= most_bytes else df
+
+
 def turns_from_conversations(conv: DataFrame) -> DataFrame:
     """``conversations`` as transcript turns: conv_id -> call_id, turn -> start_s, user ->
     customer, assistant -> agent; system turns dropped; no end times."""
