@@ -28,19 +28,22 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN_LESS = 10.0
-CACHED_CHUNKS = 250_000
+CACHED_CHUNKS = 100_000
 CACHED_LENGTH = 48
 
 Arc = tuple[int, float, bytes]   # where it starts, its score, its ids (4 bytes each)
@@ -267,15 +270,25 @@ def encode(text: Column, model: bytes) -> Column:
     return run(text)
 
 
-def encode_scored(text: Column, model: bytes, n: int) -> Column:
-    """struct(ids array<int> of the best segmentation, scores array<double> of the n best)."""
+def add_pieces(docs: DataFrame, model: bytes, n: int, at_once: int = 256) -> DataFrame:
+    """``docs`` with ``piece_ids`` (ids of the best segmentation of ``text``) and ``nbest_scores`` (scores
+    of the n best); columns of these names are replaced. A worker holds the ids of ``at_once`` texts."""
+    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("piece_ids", "nbest_scores")))
+    place = [c.lower() for c in kept.columns].index("text")
 
-    @F.pandas_udf("ids array<int>, scores array<double>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        found = [loaded(model).segment(t, n) for t in texts]
-        return pd.DataFrame({"ids": [np.frombuffer(f[0].ids, dtype="<i4") for f in found], "scores": [[s.score for s in f] for f in found]})
-
-    return run(text)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use = loaded(model)
+        for batch in batches:
+            for at in range(0, batch.num_rows, at_once):
+                part = batch.slice(at, at_once)
+                found = [use.segment(t, n) for t in part.column(place).to_pylist()]
+                ids = pa.array([np.frombuffer(f[0].ids, dtype="<i4") for f in found], pa.list_(pa.int32()))
+                scores = pa.array([[s.score for s in f] for f in found], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, ids, scores], names=[*part.schema.names, "piece_ids", "nbest_scores"])
+
+    schema = T.StructType([*kept.schema.fields, T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("nbest_scores", T.ArrayType(T.DoubleType()))])
+    return kept.mapInArrow(run, schema)
 
 
 def encode_nbest(text: Column, model: bytes, n: int) -> Column:
