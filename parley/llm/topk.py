@@ -15,7 +15,8 @@ Scores are 64-bit integers. Exact as long as a score stays within 2**63.
 Defined results: vectors null, or holding null or non-finite components, take no part, nor do rows
 with a null id; vectors of unequal length are compared on the places both have; an empty vector
 scores 0; ties go to the smaller id; rows that share an id are candidates each, but never for a
-query of that id; fewer than k candidates: all of them; empty table: no rows; further columns are
+query of that id; query rows that share id and vector are one query, those that share only the id are
+a query each, with ranks of their own; fewer than k candidates: all of them; empty table: no rows; further columns are
 ignored.
 """
 
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SCHEMA = "query_id long, vec_id long, score long"
+SCHEMA = "query_id long, query_no int, vec_id long, score long"
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 1024) -> DataFrame:
@@ -81,11 +82,11 @@ def _cell(k: int, at_once: int):
             for start in range(0, len(queries), at_once):
                 part = queries.iloc[start:start + at_once]
                 scores = accumulate(_dense(part["v"], width), matrix)
-                for q, row in zip(part["vec_id"].to_numpy(), scores):
+                for q, no, row in zip(part["vec_id"].to_numpy(), part["query_no"].to_numpy(), scores):
                     others = np.flatnonzero(ids != q)
                     best = others[select_top(row[others], ids[others], k)]
-                    out.append(pd.DataFrame({"query_id": q, "vec_id": ids[best], "score": row[best]}))
-        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
+                    out.append(pd.DataFrame({"query_id": q, "query_no": no, "vec_id": ids[best], "score": row[best]}))
+        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "query_no", "vec_id", "score")})
 
     return run
 
@@ -100,8 +101,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, docs_per_block: int
     block = lambda count: F.pmod(F.xxhash64("vec_id", "v"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     d = docs.select("vec_id", "v", block(d_blocks).alias("db"), every(q_blocks).alias("qb"))
-    q = queries.select("vec_id", "v", block(q_blocks).alias("qb"), every(d_blocks).alias("db"))
+    same_id = Window.partitionBy("vec_id").orderBy("v")
+    numbered = queries.select("vec_id", "v").distinct().withColumn("query_no", F.row_number().over(same_id))
+    q = numbered.select("vec_id", "v", "query_no", block(q_blocks).alias("qb"), every(d_blocks).alias("db"))
     cells = q.groupBy("db", "qb").cogroup(d.groupBy("db", "qb")).applyInPandas(_cell(k, at_once), SCHEMA)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    w = Window.partitionBy("query_id", "query_no").orderBy(F.col("score").desc(), "vec_id")
     return (cells.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

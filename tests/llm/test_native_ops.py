@@ -177,6 +177,15 @@ def test_topk_by_brute_force(spark):
         assert set(got) == {q for q, _ in good if q % 100 == 0}
 
 
+def test_topk_repeated_query_rows(spark):
+    rows = [(0, [1.0]), (0, [1.0]), (0, [-1.0])] + [(i, [float(i)]) for i in range(1, 13)]
+    ints = topk.integer_vectors(spark.createDataFrame([(*r, 1, "x") for r in rows], VEC))
+    high, low = [(k, 13 - k) for k in range(1, 11)], [(k, k) for k in range(1, 11)]
+    for sizes in ({}, {"docs_per_block": 3, "queries_per_block": 1}):
+        got = topk.top_k(ints, F.col("vec_id") % 100 == 0, **sizes).collect()
+        assert sorted((r["rank"], r.vec_id) for r in got) == sorted(high + low)
+
+
 def test_topk_few_candidates_and_empty(spark):
     none = topk.integer_vectors(spark.createDataFrame([], VEC))
     assert topk.top_k(none, F.col("vec_id") % 100 == 0).count() == 0
