@@ -33,10 +33,9 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import pick, staged
 
-#: Symbols: 0 blank, 1 any other letter, 2 and above the sample's most frequent letters.
+#: Symbols: 0 blank, 1 any other letter, 2 and above the sample's letters, the most frequent first.
+#: Up to so many symbols, tables over all n-grams serve; a larger alphabet looks codes up in order.
 BASE = 96
-SIZES = (BASE, BASE ** 2, BASE ** 3)
-SPACE = sum(SIZES)
 #: Lengths of training pieces, in turn, so that short and long texts are learned.
 PIECES = (80, 300, 1200, 4000)
 UND = "und"
@@ -46,14 +45,14 @@ UND = "und"
 class Model:
     langs: tuple[str, ...]
     letters: str
-    grams: bytes      # int32 codes of the landmarks' n-grams, ascending
+    grams: bytes      # int64 codes of the landmarks' n-grams, ascending
     weights: bytes    # float32, a row for each n-gram and a column for each language
 
 
 def symbol_table(letters: str) -> np.ndarray:
     """Symbol of every code point."""
-    table = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=np.uint8, count=0x110000)
-    for i, c in enumerate(letters[:BASE - 2]):
+    table = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=np.int32, count=0x110000)
+    for i, c in enumerate(letters):
         table[ord(c)] = i + 2
     return table
 
@@ -63,26 +62,52 @@ class Coder:
 
     def __init__(self, letters: str):
         self.table = symbol_table(letters)
-        self.last = np.zeros(SPACE, dtype=np.int32)
+        self.base = max(BASE, len(letters) + 2)
+        self.space = self.base + self.base ** 2 + self.base ** 3
+        self.last = np.zeros(self.space, dtype=np.int32) if self.base == BASE else None
 
     def codes(self, text: str | None) -> np.ndarray:
         """The distinct n-gram codes, in order of last place; empty without a letter."""
         points = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), dtype=np.uint32)
-        s = self.table[points].astype(np.int32)
+        s = self.table[points]
+        if self.last is None:
+            s = s.astype(np.int64)
         if not s.any():
             return s[:0]
         keep = np.ones(len(s), dtype=bool)
         keep[1:] = (s[1:] > 0) | (s[:-1] > 0)
         s = s[keep]
-        pairs = s[:-1] * BASE + s[1:]
-        triples = pairs[:-1] * BASE + s[2:]
-        all_codes = np.concatenate([s, pairs + SIZES[0], triples + SIZES[0] + SIZES[1]])
+        base = self.base
+        pairs = s[:-1] * base + s[1:]
+        triples = pairs[:-1] * base + s[2:]
+        all_codes = np.concatenate([s, pairs + base, triples + base + base ** 2])
+        if self.last is None:
+            places = np.unique(all_codes[::-1], return_index=True)[1]
+            return all_codes[np.sort(len(all_codes) - 1 - places)]
         order = np.arange(len(all_codes), dtype=np.int32)
         self.last[all_codes] = order
         return all_codes[self.last[all_codes] == order]
 
 
-def kernel(sets: list[np.ndarray], presence: np.ndarray, row_of: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+class Rows:
+    """The row of each code: its place in ``grams`` (ascending), or their number for any other."""
+
+    def __init__(self, grams: np.ndarray, coder: Coder):
+        self.grams, self.row_of = grams, None
+        if coder.last is not None:
+            self.row_of = np.full(coder.space, len(grams), dtype=np.int32)
+            self.row_of[grams] = np.arange(len(grams), dtype=np.int32)
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        if self.row_of is not None:
+            return self.row_of[codes]
+        at = np.searchsorted(self.grams, codes)
+        known = at < len(self.grams)
+        known[known] = self.grams[at[known]] == codes[known]
+        return np.where(known, at, len(self.grams))
+
+
+def kernel(sets: list[np.ndarray], presence: np.ndarray, row_of: Rows, sizes: np.ndarray) -> np.ndarray:
     """Texts against landmarks. ``presence``: n-gram rows by landmark; ``row_of``: row of each code,
     the last (a row of zeros) for codes that no landmark has."""
     out = np.zeros((len(sets), presence.shape[1]))
@@ -96,7 +121,7 @@ def train(pieces: list[tuple[str, str]], landmarks: int, ridge: float) -> Model:
     """``pieces``: (language, text) in a fixed order."""
     langs = tuple(sorted({lang for lang, _ in pieces}))
     counts = Counter(c for _, text in pieces for c in text.lower() if c.isalpha())
-    letters = "".join(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:BASE - 2])
+    letters = "".join(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])))
     coder = Coder(letters)
     kept = [(lang, codes) for lang, text in pieces if len(codes := coder.codes(text))]
     if not kept:
@@ -106,9 +131,8 @@ def train(pieces: list[tuple[str, str]], landmarks: int, ridge: float) -> Model:
         if taken[lang] < each:
             taken[lang] += 1
             marks.append(codes)
-    grams = np.unique(np.concatenate(marks)).astype(np.int32)
-    row_of = np.full(SPACE, len(grams), dtype=np.int32)
-    row_of[grams] = np.arange(len(grams), dtype=np.int32)
+    grams = np.unique(np.concatenate(marks)).astype(np.int64)
+    row_of = Rows(grams, coder)
     presence = np.zeros((len(grams) + 1, len(marks)), dtype=np.float32)
     for j, codes in enumerate(marks):
         presence[row_of[codes], j] = 1
@@ -128,9 +152,13 @@ def train(pieces: list[tuple[str, str]], landmarks: int, ridge: float) -> Model:
 class Scorer:
     def __init__(self, model: Model):
         self.langs, self.coder = model.langs, Coder(model.letters)
-        weights = np.frombuffer(model.weights, dtype=np.float32).reshape(-1, max(1, len(model.langs)))
-        self.weights = np.zeros((SPACE, max(1, len(model.langs))), dtype=np.float32)
-        self.weights[np.frombuffer(model.grams, dtype=np.int32)] = weights
+        width, grams = max(1, len(model.langs)), np.frombuffer(model.grams, dtype=np.int64)
+        weights = np.frombuffer(model.weights, dtype=np.float32).reshape(-1, width)
+        if self.coder.last is not None:  # a row for every code
+            self.rows, self.weights = None, np.zeros((self.coder.space, width), dtype=np.float32)
+            self.weights[grams] = weights
+        else:
+            self.rows, self.weights = Rows(grams, self.coder), np.concatenate([weights, np.zeros((1, width), dtype=np.float32)])
 
     def outputs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Regression outputs (text by language), and whether a text has a letter."""
@@ -139,7 +167,7 @@ class Scorer:
             codes = self.coder.codes(text)
             if len(codes):
                 some[i] = True
-                out[i] = self.weights[codes].sum(axis=0, dtype=np.float64) / np.sqrt(len(codes))
+                out[i] = self.weights[codes if self.rows is None else self.rows[codes]].sum(axis=0, dtype=np.float64) / np.sqrt(len(codes))
         return out, some
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:

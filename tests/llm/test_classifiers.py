@@ -118,3 +118,15 @@ def test_same_model_from_shuffled_rows(spark):
     assert quality.fit(docs, labels, held) == quality.fit(docs.repartition(5), labels.repartition(3), held)
     held = quality.in_fold(F.col("doc_id"), 3, 1)
     assert langid.fit(docs, held) == langid.fit(docs.repartition(5), held)
+
+
+def test_languages_of_scripts_beyond_the_first_letters():
+    rng = random.Random(5)
+    scripts = {"la": 0x61, "el": 0x3B1, "ru": 0x430, "hi": 0x915, "bn": 0x995, "ta": 0xB95, "th": 0xE01, "ge": 0x10D0, "am": 0x1200, "zh": 0x4E00}
+    chars = {lang: [chr(at + i) for i in range(24) if chr(at + i).isalpha()] for lang, at in scripts.items()}
+    text = lambda lang: " ".join("".join(rng.choice(chars[lang]) for _ in range(rng.randint(2, 7))) for _ in range(30))
+    model = langid.train([(lang, text(lang)) for _ in range(12) for lang in scripts], 60, 1e-4)
+    new = [(lang, text(lang)) for lang in scripts for _ in range(5)]
+    assert len(model.letters) > 200
+    assert langid.Scorer(model).predict([t for _, t in new])[0] == [lang for lang, _ in new]
+    assert langid.Scorer(model).predict(["12 34", None])[0] == ["und", "und"]
