@@ -498,7 +498,7 @@ def q_incremental_ingest(spark, d):
     folder = scratch_path(spark, "ingest-source")
     given = read_table(spark, d, "conversations")
     for part in (0, 1):
-        given.where(F.pmod("conv_id", F.lit(2)) == part).write.mode("append").parquet(folder)
+        given.where(F.coalesce(F.pmod("conv_id", F.lit(2)), F.lit(0)) == part).write.mode("append").parquet(folder)
         step(folder)
     return step(folder).drop("epoch")
 

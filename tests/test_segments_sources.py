@@ -149,6 +149,20 @@ def test_incremental_ingest(spark):
     assert rows(run().fillna(0)) == first
 
 
+def test_incremental_ingest_query_keeps_rows_without_id(spark, tmp_path):
+    from parley.plans.catalog import q_incremental_ingest
+    from parley.schemas import TABLE_SCHEMAS
+    from parley.sources.tables import read_table
+    from tests.conftest import SMALL
+
+    kind = TABLE_SCHEMAS["conversations"]
+    rows = [{"conv_id": c, "turn": t, "role": "user", "text": "hello there"} for c, t in ((1, 0), (2, 0), (None, 7), (None, 8))]
+    spark.createDataFrame([tuple(r.get(f.name) for f in kind) for r in rows], kind).write.parquet(f"{tmp_path}/conversations.parquet")
+    read_table(spark, SMALL, "benchmark").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = q_incremental_ingest(spark, str(tmp_path)).collect()
+    assert sorted((r.call_id or 0, r.start_s) for r in got) == [(0, 7.0), (0, 8.0), (1, 0.0), (2, 0.0)]
+
+
 def test_incremental_ingest_of_nothing(spark):
     src = tempfile.mkdtemp(prefix="parley-src-", dir="/tmp")
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
