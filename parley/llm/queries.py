@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, langid, linededup, minhash, mixing, neardup, pieces, quality, topk, warc
+from parley.llm import chat, langid, linededup, minhash, mixing, neardup, pieces, quality, runs, topk, warc
 from parley.llm.common import pick, table
 from parley.session import scratch_path
 
@@ -87,6 +87,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    found = runs.periodic_runs(docs.select("doc_id", runs.planted(F.col("doc_id"), F.col("text")).alias("text")))
+    # runs come by start, then period, so the first of equal exponents stays
+    higher = lambda best, x: x["length"] * best["period"] > best["length"] * x["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, x: F.when(higher(best, x), x).otherwise(best))
+    stated = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(stated, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -98,4 +112,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_simhash_neardup": op9_simhash_neardup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_periodic_runs": op12_periodic_runs,
 }
