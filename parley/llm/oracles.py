@@ -92,3 +92,34 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10
 """
+
+ORACLES["op13_ranked_search"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), docs AS (
+  SELECT rid, doc_id, len(terms)::BIGINT AS n, terms FROM words WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM docs
+), tf AS (
+  SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(terms) AS term FROM docs) GROUP BY rid, term
+), weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf CROSS JOIN totals GROUP BY term
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), scored AS (
+  SELECT item_id, d.rid, any_value(d.doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // totals.terms))))::BIGINT AS score
+  FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN docs d USING (rid) CROSS JOIN totals
+  GROUP BY item_id, d.rid
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, langid, linededup, minhash, mixing, neardup, pieces, quality, runs, topk, warc
+from parley.llm import chat, langid, linededup, maxscore, minhash, mixing, neardup, pieces, quality, runs, topk, warc
 from parley.llm.common import pick, table
 from parley.session import scratch_path
 
@@ -101,6 +101,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -113,4 +117,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_neardup": op9_simhash_neardup,
     "op10_quality_classifier": op10_quality_classifier,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_ranked_search": op13_ranked_search,
 }
