@@ -87,8 +87,8 @@ def shard_of(rows, weights, pairs, n_docs=1000, n_terms=10_000):
     return maxscore.Shard(np.arange(len(rows)), norms, docs, terms, tfs, np.array(weights, np.int64), pairs)
 
 
-def test_pair_bounds_hold_and_save_reading():
-    rng, total = random.Random(9), np.zeros(2, int)
+def test_bounds_hold_and_lose_nothing():
+    rng = random.Random(9)
     for _ in range(60):
         terms = 8
         # neighbours rarely share a document, so that joint maxima are far below the sums of maxima
@@ -97,7 +97,6 @@ def test_pair_bounds_hold_and_save_reading():
         rows = [r or {0: 1} for r in rows]
         query = [(t, rng.choice([1, 1, 2])) for t in range(terms)]
         weights = sorted(rng.randint(0, 3000) for _ in range(terms))
-        read = []
         for paired in (True, False):
             shard = shard_of(rows, weights, maxscore.pairs_of([query]))
             places, scores = shard.search(query, 5, paired=paired)
@@ -113,9 +112,20 @@ def test_pair_bounds_hold_and_save_reading():
                     docs, impacts = shard.postings(t)
                     part[docs] += times * impacts
                 assert part.max() <= bound
-            read.append(shard.read)
-        total += read
-    assert total[0] < 0.9 * total[1]
+
+
+def test_pair_bounds_skip_lists_that_single_bounds_read():
+    # terms 0 and 1 fill a half of the documents each and meet nowhere; term 2 outweighs either, not both
+    rows = [{0: 1} if d % 2 else {1: 1} for d in range(1000)]
+    for d in range(30):
+        rows[d][2] = 1
+    query, read = [(0, 1), (1, 1), (2, 1)], []
+    for paired in (True, False):
+        shard = shard_of(rows, [600, 600, 900], maxscore.pairs_of([query]))
+        places, scores = shard.search(query, 20, paired=paired)
+        assert len(places) >= 20 and len(set(scores.tolist())) == 1
+        read.append(shard.read)
+    assert read[0] <= 30 + 2 * 30 and read[1] >= 500
 
 
 def test_floor_of_earlier_shards_keeps_ties():
