@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, langid, linededup, maxscore, minhash, mixing, neardup, pieces, quality, runs, topk, warc
+from parley.llm import chat, langid, linededup, maxscore, minhash, mixing, neardup, pieces, pii, quality, runs, topk, warc
 from parley.llm.common import pick, table
 from parley.session import scratch_path
 
@@ -87,6 +87,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs)).withColumn("base", F.filter("spans", lambda s: s["base"]))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *(count(kind) for kind in pii.KINDS),
+                        F.sha2(pii.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        pii.as_text(F.col("spans")).alias("spans"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="long", text="string")
     found = runs.periodic_runs(docs.select("doc_id", runs.planted(F.col("doc_id"), F.col("text")).alias("text")))
@@ -116,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_simhash_neardup": op9_simhash_neardup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_personal_data": op11_personal_data,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_ranked_search": op13_ranked_search,
 }
