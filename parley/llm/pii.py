@@ -26,6 +26,7 @@ ignored.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import unicodedata
@@ -392,11 +393,15 @@ def labelled_windows(texts: list[str], windows: int, seed: int) -> tuple[np.ndar
 
 
 def fit(docs: DataFrame, sample_docs: int = 3000, sample_chars: int = 1 << 22, windows: int = 6000, seed: int = 11) -> Model:
-    """Learn from at most ``sample_docs`` documents of ``sample_chars`` characters together, those with a trigger, by a
+    """Learn from ``sample_docs`` documents at most, of ``sample_chars`` characters together, those with a trigger, by a
     hash of doc_id. Of a longer text the windows around its shapes are the sample."""
-    given = pick(docs, doc_id="long", text="string").where(F.col("text").rlike("[0-9@]")).where("doc_id is not null")
+    given = pick(docs, doc_id="long", text="string").where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    held = F.col("text").rlike("[0-9@]")
+    share = 1.25 * sample_docs / max(1, given.where(held).count())
+    # so few by their hash that what the tasks send does not grow with their number
+    few = given.where(F.pmod("h", F.lit(1 << 30)) < min(1 << 30, math.ceil(share * (1 << 30)))).where(held)
     around = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"(?s)(.{0,60}[0-9@].{0,120})"), F.lit(1)), 1, 16), " ")
-    chosen = given.select("doc_id", F.xxhash64("doc_id").alias("h"), around.alias("text")).orderBy("h", "doc_id", "text").limit(sample_docs)
+    chosen = few.select("doc_id", "h", around.alias("text")).orderBy("h", "doc_id", "text").limit(sample_docs)
     texts, left = [], sample_chars
     for r in sorted(chosen.collect(), key=lambda r: (r.h, r.doc_id, r.text)):
         texts.append(r.text[:max(0, left)])
