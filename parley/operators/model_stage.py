@@ -10,8 +10,7 @@ its own messages (behaviours B6, B7).
 
 from __future__ import annotations
 
-import hashlib
-import re
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -63,21 +62,40 @@ def call_model(requests: DataFrame, model_fn: ModelFn, concurrency: int | None =
 
 
 def complete(requests: DataFrame, model_fn: ModelFn, write: Callable[[DataFrame, str], DataFrame],
-             existing: DataFrame | None = None, concurrency: int | None = None) -> DataFrame:
+             existing: DataFrame | None = None, concurrency: int | None = None, retries: int = 3, wait_s: float = 0.0) -> DataFrame:
     """UDF-1, UDF-2, JOIN-8: every response to ``requests``, the ``existing`` ones included.
 
-    Requests with an ``ok`` response are not called again (resume). The rest are called once; those
-    that are too large go once more to the larger model. ``write(df, name)`` writes each round's
-    responses before anything reads them, so a lost executor never pays for a call twice."""
-    todo = requests
+    Requests without a response are called once; after that, and for the existing responses, the
+    routing of :func:`next_attempts` decides: too large goes on to the larger model, once; rate
+    limited is called again, ``retries`` times at most in one run and ``wait_s`` seconds later; what
+    has an ``ok`` or a final answer is not called again (resume). ``write(df, name)`` writes each
+    round's responses before anything reads them, so a lost executor never pays for a call twice."""
+    asked = requests.select("request_id", "messages").dropDuplicates(["request_id"])
+    found, todo = existing, asked.withColumn("model", F.lit(BASE_MODEL)).withColumn("attempt", F.lit(1))
     if existing is not None:
-        todo = requests.join(existing.where("status = 'ok'").select("request_id"), "request_id", "left_anti")
-    first = write(call_model(todo, model_fn, concurrency), "responses-1")
-    again = requests.join(first.where("status = 'too_large'").select("request_id").distinct(), "request_id", "left_semi")
-    again = again.select("request_id", "messages").withColumn("model", F.lit(LARGE_MODEL)).withColumn("attempt", F.lit(2))
-    second = write(call_model(again, model_fn, concurrency), "responses-2")
-    found = first.unionByName(second)
-    return found if existing is None else found.unionByName(existing)
+        fresh = todo.join(existing.select("request_id").distinct(), "request_id", "left_anti")
+        todo = fresh.unionByName(next_calls(asked, existing))
+        if todo.isEmpty():
+            return existing
+    for n in range(2 + retries):
+        batch = write(call_model(todo, model_fn, concurrency), f"responses-{n + 1}")
+        found = batch if found is None else found.unionByName(batch)
+        limited, big = F.col("status") == "rate_limited", (F.col("status") == "too_large") & (F.col("model") != LARGE_MODEL)
+        left = batch.where(limited | big).agg(F.count(F.lit(1)), F.count_if(limited)).first()
+        if not left[0]:
+            break
+        # only what this round was told to try again: a call without any answer stays pending
+        todo = next_calls(asked.join(batch.select("request_id").distinct(), "request_id", "left_semi"), found)
+        if wait_s and left[1]:
+            time.sleep(wait_s)
+    return found
+
+
+def next_calls(requests: DataFrame, responses: DataFrame) -> DataFrame:
+    """``(request_id, messages, model, attempt)`` of the requests that are to be tried again."""
+    again = next_attempts(latest_attempt(responses)).where("status = 'retry'")
+    return requests.select("request_id", "messages").join(
+        again.select("request_id", "model", F.col("attempt").cast("int").alias("attempt")), "request_id")
 
 
 def merge_responses(requests: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
@@ -102,26 +120,6 @@ def usage_log(responses: DataFrame, stage: str, kind: str = "chat") -> DataFrame
                             F.coalesce("tokens_in", F.lit(0)).alias("tokens_in"), F.coalesce("tokens_out", F.lit(0)).alias("tokens_out"))
 
 
-STUB_TAGS = re.compile("</?(?:transcription|dem|res)>")
-
-
-def stub_model(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Deterministic stand-in model for tests, by the md5 of the user content: none for a first
-    ``0`` (a failed call), too large for a first ``1`` (on the larger model only with a second
-    digit under ``4``), else ``a`` + 8 digits + the content without tags, 400 characters of it."""
-    for b in batches:
-        rows = []
-        for request, messages, model, attempt in zip(b["request_id"], b["messages"], b["model"], b["attempt"]):
-            user = messages[-1]["content"]
-            h = hashlib.md5(user.encode()).hexdigest()
-            big = h[0] == "1" and (model != LARGE_MODEL or h[1] < "4")
-            if h[0] == "0":
-                continue
-            text = None if big else f"a{h[:8]} " + STUB_TAGS.sub("", user)[:400]
-            rows.append((request, attempt, model, "too_large" if big else "ok", text, len(user.split()), 0 if big else len(text.split())))
-        yield pd.DataFrame(rows, columns=[f.name for f in RESPONSES]).astype({"attempt": "int32", "tokens_in": "int64", "tokens_out": "int64"})
-
-
 # ---- attempts and routing (UDF-2, WIN-7) ------------------------------------------------------
 
 def attempts_with_model(attempts: DataFrame) -> DataFrame:
@@ -204,12 +202,3 @@ def embed_stage(texts: DataFrame, id_col: str, text_col: str, embed_fn: ModelFn,
     todo = keyed.select("text_key", F.col(text_col).alias("text")).dropDuplicates(["text_key"])
     vecs = write(todo.mapInPandas(embed_fn, EMBED_RESPONSES), "embedded")
     return keyed.join(vecs, "text_key", "left").select(id_col, "embed", "tokens")
-
-
-def stub_embedder() -> ModelFn:
-    """Deterministic stand-in embedder for tests: the 16 bytes of the text's md5, over 255."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            vecs = [[x / 255 for x in hashlib.md5((t or "").encode()).digest()] for t in b["text"]]
-            yield pd.DataFrame({"text_key": b["text_key"], "embed": vecs, "tokens": [len((t or "").split()) for t in b["text"]]})
-    return run

@@ -134,6 +134,10 @@ from parley.operators.knn import knn_topk  # noqa: E402
 from parley.operators import model_stage as ms  # noqa: E402
 from parley.plans import dataset as ds  # noqa: E402
 from parley.plans import retrieval as rt  # noqa: E402
+from parley.plans.resumable import build_pairs  # noqa: E402
+from parley.plans.standins import refusing_model, stub_embedder, stub_model  # noqa: E402
+from parley.plans.store import StageStore, files_version  # noqa: E402
+from parley.session import scratch_path  # noqa: E402
 from parley.sources.tables import vectors_from_embeddings  # noqa: E402
 
 
@@ -153,7 +157,7 @@ def _requests_of(speech):
 def _restated(spark, speech):
     """``(call_id, spoken, request_id, answer, status)`` after the restating stage."""
     reqs = _requests_of(speech)
-    return ms.merge_responses(reqs, ms.complete(reqs, ms.stub_model, _write(spark)), ["call_id", "spoken"])
+    return ms.merge_responses(reqs, ms.complete(reqs, stub_model, _write(spark)), ["call_id", "spoken"])
 
 
 def _finished(restated):
@@ -245,13 +249,13 @@ def q_message_history(spark, d):
 @query
 def q_merge_responses(spark, d):
     reqs = _requests(spark, d)
-    return ms.merge_responses(reqs, ms.complete(reqs, ms.stub_model, _write(spark)), ["call_id"])
+    return ms.merge_responses(reqs, ms.complete(reqs, stub_model, _write(spark)), ["call_id"])
 
 
 @query
 def q_usage_log(spark, d):
     reqs = _requests(spark, d)
-    log = ms.usage_log(ms.complete(reqs, ms.stub_model, _write(spark)), "restate")
+    log = ms.usage_log(ms.complete(reqs, stub_model, _write(spark)), "restate")
     return log.select("stage", "model", "kind", "request_id", F.col("attempt").cast("bigint").alias("attempt"), "tokens_in", "tokens_out")
 
 
@@ -263,12 +267,12 @@ def q_restated_requests(spark, d):
 def _refine(spark, cands):
     """Refined answers ``(call_id, rank, answer, status)``."""
     reqs = ds.refine_requests(cands)
-    return ms.merge_responses(reqs, ms.complete(reqs, ms.stub_model, _write(spark)), ["call_id", "rank"])
+    return ms.merge_responses(reqs, ms.complete(reqs, stub_model, _write(spark)), ["call_id", "rank"])
 
 
 def _combine(spark, refined):
     reqs = ds.combine_requests(refined)
-    return ms.merge_responses(reqs, ms.complete(reqs, ms.stub_model, _write(spark)), ["call_id"])
+    return ms.merge_responses(reqs, ms.complete(reqs, stub_model, _write(spark)), ["call_id"])
 
 
 @query
@@ -307,6 +311,27 @@ def q_pairs(spark, d):
     return ds.write_stage(spark, _pairs(spark, d), "pairs")
 
 
+@query
+def q_resumed_run(spark, d):
+    """A run that breaks off before the combine stage, and another on the same store: its models for the
+    stages before refuse any request, so it comes through only if nothing is paid for twice."""
+    store = lambda: StageStore(spark, root)
+    root = scratch_path(spark, "store")
+    versions = [files_version(spark, f"{d.rstrip('/')}/{name}.parquet") for name in ("conversations", "benchmark")]
+    run = lambda model: build_pairs(store(), _turns(spark, d), _names(spark, d), versions, model, parts=2)
+
+    def first(stage):
+        if stage == "combine":
+            raise InterruptedError(stage)
+        return stub_model
+
+    try:
+        run(first)
+    except InterruptedError:
+        pass
+    return run(lambda stage: stub_model if stage == "combine" else refusing_model)[0]
+
+
 @query
 def q_sample_pairs(spark, d):
     return ds.sample_rows(_pairs(spark, d), "call_id", 10)
@@ -386,7 +411,7 @@ def q_usage_cost(spark, d):
 @query
 def q_embed_stage(spark, d):
     sp = _speech(spark, d).select(F.col("key").alias("id"), "clean")
-    e = ms.embed_stage(sp, "id", "clean", ms.stub_embedder(), _write(spark))
+    e = ms.embed_stage(sp, "id", "clean", stub_embedder(), _write(spark))
     total = F.aggregate("embed", F.lit(0.0), lambda a, x: a + F.round(x.cast("double") * 255))
     return e.select("id", F.size("embed").cast("bigint").alias("dims"), "tokens", total.cast("bigint").alias("bytes_sum"))
 
@@ -481,7 +506,6 @@ def q_chunks_to_turns(spark, d):
 @query
 def q_incremental_ingest(spark, d):
     from parley.schemas import TABLE_SCHEMAS
-    from parley.session import scratch_path
     from parley.streaming.ingest import ingest_available
 
     names = _names(spark, d)

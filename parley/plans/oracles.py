@@ -79,7 +79,7 @@ def req_key(prompt: str, content: str) -> str:
 
 def stub_answer(content: str) -> str:
     """Answer and status that the stand-in model leads to, retry round included."""
-    h, body = f"md5({content})", f"left(regexp_replace({content}, '</?(transcription|dem|res)>', '', 'g'), 400)"
+    h, body = f"md5({content})", f"regexp_replace({content}, '</?(transcription|dem|res)>', '', 'g')"
     return (f"CASE WHEN {h} LIKE '0%' THEN 'NOT YET' WHEN {h} SIMILAR TO '1[0-3].*' THEN 'BIG ERROR' "
             f"ELSE 'a' || substr({h}, 1, 8) || ' ' || {body} END AS answer, "
             f"CASE WHEN {h} LIKE '0%' THEN 'pending' WHEN {h} SIMILAR TO '1[0-3].*' THEN 'failed' ELSE 'done' END AS status")
@@ -232,6 +232,7 @@ oracle("pick_instruction", K.with_ctes(REQ, f"SELECT call_id, {pick('call_id')}
 PAIRS = (f"SELECT ca.call_id, {pick('ca.call_id')} AS instruction, ix.text AS request, ca.answer FROM ca "
          f"JOIN ix ON ix.call_id = ca.call_id AND ix.persona = 'customer' WHERE ca.status = 'done'")
 oracle("pairs", K.with_ctes(refine_steps(), PAIRS))
+oracle("resumed_run", K.with_ctes(refine_steps(), PAIRS))
 oracle("sample_pairs", K.with_ctes(
     refine_steps(), f"SELECT * FROM ({PAIRS}) ORDER BY md5({K.lit(INSTRUCTION_SEED + ':')} || CAST(call_id AS VARCHAR)), "
               f"call_id LIMIT 10"))
