@@ -8,7 +8,8 @@ join). A cell multiplies its two blocks with numpy in bounded document chunks an
 its local top-k per query; the final ``row_number() <= k`` per query (planned as a
 ``WindowGroupLimit``) sees at most ``doc_blocks * k`` rows per query.
 
-Shuffle volume: ``|Q| * doc_blocks + |D| * query_blocks`` vectors plus ``|Q| * doc_blocks * k``
+With more than one document block, blocks are not met in full: see :func:`pruned_topk`. Without pruning
+(``prune=False``) the shuffle volume is ``|Q| * doc_blocks + |D| * query_blocks`` vectors plus ``|Q| * doc_blocks * k``
 hits. A task holds one block of each side: ``cell_queries`` and ``cell_docs`` rows on average
 (ids are hashed to blocks), whatever the size of the tables; the block counts follow from the row
 counts unless they are given. Ties are broken by document id; null, empty and zero-norm vectors
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 
 from parley.constants import TOP_K
 from parley.functions.vector import usable
+from parley.session import staged
 
 
 def plan_blocks(n: int, per_block: int) -> int:
@@ -68,7 +70,8 @@ def _block_topk(k: int, chunk_rows: int, exclude_same_group: bool):
             part = d.iloc[start:start + chunk_rows]
             dv = np.stack(part["v"].to_numpy()).astype(np.float64)
             dv /= np.linalg.norm(dv, axis=1, keepdims=True)
-            s = qv @ dv.T + 1.0
+            # equal vectors score alike wherever they stand in a block
+            s = np.round(qv @ dv.T + 1.0, 12)
             if exclude_same_group:
                 s[q["grp"].to_numpy()[:, None] == part["grp"].to_numpy()[None, :]] = -np.inf
             idx = np.broadcast_to(np.arange(start, start + len(part)), s.shape)
@@ -83,7 +86,7 @@ def _block_topk(k: int, chunk_rows: int, exclude_same_group: bool):
 def knn_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, query_blocks: int | None = None,
              doc_blocks: int | None = None, q_id: str = "id", d_id: str = "id", vec: str = "embed",
              group_col: str | None = None, cell_queries: int = 4096, cell_docs: int = 8192,
-             chunk_rows: int = 2048) -> DataFrame:
+             chunk_rows: int = 2048, prune: bool = True) -> DataFrame:
     """``(query_id, doc_id, rank, score)`` with score = cosine + 1, rank 1..k per query.
 
     Filters on either side (for example the persona filter) must be applied before the call;
@@ -97,6 +100,8 @@ def knn_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, query_blocks:
                                         grp(docs).cast("long").alias("grp"))
     query_blocks = query_blocks or plan_blocks(q.count(), cell_queries)
     doc_blocks = doc_blocks or plan_blocks(d.count(), cell_docs)
+    if prune and doc_blocks > 1:
+        return pruned_topk(q, d, k, group_col is not None, cell_queries, cell_docs, chunk_rows, pivots=doc_blocks)[0]
     q = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(query_blocks)).cast("int")).withColumn(
         "db", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1))))
     d = d.withColumn("db", F.pmod(F.xxhash64("did"), F.lit(doc_blocks)).cast("int")).withColumn(
@@ -111,9 +116,148 @@ def knn_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, query_blocks:
         .cogroup(d.groupBy("qb", "db"))
         .applyInPandas(_block_topk(k, chunk_rows, group_col is not None), schema)
     )
+    return _best(hits, k)
+
+
+def _best(hits: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("did"))
     return (
         hits.withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
         .select(F.col("qid").alias("query_id"), F.col("did").alias("doc_id"), "rank", "score")
     )
+
+
+# ---- exact pruning ------------------------------------------------------------------------------
+
+#: Pivots at most; documents that are looked at for each; angles (radians) by which bounds are slackened for rounding.
+MOST_PIVOTS, SAMPLE, SLACK = 1024, 16, 1e-5
+
+
+def choose_pivots(sample: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
+    """``n`` unit vectors at most: the sample's means on the sphere, started far from each other."""
+    at, away = [0], np.full(len(sample), np.inf)
+    while len(at) < min(n, len(sample)):
+        away = np.minimum(away, 1 - sample @ sample[at[-1]])
+        if away.max() <= 1e-9:
+            break
+        at.append(int(away.argmax()))
+    pivots = sample[at]
+    for _ in range(rounds):
+        near = (sample @ pivots.T).argmax(axis=1)
+        sums = np.zeros_like(pivots)
+        np.add.at(sums, near, sample)
+        norms = np.linalg.norm(sums, axis=1, keepdims=True)
+        pivots = np.where(norms > 1e-9, sums / np.maximum(norms, 1e-9), pivots)
+    return pivots
+
+
+def _unit(vectors: pd.Series) -> np.ndarray:
+    v = np.stack(vectors.to_numpy()).astype(np.float64)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def _angles(vectors: pd.Series, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(_unit(vectors) @ pivots.T, -1.0, 1.0))
+
+
+def least_angles(angles: np.ndarray, nearest: np.ndarray, farthest: np.ndarray) -> np.ndarray:
+    """The smallest angle that a query, at ``angles`` from the pivots, can have to a document of each pivot: angles are a
+    metric, and a pivot's documents are between ``nearest`` and ``farthest`` from it."""
+    return np.maximum(0.0, np.maximum(angles - farthest, nearest - angles) - SLACK)
+
+
+def pruned_topk(q: DataFrame, d: DataFrame, k: int, exclude_same_group: bool, cell_queries: int, cell_docs: int,
+                chunk_rows: int, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """The exact top k of ``q(qid, v, grp)`` in ``d(did, v, grp)``, and ``(qid, met, pivots)``: how many pivots' documents
+    each query met, of how many.
+
+    Documents go to the nearest of some pivots, whose farthest and nearest document are known. A query
+    first meets the documents of its nearest pivots, enough of them for k. The k-th score it has then
+    bounds by the triangle inequality which other pivots can hold a better or equal document; only
+    those are met in a second pass. Whatever the pivots, nothing is missed; good pivots save work.
+
+    Queries of one nearest pivot ask for much the same documents, so they share blocks of about
+    ``cell_queries``; a pivot with more than ``cell_docs`` documents is split by a hash of the id. The
+    driver holds the pivots (``MOST_PIVOTS`` vectors), a sample of ``SAMPLE`` times as many, and three
+    numbers a pivot."""
+    spark, want = q.sparkSession, min(pivots, MOST_PIVOTS)
+    q, d = q.withColumn("qkey", F.xxhash64("qid")), d.withColumn("dkey", F.xxhash64("did"))
+    total = d.count()
+    share = 4.0 * SAMPLE * want / max(1, total)
+    few = d.where(F.pmod("dkey", F.lit(1 << 30)) < min(1 << 30, math.ceil(share * (1 << 30))))
+    sample = [r.v for r in few.orderBy("dkey", "did").limit(SAMPLE * want).select("v").collect()]
+    empty = spark.createDataFrame([], T.StructType([q.schema["qid"], T.StructField("met", T.LongType()), T.StructField("pivots", T.LongType())]))
+    types = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("did", d.schema["did"].dataType),
+                          T.StructField("score", T.DoubleType())])
+    if not sample:
+        return _best(spark.createDataFrame([], types), k), empty
+    points = choose_pivots(_unit(pd.Series(sample)), want)
+
+    def assign(batches):
+        for b in batches:
+            if len(b):
+                angles = _angles(b["v"], points)
+                near = angles.argmin(axis=1)
+                yield b.assign(pivot=near.astype(np.int32), angle=angles[np.arange(len(b)), near])
+
+    more = [T.StructField("pivot", T.IntegerType()), T.StructField("angle", T.DoubleType())]
+    d = staged(d.mapInPandas(assign, T.StructType([*d.schema.fields, *more])), "assigned")
+    q = staged(q.mapInPandas(assign, T.StructType([*q.schema.fields, *more])), "assigned")
+    n = len(points)
+    counts, near, far = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+    for r in d.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("a"), F.max("angle").alias("b")).collect():
+        counts[r.pivot], near[r.pivot], far[r.pivot] = r.n, r.a, r.b
+    salts = np.maximum(1, -(-counts // cell_docs))
+    asked = np.ones(n, np.int64)
+    for r in q.groupBy("pivot").count().collect():
+        asked[r.pivot] = max(1, -(-r["count"] // cell_queries))
+
+    def first(batches):
+        for b in batches:
+            if len(b):
+                order = np.argsort(np.where(counts > 0, _angles(b["v"], points), np.inf), axis=1, kind="stable")
+                enough = np.minimum((np.cumsum(counts[order], axis=1) < k).sum(axis=1) + 1, int((counts > 0).sum()))
+                yield b.assign(meet=[o[:e].astype(np.int32) for o, e in zip(order, enough)])
+
+    def rest(batches):
+        for b in batches:
+            if len(b):
+                least = least_angles(_angles(b["v"], points), near, far)
+                reach = np.arccos(np.clip(b["kth"].fillna(0.0).to_numpy() - 1.0, -1.0, 1.0)) + SLACK
+                may = (least <= reach[:, None]) & (counts > 0)
+                for row, met in enumerate(b["meet"]):
+                    may[row, met] = False
+                yield b.drop(columns="kth").assign(meet=[np.flatnonzero(m).astype(np.int32) for m in may])
+
+    q_types = T.StructType([*q.schema.fields, T.StructField("meet", T.ArrayType(T.IntegerType()))])
+    number = lambda column, of: F.element_at(F.array(*(F.lit(int(x)) for x in of)), F.col(column) + 1)
+    q = q.withColumn("part", F.pmod("qkey", number("pivot", asked)))
+    q_types = q_types.add("part", T.LongType())
+    d = d.withColumn("salt", F.pmod("dkey", number("pivot", salts)))
+
+    def meet(asking: DataFrame) -> DataFrame:
+        """The best k of each query in the documents of the pivots that it names in ``meet``."""
+        block = F.struct(F.col("pivot").alias("home"), "part")
+        each = asking.select("qid", "v", "grp", block.alias("qb"), F.explode("meet").alias("pivot"))
+        wanted = each.select("qb", "pivot").distinct().groupBy("pivot").agg(F.collect_list("qb").alias("qbs"))
+        each = each.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), number("pivot", salts) - 1)))
+        lent = d.join(wanted, "pivot").select("did", "v", "grp", "pivot", "salt", F.explode("qbs").alias("qb"))
+        cells = each.groupBy("qb", "pivot", "salt").cogroup(lent.groupBy("qb", "pivot", "salt"))
+        return cells.applyInPandas(_block_topk(k, chunk_rows, exclude_same_group), types)
+
+    columns = ["qid", "v", "grp", "qkey", "pivot", "angle"]
+    begun = staged(q.mapInPandas(first, _ordered(q_types, [*q.columns, "meet"])), "meet")
+    hits = staged(_best(meet(begun), k), "first")
+    kth = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).where(F.col("n") == k).select(
+        F.col("query_id").alias("kid"), "kth")
+    known = begun.join(kth, begun.qid == kth.kid, "left").drop("kid")
+    left = staged(known.mapInPandas(rest, _ordered(q_types, [*columns, "part", "meet"])), "meet")
+    found = hits.select(F.col("query_id").alias("qid"), F.col("doc_id").alias("did"), "score").unionByName(meet(left.where(F.size("meet") > 0)))
+    met = begun.select("qid", F.size("meet").alias("m")).union(left.select("qid", F.size("meet"))).groupBy("qid").agg(
+        F.sum("m").alias("met"), F.lit(int((counts > 0).sum())).cast("long").alias("pivots"))
+    return _best(found, k), met
+
+
+def _ordered(schema: T.StructType, columns: list[str]) -> T.StructType:
+    return T.StructType([schema[c] for c in columns])

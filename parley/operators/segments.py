@@ -1,8 +1,8 @@
 """Segments of a call: AGG-3, WIN-2, WIN-3, CLU-1, CLU-2, FIL-4, JOIN-3.
 
 ``samples(call_id, t, value)``: one value per time step; a segment (frame) is ``floor(t / size)``
-and only complete frames count (SCL-15). Per-call windows are bounded by the length of one
-call; aggregations use partial (map-side) combination.
+and only complete frames count (SCL-15). Ordered windows go in blocks where a call is long
+(:mod:`parley.operators.scan`); aggregations use partial (map-side) combination.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from parley.constants import EDGE_FILTER_LEN, EDGE_OFFSET, FEATURES, SEGMENT_SECONDS
 from parley.functions import signal as sg
+from parley.operators.scan import BLOCK, before, in_blocks, numbered
 
 
 def with_segments(samples: DataFrame, size: int = SEGMENT_SECONDS) -> DataFrame:
@@ -49,47 +50,68 @@ def spectral_features(frames: DataFrame, mag: str = "mag") -> DataFrame:
     return fr.groupBy("call_id", "seg").agg(*(stats[s](F.col(c)).alias(name) for (c, s), name in zip(parts, FEATURES)))
 
 
-def two_means_1d(df: DataFrame, key: str, order: str, value_col: str) -> DataFrame:
+def two_means_1d(df: DataFrame, key: str, order: str, value_col: str, most: int | None = None) -> DataFrame:
     """CLU-1, exact in one dimension: the optimal 2-means split of a call's sorted values is the
     prefix maximising ``cum^2/k + (tot-cum)^2/(n-k)`` among splits between distinct values.
     ``label`` is 1 for the upper cluster, 0 otherwise (all 0 when no split exists).
-    Integer values keep the objective identical across engines."""
-    w_all = Window.partitionBy(key)
-    w = w_all.orderBy(value_col, order)
-    v = F.col(value_col)
-    d = (df.withColumn("_k", F.row_number().over(w))
+    Integer values keep the objective identical across engines. A call with more than ``most`` rows
+    is worked in blocks, whose counts and sums add up."""
+    b = in_blocks(df, key, [value_col, order], most)
+    w, w_all, v = b.window(), Window.partitionBy(key), F.col(value_col)
+    d = (b.rows.withColumn("_k", F.row_number().over(w))
          .withColumn("_cum", F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("_n", F.count(F.lit(1)).over(w_all))
-         .withColumn("_tot", F.sum(v).over(w_all))
          .withColumn("_next", F.lead(v).over(w)))
+    if b.split:
+        over = b.over_blocks()
+        carry = b.rows.groupBy(key, BLOCK).agg(F.count(F.lit(1)).alias("_cn"), F.sum(v).alias("_cs"), F.min(v).alias("_cv"))
+        carry = carry.select(key, BLOCK, F.sum("_cn").over(w_all).alias("_n"), F.sum("_cs").over(w_all).alias("_tot"),
+                             before(F.col("_cn"), over).alias("_kb"), before(F.col("_cs"), over).alias("_cb"),
+                             F.lead("_cv").over(over).alias("_after"))
+        d = b.carried(d, carry).withColumns({"_k": F.col("_k") + F.col("_kb"), "_cum": F.col("_cum") + F.col("_cb"),
+                                             "_next": F.coalesce("_next", "_after")})
+    else:
+        d = d.withColumn("_n", F.count(F.lit(1)).over(w_all)).withColumn("_tot", F.sum(v).over(w_all))
     rest = F.col("_tot") - F.col("_cum")
     # squares as 38-digit decimals: a call's sum may pass the root of the largest bigint
     square = lambda x: (x.cast("decimal(19,0)") * x.cast("decimal(19,0)")).cast("double")
     score = square(F.col("_cum")) / F.col("_k") + square(rest) / (F.col("_n") - F.col("_k"))
     valid = (F.col("_k") < F.col("_n")) & (F.col("_next") > v)
     d = d.withColumn("_cand", F.when(valid, F.struct(score.alias("s"), (-F.col("_k")).alias("nk"))))
-    best = F.max("_cand").over(w_all)
-    d = d.withColumn("_best", -best["nk"])
-    label = F.when(F.col("_best").isNotNull() & (F.col("_k") > F.col("_best")), 1).otherwise(0)
-    return d.withColumn("label", label).drop("_k", "_cum", "_n", "_tot", "_next", "_cand", "_best")
+    if b.split:
+        best = d.groupBy(key, BLOCK).agg(F.max("_cand").alias("_b"))
+        d = b.carried(d, best.select(key, BLOCK, F.max("_b").over(w_all).alias("_top")))
+    else:
+        d = d.withColumn("_top", F.max("_cand").over(w_all))
+    best = -F.col("_top")["nk"]
+    label = F.when(best.isNotNull() & (F.col("_k") > best), 1).otherwise(0)
+    return d.select(*df.columns, label.alias("label"))
 
 
 def change_point(labels: DataFrame, key: str = "call_id", seg: str = "seg", label: str = "label",
-                 segment_seconds: int = SEGMENT_SECONDS) -> DataFrame:
+                 segment_seconds: int = SEGMENT_SECONDS, most: int | None = None) -> DataFrame:
     """WIN-2 + WIN-3: ``(key, change_seg, start_s, too_short)``.
 
     Score at position i (0-based, i <= n-4): ``100 * |l_i + l_i+1 - l_i+2 - l_i+3| - i`` (the
     reference's ``|conv| - 0.01 i`` scaled to integers, behaviour B16); the first best position
     plus 2 is the change segment. Fewer than 4 segments: null, start 0, ``too_short``
     (behaviour B15). No edge at all still yields position 0, i.e. segment 2 (behaviour B23).
-    Positions are ranks in ``seg`` order; one pass of windows per call plus a partial max.
+    Positions are ranks in ``seg`` order. A call with more than ``most`` segments is worked in blocks,
+    each of which is lent the first labels of the blocks behind it.
     """
-    w = Window.partitionBy(key).orderBy(seg)
-    l0 = F.col(label)
-    d = labels.select(key, seg, label).withColumn("_i", F.row_number().over(w) - 1)
+    b = in_blocks(labels.select(key, seg, label), key, [seg], most)
+    w, l0, reach = b.window(), F.col(label), EDGE_FILTER_LEN - 1
+    d = numbered(b, "_i")
     ahead = [F.lead(l0, j).over(w) for j in range(1, EDGE_FILTER_LEN)]
-    s = 100 * F.abs(l0 + ahead[0] - ahead[1] - ahead[2]) - F.col("_i")
-    d = d.withColumn("_score", s)
+    if b.split:
+        over = b.over_blocks()
+        carry = b.rows.withColumn("_r", F.row_number().over(w)).groupBy(key, BLOCK).agg(
+            F.array_sort(F.collect_list(F.when(F.col("_r") <= reach, F.struct("_r", F.col(label).alias("l"))))).alias("_head"),
+            F.max("_r").alias("_last"))
+        lent = F.flatten(F.collect_list(F.transform("_head", lambda x: x["l"])).over(over.rowsBetween(1, reach)))
+        d = b.carried(d, carry.select(key, BLOCK, "_last", lent.alias("_lent")))
+        left = F.col("_last") - F.row_number().over(w)  # rows of the block behind this one
+        ahead = [F.when(left >= j, lead).otherwise(F.get("_lent", j - 1 - left)) for j, lead in enumerate(ahead, 1)]
+    d = d.withColumn("_score", 100 * F.abs(l0 + ahead[0] - ahead[1] - ahead[2]) - F.col("_i"))
     agg = d.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
         F.max(F.when(F.col("_score").isNotNull(), F.struct(F.col("_score"), (-F.col("_i")).alias("ni")))).alias("_b"))

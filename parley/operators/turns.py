@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.constants import AGENT, CUSTOMER
+from parley.operators.scan import BLOCK, before, in_blocks
 
 
 def role_filter(turns: DataFrame, role: str) -> DataFrame:
@@ -52,20 +53,30 @@ def interleave(customer: DataFrame, agent: DataFrame) -> DataFrame:
 
 
 def gap_turns(rows: DataFrame, key: str, ts_col: str, tie_col: str, min_silence_s: float, min_speech_s: float = 0.0,
-              pad_s: float = 0.0) -> DataFrame:
+              pad_s: float = 0.0, most: int | None = None) -> DataFrame:
     """WIN-6: gaps and islands. Rows of one key, in order of time and ``tie_col``, start a new turn after a silence
     longer than ``min_silence_s``; turns shorter than ``min_speech_s`` are dropped; start and
-    end are padded by ``pad_s``. Output ``(key, turn, start_us, end_us, n)`` in microseconds."""
-    t = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    w = Window.partitionBy(key).orderBy("_t", "_tie")
-    df = rows.select(key, t.alias("_t"), F.col(tie_col).alias("_tie"))
-    gap = F.col("_t") - F.lag("_t").over(w)
-    df = df.withColumn("_new", F.when(gap.isNull() | (gap > int(min_silence_s * 1e6)), 1).otherwise(0))
-    df = df.withColumn("turn", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    isl = df.groupBy(key, "turn").agg(
+    end are padded by ``pad_s``. Output ``(key, turn, start_us, end_us, n)`` in microseconds.
+
+    A key with more than ``most`` rows is worked in blocks: a block's last time says whether the next
+    block goes on with its last turn, and their numbers of turns add up."""
+    b = in_blocks(rows.select(key, F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_t"), F.col(tie_col).alias("_tie")),
+                  key, ["_t", "_tie"], most)
+    silence, w, block = int(min_silence_s * 1e6), b.window(), [BLOCK] if b.split else []
+    new = F.coalesce((F.col("_t") - F.lag("_t").over(w) > silence).cast("int"), F.lit(0))
+    turn = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    parts = b.rows.withColumn("_new", new).withColumn("turn", turn).groupBy(key, *block, "turn").agg(
         F.min("_t").alias("_s"), F.max("_t").alias("_e"), F.count(F.lit(1)).alias("n"))
+    if b.split:
+        carry = parts.groupBy(key, BLOCK).agg((F.max("turn") + 1).alias("_turns"), F.min("_s").alias("_first"), F.max("_e").alias("_last"))
+        over = b.over_blocks()
+        goes_on = F.coalesce((F.col("_first") - F.lag("_last").over(over) <= silence).cast("int"), F.lit(0))
+        carry = carry.withColumn("_on", goes_on).select(
+            key, BLOCK, (before(F.col("_turns"), over) - F.sum("_on").over(over)).alias("_before"))
+        parts = b.carried(parts, carry).groupBy(key, (F.col("turn") + F.col("_before")).alias("turn")).agg(
+            F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("n").alias("n"))
     pad = int(pad_s * 1e6)
-    return isl.where((F.col("_e") - F.col("_s")) >= int(min_speech_s * 1e6)).select(
+    return parts.where((F.col("_e") - F.col("_s")) >= int(min_speech_s * 1e6)).select(
         key, "turn", (F.col("_s") - pad).alias("start_us"), (F.col("_e") + pad).alias("end_us"), "n")
 
 

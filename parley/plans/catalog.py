@@ -192,6 +192,14 @@ def q_knn_topk(spark, d):
                        F.round("score", 6).alias("score"))
 
 
+@query
+def q_knn_pruned(spark, d):
+    """The same search in small blocks, so that pivots decide which of them a query has to meet."""
+    v = vectors_from_embeddings(read_table(spark, d, "embeddings"))
+    hits = knn_topk(v.where(F.col("persona") == CUSTOMER), v.where(F.col("persona") == AGENT), k=10, cell_docs=64, cell_queries=512)
+    return hits.select("query_id", "doc_id", F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
+
+
 def _candidates(spark, d):
     docs = ds.write_stage(spark, _index_docs(spark, d), "index")
     return rt.candidates(ds.write_stage(spark, rt.doc_vectors(docs), "vectors"))

@@ -142,7 +142,8 @@ oracle("hash_vectors", K.with_ctes(
     + hash_steps("cv", "id"),
     "SELECT hid AS id, bucket, round(weight, 6) AS weight FROM hv"))
 
-oracle("knn_topk", f"""
+for _name in ("knn_topk", "knn_pruned"):
+    oracle(_name, f"""
 WITH v AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_dot_product(embedding, embedding) > 0),
 s AS (SELECT q.id AS query_id, d.id AS doc_id, {cosine('q.e', 'd.e')} AS score

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.constants import AGENT, CUSTOMER
+from parley.operators.scan import in_blocks, numbered
 from parley.schemas import TABLE_SCHEMAS
 
 
@@ -37,18 +38,13 @@ def turns_from_conversations(conv: DataFrame) -> DataFrame:
     )
 
 
-def samples_from_events(events: DataFrame) -> DataFrame:
+def samples_from_events(events: DataFrame, most: int | None = None) -> DataFrame:
     """``events`` as per-call signal samples: user_id -> call_id, the event's rank within the
-    user by ``(ts, event_id)`` -> t (0-based), value -> value, event_type kept."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return events.select(
-        F.col("user_id").alias("call_id"),
-        (F.row_number().over(w) - 1).alias("t"),
-        "value",
-        "event_type",
-        "event_id",
-        "ts",
-    )
+    user by ``(ts, event_id)`` -> t (0-based), value -> value, event_type kept. A user with more than
+    ``most`` events is ranked in blocks."""
+    rows = events.select(F.col("user_id").alias("call_id"), "value", "event_type", "event_id", "ts")
+    return numbered(in_blocks(rows, "call_id", ["ts", "event_id"], most), "t").select(
+        "call_id", "t", "value", "event_type", "event_id", "ts")
 
 
 def vectors_from_embeddings(emb: DataFrame) -> DataFrame:

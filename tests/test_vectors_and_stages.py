@@ -27,7 +27,7 @@ def test_cosine_plus_one(spark):
 def _brute(q, d, k):
     qn = q / np.linalg.norm(q, axis=1, keepdims=True)
     dn = d / np.linalg.norm(d, axis=1, keepdims=True)
-    s = qn @ dn.T + 1
+    s = np.round(qn @ dn.T + 1, 12)
     out = set()
     for i in range(len(q)):
         order = sorted(range(len(d)), key=lambda j: (-s[i, j], j))[:k]
@@ -43,12 +43,60 @@ def test_knn_matches_brute_force_for_any_blocking(spark):
     rows = [(j, v.tolist()) for j, v in enumerate(d)] + [(100, [0.0] * 8), (101, None)]
     ddf = spark.createDataFrame(rows, "id long, embed array<double>")
     expect = _brute(q, d, 10)
-    for qb, db in ((1, 1), (2, 3), (3, 5)):
-        hits = knn_topk(qdf, ddf, k=10, query_blocks=qb, doc_blocks=db, chunk_rows=16)
+    for qb, db, prune in ((1, 1, True), (2, 3, False), (3, 5, False), (3, 5, True)):
+        hits = knn_topk(qdf, ddf, k=10, query_blocks=qb, doc_blocks=db, chunk_rows=16, prune=prune)
         got = {(r.query_id, r.doc_id, r.rank) for r in hits.collect()}
         assert got == expect
 
 
+def clustered(spark, rng, n, m, dims=8, clusters=6):
+    """Queries and documents around the same few directions; copies of one document; one document far off."""
+    centres = rng.normal(size=(clusters, dims)) * 5
+    q = centres[rng.integers(0, clusters, n)] + rng.normal(size=(n, dims)) * 0.3
+    d = centres[rng.integers(0, clusters, m)] + rng.normal(size=(m, dims)) * 0.3
+    d[:40] = d[0]
+    d[40] = -d[41]
+    frame = lambda v: spark.createDataFrame([(i, i % 3, x.tolist()) for i, x in enumerate(v)], "id long, grp long, embed array<double>")
+    return q, d, frame(q), frame(d)
+
+
+@pytest.mark.parametrize("pivots,cell", [(2, 15), (12, 1000)])
+def test_pruning_is_exact_for_any_pivots(spark, monkeypatch, pivots, cell):
+    rng = np.random.default_rng(pivots)
+    q, d, qdf, ddf = clustered(spark, rng, 40, 150)
+    # whatever the pivots: random directions
+    if cell == 15:
+        monkeypatch.setattr(knn, "choose_pivots", lambda sample, n: knn._unit(pd.Series(list(rng.normal(size=(n, 8))))))
+    side = lambda df, name: df.select(F.col("id").alias(name), F.col("embed").alias("v"), "grp")
+    hits, met = knn.pruned_topk(side(qdf, "qid"), side(ddf, "did"), 10, False, cell, cell, 16, pivots)
+    assert {(r.query_id, r.doc_id, r["rank"]) for r in hits.collect()} == _brute(q, d, 10)
+    seen = met.agg(F.sum("met"), F.sum("pivots"), F.count("qid")).first()
+    assert seen[2] == 40 and (cell == 15 or seen[0] < 0.5 * seen[1])
+    few, _ = knn.pruned_topk(side(qdf, "qid"), side(ddf.where("id < 3"), "did"), 10, True, cell, cell, 16, pivots)
+    got = {(r.query_id, r.doc_id) for r in few.collect()}
+    assert got == {(i, j) for i in range(40) for j in range(3) if i % 3 != j % 3}
+
+
+def test_bounds_of_angles():
+    rng = np.random.default_rng(0)
+    unit = lambda n: knn._unit(pd.Series(list(rng.normal(size=(n, 3)))))
+    pivots, docs, q = unit(5), unit(300), unit(50)
+    angle = lambda a, b: np.arccos(np.clip(a @ b.T, -1, 1))
+    to_pivot, home = angle(docs, pivots), angle(docs, pivots).argmin(axis=1)
+    near = np.array([to_pivot[home == p, p].min() for p in range(5)])
+    far = np.array([to_pivot[home == p, p].max() for p in range(5)])
+    least = knn.least_angles(angle(q, pivots), near, far)
+    for p in range(5):
+        assert (least[:, p] <= angle(q, docs[home == p]).min(axis=1)).all()
+
+
+def test_pruned_empty_sides(spark):
+    none = spark.createDataFrame([], "id long, embed array<double>")
+    one = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embed array<double>")
+    for a, b in ((none, one), (one, none), (none, none)):
+        assert knn_topk(a, b, doc_blocks=3).count() == 0
+
+
 def test_knn_plan_has_group_limit(spark):
     qdf = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embed array<double>")
     plan = knn_topk(qdf, qdf)._jdf.queryExecution().executedPlan().toString()
