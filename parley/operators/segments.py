@@ -132,40 +132,76 @@ def cut_before(rows: DataFrame, changes: DataFrame, key: str, time_col: str) ->
 
 # ---- CLU-1 in many dimensions -------------------------------------------------------------------
 
+#: Features are integers of this many parts of one, so that sums are exact in any order.
+UNIT = 1_000_000
+STARTS, MOST_STEPS = 10, 300
+
+
 def two_means(df: DataFrame, key: str, seg: str, features: list[str], write: Callable[[DataFrame, str], DataFrame],
-              standardise: bool = False) -> DataFrame:
-    """CLU-1: 2-means per call on the feature columns: ``(key, seg, label)``; raw features by
-    default (behaviour B18). Label 0 is the cluster of the call's first segment.
-
-    Lloyd's steps run for all calls at once: partial sums per (call, label), then a join of the few
-    centres back to the segments; a call of any length is spread over tasks. The start is a split
-    at the mean of the call's most varied feature. Steps go on until no segment moves, which they
-    reach because each lowers the total distance (a segment at equal distance stays), and each is
-    written with ``write``. Missing features count as 0."""
-    x = df.select(F.col(key).alias("key"), F.col(seg).alias("seg"),
-                  F.array(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features)).alias("x"))
+              standardise: bool = False, starts: int = STARTS, most_steps: int = MOST_STEPS) -> DataFrame:
+    """CLU-1: 2-means per call on the feature columns, the best of ``starts`` starts: ``(key, seg, label)``; raw
+    features by default (behaviour B18). Label 0 is the cluster of the call's first segment.
+
+    All starts of all calls run at once. A start takes a segment by a hash, and the segment farthest
+    from it. In a step, each segment is labelled under every start by the centres of its call (an
+    array), and its features go into partial sums per (call, start, label); only these few sums leave
+    the tasks, and only centres are written between steps, with ``write``. Starts whose sums did not
+    change are done; calls without an open start take no part in further steps. The start with the
+    smallest sum of squared distances wins, the first of equal ones.
+
+    Features are rounded to ``UNIT`` parts of one and added up as integers, so the centres, and with
+    them the steps, do not depend on the order of rows. Missing features count as 0; a segment at
+    equal distance has label 0. More than ``most_steps`` steps are an error that names a call."""
     at = range(len(features))
-    dims = lambda fn: F.array(*(fn(F.col("x")[i]) for i in at))
-    spread = x.groupBy("key").agg(dims(F.avg).alias("mean"), dims(F.stddev_pop).alias("sd"))
+    x = df.select(F.col(key).alias("_key"), F.col(seg).alias("_seg"), F.array(*(
+        F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features)).alias("_x"))
     if standardise:
-        scaled = F.zip_with("x", F.arrays_zip("mean", "sd"), lambda v, m: F.when(m["sd"] > 0, (v - m["mean"]) / m["sd"]).otherwise(0.0))
-        x = x.join(spread, "key").select("key", "seg", scaled.alias("x"))
-        spread = x.groupBy("key").agg(dims(F.avg).alias("mean"), dims(F.stddev_pop).alias("sd"))
-    widest = (F.array_position("sd", F.array_max("sd")) - 1).cast("int")
-    labelled = write(x.join(spread.select("key", widest.alias("w"), "mean"), "key").select(
-        "key", "seg", "x", (F.get("x", F.col("w")) > F.get("mean", F.col("w"))).cast("int").alias("label")), "two-means")
-    away = lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
-    while True:
-        sums = labelled.groupBy("key", "label").agg(dims(F.avg).alias("c"))
-        centres = sums.groupBy("key").agg(F.max(F.when(F.col("label") == 0, F.col("c"))).alias("c0"),
-                                          F.max(F.when(F.col("label") == 1, F.col("c"))).alias("c1"))
-        d0, d1 = away("c0"), away("c1")
-        new = F.when(d0 < d1 - 1e-12, 0).when(d1 < d0 - 1e-12, 1).otherwise(F.col("label"))
-        after = write(labelled.join(centres, "key").select("key", "seg", "x", new.alias("label"), (new != F.col("label")).alias("moved")), "two-means")
-        moved = after.where("moved").limit(1).count()
-        labelled = after.drop("moved")
-        if not moved:
+        each = lambda fn: F.array(*(fn(F.col("_x")[i]) for i in at))
+        spread = x.groupBy("_key").agg(each(F.avg).alias("mean"), each(F.stddev_pop).alias("sd"))
+        scaled = F.zip_with("_x", F.arrays_zip("mean", "sd"), lambda v, m: F.when(m["sd"] > 0, (v - m["mean"]) / m["sd"]).otherwise(0.0))
+        x = x.join(spread, "_key").select("_key", "_seg", scaled.alias("_x"))
+    x = write(x.select("_key", "_seg", F.transform("_x", lambda v: F.floor(v * UNIT + 0.5).cast("long")).alias("_x")), "two-means")
+    away = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: (u.cast("double") - v) * (u.cast("double") - v)), F.lit(0.0), lambda s, v: s + v)
+    mean = lambda total, n: F.when(n > 0, F.transform(total, lambda v: v / n))
+    to = lambda c, i: away(F.col("_x"), mean(c[f"s{i}"], c[f"n{i}"]))
+    label = lambda c: F.when(to(c, 1) < to(c, 0), 1).otherwise(0)
+
+    # a state: of each call and start, sums and counts of both clusters
+    number = F.sequence(F.lit(0), F.lit(starts - 1))
+    by_hash = lambda s: F.md5(F.concat_ws(":", s.cast("string"), F.col("_seg").cast("string")))
+    drawn = [F.min_by("_x", F.struct(by_hash(F.lit(s)), F.col("_seg"))) for s in range(starts)]
+    first = write(x.groupBy("_key").agg(F.array(*drawn).alias("_a")), "two-means")
+    distance = lambda s: F.struct(away(F.col("_x"), F.get("_a", F.lit(s))).alias("d"), (-F.col("_seg")).alias("g"))
+    far = x.join(first, "_key").groupBy("_key").agg(F.array(*(F.max_by("_x", distance(s)) for s in range(starts))).alias("_b"))
+    one = F.lit(1).cast("long")
+    state = write(first.join(far, "_key").select("_key", F.explode(F.transform(number, lambda s: F.struct(
+        s.alias("start"), F.get("_a", s).alias("s0"), one.alias("n0"), F.get("_b", s).alias("s1"), one.alias("n1")))).alias("c"))
+        .select("_key", "c.*", F.lit(True).alias("open")), "two-means")
+
+    centres = lambda df: df.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("start", "s0", "n0", "s1", "n1"))).alias("_c"))
+    for step in range(most_steps + 1):
+        go_on = state.where("open")
+        stuck = go_on.agg(F.count(F.lit(1)), F.first("_key")).first()
+        if not stuck[0]:
             break
-    first = labelled.groupBy("key").agg(F.min_by("label", "seg").alias("first"))
-    return labelled.join(first, "key").select(F.col("key").alias(key), F.col("seg").alias(seg),
-                                              (F.col("label") != F.col("first")).cast("int").alias("label"))
+        if step == most_steps:
+            raise RuntimeError(f"two-means of call {stuck[1]} is not done after {most_steps} steps")
+        told = x.join(centres(go_on), "_key").select("_key", "_x", F.explode(F.transform("_c", lambda c: F.struct(
+            c["start"].alias("start"), label(c).alias("label")))).alias("l"))
+        sums = told.groupBy("_key", "l.start", "l.label").agg(F.count(F.lit(1)).alias("n"), F.array(*(F.sum(F.col("_x")[i]) for i in at)).alias("s"))
+        of = lambda i, c: F.max(F.when(F.col("label") == i, F.col(c)))
+        none = F.array_repeat(F.lit(0).cast("long"), len(features))
+        after = sums.groupBy("_key", "start").agg(*(a for i in (0, 1) for a in (
+            F.coalesce(of(i, "s"), none).alias(f"t{i}"), F.coalesce(of(i, "n"), F.lit(0).cast("long")).alias(f"m{i}"))))
+        same = (F.col("s0") == F.col("t0")) & (F.col("n0") == F.col("m0")) & (F.col("s1") == F.col("t1")) & (F.col("n1") == F.col("m1"))
+        moved = go_on.join(after, ["_key", "start"]).select("_key", "start", F.col("t0").alias("s0"), F.col("m0").alias("n0"),
+                                                            F.col("t1").alias("s1"), F.col("m1").alias("n1"), (~same).alias("open"))
+        state = write(moved.unionByName(state.where("not open")), "two-means")
+    to_own = F.transform("_c", lambda c: F.struct(c["start"].alias("start"), F.least(to(c, 0), to(c, 1)).alias("d")))
+    spread = x.join(centres(state), "_key").select("_key", F.explode(to_own).alias("l")).groupBy("_key", "l.start").agg(F.sum("l.d").alias("d"))
+    best = spread.groupBy("_key").agg(F.min(F.struct(F.round("d", -3), "start")).alias("b")).select("_key", F.col("b.start").alias("start"))
+    chosen = state.join(best, ["_key", "start"]).select("_key", F.struct("s0", "n0", "s1", "n1").alias("_c"))
+    labelled = x.join(chosen, "_key").select("_key", "_seg", label(F.col("_c")).alias("label"))
+    begins = labelled.groupBy("_key").agg(F.min_by("label", "_seg").alias("_first"))
+    return labelled.join(begins, "_key").select(F.col("_key").alias(key), F.col("_seg").alias(seg),
+                                                (F.col("label") != F.col("_first")).cast("int").alias("label"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parley.constants import INSTRUCTION_SEED, INSTRUCTIONS, NAME_MASK, PROMPT_REFINE, PROMPT_RESTATE
+from parley.constants import FEATURES, INSTRUCTION_SEED, INSTRUCTIONS, NAME_MASK, PROMPT_REFINE, PROMPT_RESTATE
 from parley.plans import sqlkit as K
 
 ORACLES: dict[str, str] = {}
@@ -439,16 +439,53 @@ _SPEC_AGGS = [f"round({_FN[_s]}(CAST({_c} AS DOUBLE)), 6) AS {_name}" for _c, _s
     *[("f", _s, f"{_s}_sfm") for _s in ("mean", "median", "sd")],
     *[(f"r{_r[1:]}", _s, f"{_s}_rolloff_{_r}") for _r in ("099", "001") for _s in ("mean", "median", "sd", "min", "max")]]]
 
-oracle("spectral_summary", f"""
-WITH b AS (SELECT vec_id, unnest(range(len(embedding))) AS i, abs(CAST(unnest(embedding) AS DOUBLE)) AS m FROM embeddings),
+SPECTRAL = f"""
+b AS (SELECT vec_id, unnest(range(len(embedding))) AS i, abs(CAST(unnest(embedding) AS DOUBLE)) AS m FROM embeddings),
 cu AS (SELECT *, sum(m) OVER (PARTITION BY vec_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS cum,
               sum(m) OVER (PARTITION BY vec_id) AS tot FROM b),
 fr AS (SELECT vec_id // 64 AS call_id, vec_id % 64 // 8 AS seg, CASE WHEN sum(m) > 0 THEN sum(i * m) / sum(m) END AS c,
               exp(avg(ln(greatest(m * m, 1e-10)))) / avg(greatest(m * m, 1e-10)) AS f,
               CASE WHEN max(tot) > 0 THEN min(i) FILTER (WHERE cum >= 0.99 * tot) END AS r99,
               CASE WHEN max(tot) > 0 THEN min(i) FILTER (WHERE cum >= 0.01 * tot) END AS r01
-       FROM cu GROUP BY vec_id)
-SELECT call_id, seg, {', '.join(_SPEC_AGGS)} FROM fr GROUP BY call_id, seg""")
+       FROM cu GROUP BY vec_id),
+ft AS (SELECT call_id, seg, {', '.join(_SPEC_AGGS)} FROM fr GROUP BY call_id, seg)"""
+
+oracle("spectral_summary", f"WITH {SPECTRAL} SELECT * FROM ft")
+
+
+def _square(a: str, b: str) -> str:
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1]::DOUBLE - p[2]) * (p[1]::DOUBLE - p[2])))"
+
+
+def _centre(label: int) -> str:
+    """The mean of the segments of a label; null without any."""
+    return (f"CASE WHEN len(list_filter(lab, lambda l: l = {label})) > 0 THEN list_transform(range(1, {len(FEATURES) + 1}), lambda f: "
+            f"list_sum(list_transform(list_zip(xs, lab), lambda p: CASE WHEN p[2] = {label} THEN p[1][f] ELSE 0 END))::DOUBLE "
+            f"/ len(list_filter(lab, lambda l: l = {label}))) END")
+
+
+# Lloyd's steps of a call and start as one row, its segments as lists
+LLOYD = f"""{SPECTRAL},
+fx AS (SELECT call_id, seg, [{', '.join(f'floor(coalesce({c}, 0) * 1000000 + 0.5)::BIGINT' for c in FEATURES)}] AS x FROM ft),
+xs AS (SELECT call_id, list(x ORDER BY seg) AS xs, list(seg ORDER BY seg) AS segs FROM fx GROUP BY call_id),
+s1 AS (SELECT call_id, s, arg_min(x, md5(s || ':' || seg)) AS a FROM fx CROSS JOIN range(10) t(s) GROUP BY call_id, s),
+s2 AS (SELECT s1.call_id, s, a, x AS b FROM s1 JOIN fx USING (call_id)
+       QUALIFY row_number() OVER (PARTITION BY call_id, s ORDER BY {_square('x', 'a')} DESC, seg) = 1),
+rec AS (
+  SELECT call_id, s, 0 AS it, list_transform(xs, lambda x: ({_square('x', 'b')} < {_square('x', 'a')})::INT) AS lab, NULL::INT[] AS before
+  FROM s2 JOIN xs USING (call_id)
+  UNION ALL
+  SELECT call_id, s, it + 1, list_transform(xs, lambda x: CASE WHEN {_square('x', 'c1')} < {_square('x', 'c0')} THEN 1 ELSE 0 END), lab
+  FROM (SELECT *, {_centre(0)} AS c0, {_centre(1)} AS c1 FROM rec JOIN xs USING (call_id) WHERE it < 300 AND lab IS DISTINCT FROM before)),
+ended AS (SELECT call_id, s, arg_max(lab, it) AS lab FROM rec GROUP BY call_id, s),
+spread AS (SELECT *, list_sum(list_transform(xs, lambda x: least({_square('x', 'c0')}, {_square('x', 'c1')}))) AS d
+           FROM (SELECT *, {_centre(0)} AS c0, {_centre(1)} AS c1 FROM ended JOIN xs USING (call_id))),
+best AS (SELECT * FROM spread QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY round(d, -3), s) = 1),
+tm AS (SELECT call_id, unnest(segs) AS seg, unnest(list_transform(lab, lambda l: (l <> lab[1])::INT)) AS label FROM best)"""
+
+oracle("two_means", f"WITH RECURSIVE {LLOYD} SELECT call_id, seg, label FROM tm")
+oracle("ivr_cut_features", f"""WITH RECURSIVE {LLOYD}, {change_sql('tm', 'cp')}
+SELECT ft.call_id, ft.seg, ft.meanfreq FROM ft JOIN cp ON ft.call_id = cp.call_id WHERE ft.seg * 5 >= cp.start_s""")
 
 _E = "SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings"
 oracle("frame_signal", f"""

@@ -1,5 +1,6 @@
 """Segments, signals, sources and streaming (WIN-2, CLU-1, SCL-15/16, SRC-1, SRC-3, STR-1)."""
 
+import hashlib
 import itertools
 import os
 import random
@@ -93,6 +94,48 @@ def test_two_means_is_a_fixed_point(spark):
             assert d[lab[c, i]] <= d[1 - lab[c, i]] + 1e-9
 
 
+def _inertia(x, lab):
+    return sum(((x[lab == k] - x[lab == k].mean(axis=0)) ** 2).sum() for k in (0, 1) if (lab == k).any())
+
+
+def _plain_lloyd(x, a, b):
+    centres = [x[a], x[b]]
+    while True:
+        d = [((x - c) ** 2).sum(axis=1) if c is not None else np.full(len(x), np.inf) for c in centres]
+        lab = (d[1] < d[0]).astype(int)
+        after = [x[lab == k].mean(axis=0) if (lab == k).any() else None for k in (0, 1)]
+        if all((p is None) == (q is None) and (p is None or (p == q).all()) for p, q in zip(centres, after)):
+            return lab
+        centres = after
+
+
+def test_two_means_takes_the_best_start(spark):
+    """Never worse than any of its starts run one by one, and better than the worst of them somewhere."""
+    rng, calls = np.random.default_rng(8), {}
+    for c in range(8):
+        n = int(rng.integers(3, 60))
+        calls[c] = np.round(rng.normal(size=(n, 3)) + rng.integers(0, 3, (n, 1)) * 3, 3)
+    df = spark.createDataFrame([(c, i, *map(float, v)) for c, x in calls.items() for i, v in enumerate(x)], "call_id long, seg long, a double, b double, c double")
+    lab = {(r.call_id, r.seg): r.label for r in seg.two_means(df, "call_id", "seg", ["a", "b", "c"], _write(spark)).collect()}
+    gains = 0
+    for c, x in calls.items():
+        got = _inertia(x, np.array([lab[c, i] for i in range(len(x))]))
+        plain = []
+        for s in range(10):
+            a = min(range(len(x)), key=lambda i: (hashlib.md5(f"{s}:{i}".encode()).hexdigest(), i))
+            b = max(range(len(x)), key=lambda i: (((x[i] - x[a]) ** 2).sum(), -i))
+            plain.append(_inertia(x, _plain_lloyd(x, a, b)))
+        assert got == pytest.approx(min(plain))
+        gains += max(plain) > min(plain) + 1e-9
+    assert gains > 0
+
+
+def test_two_means_ends_with_an_error(spark):
+    df = spark.createDataFrame([(1, i, float(i % 7)) for i in range(30)], "call_id long, seg long, a double")
+    with pytest.raises(RuntimeError, match="call 1"):
+        seg.two_means(df, "call_id", "seg", ["a"], _write(spark), most_steps=1)
+
+
 def test_framing(spark):
     df = spark.createDataFrame([([float(i) for i in range(12)],)], "s array<double>")
     fr, bl = df.select(sg.frames("s", 5), sg.blocks("s", 5)).first()
