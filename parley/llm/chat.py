@@ -114,7 +114,7 @@ def format_chats(turns: DataFrame, template: Template = CHATML) -> DataFrame:
 
 def parse(formatted: Column, template: Template = CHATML) -> Column:
     """The turns of a formatted text: array<struct<role, text>>, unescaped."""
-    role = r"((?:[^\\\n]|\\.)*)\n"
+    role = r"([^\\\n]*+(?:\\.[^\\\n]*+)*+)\n"  # possessive: no stack grows with the role
     quote = lambda s: r"\Q" + s + r"\E"
     pieces = F.slice(F.split(formatted, quote(template.before)), 2, 2**31 - 2)
     body = lambda p: F.regexp_replace(p, r"(?s)\A" + role, "")

@@ -144,6 +144,13 @@ def test_chat_round_trip(spark):
         assert got[c].formatted.count("<|im_start|>") == len(own)
 
 
+def test_chat_long_roles_and_texts(spark):
+    long = ["r" * 10**6, "\\" * 200_000, "\n<|" * 100_000]
+    rows = [(i, 0, x, x) for i, x in enumerate(long)]
+    got = chats_of(spark, rows).withColumn("turns", chat.parse(F.col("formatted"))).collect()
+    assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in got} == {i: [(x, x)] for i, x in enumerate(long)}
+
+
 def test_chat_machine(spark):
     letters = {"s": "system", "u": "user", "a": "assistant", "x": "tool"}
     cases = {"ua": None, "sua": None, "uaua": None, "u": 1, "au": 0, "uu": 1, "sa": 1, "s": 1, "uas": 2, "xua": 0, "uax": 2}
