@@ -535,6 +535,29 @@ def q_incremental_ingest(spark, d):
     return step(folder).drop("epoch")
 
 
+@query
+def q_retry_stream(spark, d):
+    """The attempts of :func:`_attempts` as a stream that is stopped half-way and started again, and what stands
+    for each request at its end."""
+    from parley.streaming.retry import route_available, standing
+
+    ev = read_table(spark, d, "events")
+    status = (F.when(F.col("event_type") == "error", F.lit("too_large"))
+              .when(F.col("event_type") == "signup", F.lit("rate_limited")).otherwise(F.lit("ok")))
+    came = ds.write_stage(spark, samples_from_events(ev).select(
+        F.col("call_id").cast("string").alias("request_id"), (F.col("t") + 1).cast("long").alias("attempt"), status.alias("status"),
+        F.col("ts").cast("timestamp").alias("ts")), "attempts")
+    first, last = came.agg(F.min("ts"), F.max("ts")).first()
+    folder, sink, seen = (scratch_path(spark, f"retry-{name}") for name in ("source", "sink", "checkpoint"))
+    # a last attempt of nobody, a day later, lets the waits that are still open end
+    middle, end = F.lit(first + (last - first) / 2), F.lit(last) + F.expr("interval 1 day")
+    nobody = spark.range(1).select(F.lit("").alias("request_id"), F.lit(1).cast("long").alias("attempt"), F.lit("ok").alias("status"), end.alias("ts"))
+    for part in (came.where(F.col("ts") < middle), came.where(F.col("ts") >= middle), nobody):
+        part.write.mode("append").parquet(folder)
+        decisions = route_available(spark, folder, sink, seen)
+    return standing(decisions.where("request_id <> ''")).select(F.col("request_id").cast("long").alias("request_id"), "attempt", "model", "status")
+
+
 # ---- segments, spectra and signals -------------------------------------------------------------
 
 from parley.functions import signal as sg  # noqa: E402

@@ -271,7 +271,8 @@ l AS (SELECT request_id, attempt, model, status,
              max(attempt) OVER (PARTITION BY request_id) AS last FROM m)"""
 
 oracle("latest_attempt", f"WITH {ATTEMPTS} SELECT request_id, attempt, model, status FROM l WHERE attempt = last")
-oracle("next_attempts", f"""WITH {ATTEMPTS}
+for _name in ("next_attempts", "retry_stream"):
+    oracle(_name, f"""WITH {ATTEMPTS}
 SELECT request_id,
   CASE WHEN status = 'too_large' AND n_big >= 2 THEN attempt ELSE attempt + 1 END AS attempt,
   CASE WHEN status = 'too_large' AND n_big >= 2 THEN model WHEN status = 'too_large' THEN 'large' ELSE model END AS model,

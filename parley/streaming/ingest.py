@@ -22,19 +22,25 @@ def ingest_available(spark: SparkSession, source_dir: str, glob: str, schema: T.
     whole sink (with ``epoch``, the batch a row came with). ``sink_path`` and ``checkpoint_path``
     belong together: a fresh checkpoint starts again at epoch 0."""
 
-    def batch(df: DataFrame, epoch_id: int) -> None:
-        transform(df).write.mode("overwrite").parquet(f"{sink_path}/epoch={epoch_id}")
-
     stream = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
-    query = (stream.parquet(source_dir).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_path)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    run_available(stream.parquet(source_dir), sink_path, checkpoint_path, transform)
     out = transform(spark.createDataFrame([], schema)).schema.add("epoch", T.LongType())
     return spark.read.schema(out).parquet(sink_path) if _path_exists(spark, sink_path) else spark.createDataFrame([], out)
 
 
+def run_available(stream: DataFrame, sink_path: str, checkpoint_path: str,
+                  transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    """Run a stream over what is there, each batch into its own folder of the sink."""
+
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        transform(df).write.mode("overwrite").parquet(f"{sink_path}/epoch={epoch_id}")
+
+    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
