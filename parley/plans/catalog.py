@@ -114,9 +114,7 @@ def q_capped_names(spark, d):
 
 @query
 def q_clean_audit(spark, d):
-    docs = _docs(spark, d)
-    cleaned = clean_texts(docs, "id", "text", _names(spark, d))
-    return clean_audit(docs, cleaned, "id", "lang")
+    return clean_audit(_docs(spark, d), "id", "text", "lang", _names(spark, d))
 
 
 @query
@@ -219,6 +217,7 @@ def q_split_candidates(spark, d):
 # ---- model stages and the dataset -------------------------------------------------------------
 
 from parley.constants import FEATURES, INVALID, NOT_USEFUL_ANSWER  # noqa: E402
+from parley.schemas import INDEX_DOC  # noqa: E402
 from parley.sources import files as fs  # noqa: E402
 from parley.sources import sinks as sk  # noqa: E402
 from parley.sources.tables import samples_from_events  # noqa: E402
@@ -499,6 +498,23 @@ def q_bad_inputs(spark, d):
     return reduce(DataFrame.unionByName, parts).where(F.col("problem").isNotNull())
 
 
+@query
+def q_document_sink(spark, d):
+    """Documents with the vector of their number, some of them without and some cut short, written through the strict
+    sink: what it counted on the way, and what lies there."""
+    text = read_table(spark, d, "documents").select("doc_id", F.nullif(F.expr("left(text, length(text) * int(doc_id % 9 > 0))"), F.lit("")).alias("text"), "source")
+    vectors = read_table(spark, d, "embeddings").select("vec_id", F.when(F.col("label") % 4 == 1, F.slice("embedding", 1, 32)).otherwise(
+        F.col("embedding")).cast("array<float>").alias("embed"))
+    docs = text.join(vectors, text.doc_id == vectors.vec_id, "left").select(
+        "text", F.lit(AGENT).alias("persona"), F.col("source").alias("category"), F.col("doc_id").cast("string").alias("call_id"), "embed")
+    path = scratch_path(spark, "documents")
+    counted = sk.write_documents(docs, path, INDEX_DOC, ["text", "persona", "call_id", "embed"], 64)
+    lie = sk.accepted_documents(spark, path, INDEX_DOC).select(F.lit(None).cast("string").alias("problem")).union(
+        sk.rejected_documents(spark, path, INDEX_DOC).select("problem"))
+    told = F.when(F.col("problem").isNull(), F.lit(counted["accepted"])).otherwise(F.lit(counted["rejected"]))
+    return lie.groupBy("problem").agg(F.count(F.lit(1)).alias("n")).withColumn("counted", told.cast("long"))
+
+
 @query
 def q_chunks_to_turns(spark, d):
     t = _turns(spark, d).withColumn("blk", F.floor(F.col("start_s") / 32).cast("bigint"))

@@ -27,11 +27,11 @@ def clean_texts(df: DataFrame, id_col: str, text_col: str, names: DataFrame | No
     return t if names is None else mask_names(t, id_col, out_col, names, compat=compat)
 
 
-def clean_audit(original: DataFrame, cleaned: DataFrame, id_col: str, group_col: str) -> DataFrame:
-    """SNK-3 summary: per group, rows, changed rows, emptied rows, characters removed."""
-    j = original.select(id_col, group_col, F.col("text").alias("_o")).join(
-        cleaned.select(id_col, F.col("text").alias("_n")), id_col, "left")
-    return j.groupBy(group_col).agg(
+def clean_audit(df: DataFrame, id_col: str, text_col: str, group_col: str, names: DataFrame | None) -> DataFrame:
+    """SNK-3 summary: per group, rows, changed rows, emptied rows, characters removed. A text is cleaned beside
+    itself, in one pass: nothing is joined, so repeated and missing ids count like any other."""
+    both = clean_texts(df.withColumn("_o", F.col(text_col)), id_col, text_col, names, out_col="_n")
+    return both.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(~F.col("_o").eqNullSafe(F.col("_n"))).alias("n_changed"),
         F.count_if((F.length("_n") == 0) & (F.length("_o") > 0)).alias("n_emptied"),

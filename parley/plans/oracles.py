@@ -57,6 +57,14 @@ oracle("clean_audit", K.with_ctes(
     "sum(coalesce(length(s.text), 0) - coalesce(length(c.text), 0)) AS chars_removed "
     "FROM src s LEFT JOIN c_out c ON s.id = c.id GROUP BY s.lang"))
 
+oracle("document_sink", """
+WITH t AS (SELECT CASE WHEN d.doc_id % 9 = 0 OR d.text = '' OR d.text IS NULL THEN 'missing_text' WHEN e.embedding IS NULL THEN 'missing_embed'
+                       WHEN e.label % 4 = 1 AND len(e.embedding) > 32 THEN 'bad_dims' END AS problem
+           FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id)
+SELECT problem, count(*) AS n,
+       CASE WHEN problem IS NULL THEN (SELECT count(*) FILTER (WHERE problem IS NULL) FROM t) ELSE (SELECT count(problem) FROM t) END AS counted
+FROM t GROUP BY problem""")
+
 oracle("analyse_text", f"""
 SELECT doc_id, CAST(len(t) AS BIGINT) AS n_terms, CAST(len(list_distinct(t)) AS BIGINT) AS n_distinct,
        t[1] AS first_term

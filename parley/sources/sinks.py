@@ -3,7 +3,7 @@ normalisation."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,13 +46,33 @@ def document_problem(docs: DataFrame, schema: T.StructType, required: list[str],
     return problem
 
 
-def write_documents(docs: DataFrame, path: str, rejects_path: str, schema: T.StructType, required: list[str], dims: int) -> None:
-    """SNK-1: the accepted documents, with every column of the schema in its order, and a rejects
-    table with the reason."""
-    checked = docs.withColumn("problem", document_problem(docs, schema, required, dims))
+def write_documents(docs: DataFrame, path: str, schema: T.StructType, required: list[str], dims: int) -> dict[str, int]:
+    """SNK-1: every document below ``path``, in one pass over ``docs``, by verdict: accepted (read back by
+    :func:`accepted_documents`) or rejected, with the reason (:func:`rejected_documents`). Returns how many of
+    each were written."""
+    problem = document_problem(docs, schema, required, dims)
     columns = [(F.col(f.name) if f.name in docs.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
-    checked.where("problem is null").select(*columns).write.parquet(path)
-    checked.where("problem is not null").write.parquet(rejects_path)
+    verdict = F.when(F.col("problem").isNull(), "accepted").otherwise("rejected").alias("verdict")
+    seen = Observation()
+    rows = docs.select(*columns, problem.alias("problem")).observe(
+        seen, F.count_if(F.col("problem").isNull()).alias("accepted"), F.count_if(F.col("problem").isNotNull()).alias("rejected"))
+    rows.select("*", verdict).write.partitionBy("verdict").parquet(path)
+    return dict(seen.get)
+
+
+def accepted_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The accepted documents, with every column of the schema in its order."""
+    return _of_verdict(spark, path, schema, "accepted").drop("problem")
+
+
+def rejected_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rejected documents and ``problem``."""
+    return _of_verdict(spark, path, schema, "rejected")
+
+
+def _of_verdict(spark: SparkSession, path: str, schema: T.StructType, verdict: str) -> DataFrame:
+    stored = T.StructType([*schema.fields, T.StructField("problem", T.StringType()), T.StructField("verdict", T.StringType())])
+    return spark.read.schema(stored).parquet(path).where(F.col("verdict") == verdict).drop("verdict")
 
 
 def text_problem(text_col: str) -> F.Column:

@@ -14,7 +14,8 @@ from parley.operators.knn import knn_topk
 from parley.plans import dataset as ds
 from parley.plans import retrieval as rt
 from parley.schemas import INDEX_DOC
-from parley.sources.sinks import strict_check, write_documents
+from parley.plans.clean import clean_audit
+from parley.sources.sinks import accepted_documents, rejected_documents, strict_check, write_documents
 
 
 def test_cosine_plus_one(spark):
@@ -254,17 +255,32 @@ def test_verdicts(spark):
 def test_document_sink(spark, tmp_path):
     kinds = "text string, persona string, call_id string, embed array<float>"
     rows = [("a", "agent", "1", [1.0, 2.0]), ("b", "agent", "2", [1.0]), (None, "agent", "3", [1.0, 2.0]), ("d", "agent", "4", None), ("e", "agent", "5", [1.0, float("nan")])]
-    write_documents(spark.createDataFrame(rows, kinds), f"{tmp_path}/ok", f"{tmp_path}/no", INDEX_DOC, ["text", "persona"], 2)
-    ok, no = spark.read.parquet(f"{tmp_path}/ok"), spark.read.parquet(f"{tmp_path}/no")
+    runs = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    counts = write_documents(spark.createDataFrame(rows, kinds).mapInArrow(once, kinds), f"{tmp_path}/sink", INDEX_DOC, ["text", "persona"], 2)
+    assert counts == {"accepted": 2, "rejected": 3} and runs.value == len(rows)  # the source runs once
+    ok, no = accepted_documents(spark, f"{tmp_path}/sink", INDEX_DOC), rejected_documents(spark, f"{tmp_path}/sink", INDEX_DOC)
     assert ok.columns == INDEX_DOC.names and {r.call_id for r in ok.collect()} == {"1", "4"}
     assert {(r.call_id, r.problem) for r in no.collect()} == {("2", "bad_dims"), ("3", "missing_text"), ("5", "bad_number")}
     for bad in ("text string, persona string, other int", "text int, persona string"):
         with pytest.raises(ValueError):
-            write_documents(spark.createDataFrame([], bad), f"{tmp_path}/x", f"{tmp_path}/y", INDEX_DOC, ["text"], 2)
+            write_documents(spark.createDataFrame([], bad), f"{tmp_path}/x", INDEX_DOC, ["text"], 2)
     checked = spark.createDataFrame([('{"embed": [1, "x"]}',), ('{"embed": [1, 2]}',)], "j string")
     assert [r.ok for r in strict_check(checked, "j", ["embed"], vector_field="embed", dims=2).collect()] == [False, True]
 
 
+def test_audit_is_one_pass(spark):
+    rows = [(1, "same", "a"), (1, "x 12", "a"), (None, "345", "a"), (2, None, "b")]
+    audit = clean_audit(spark.createDataFrame(rows, "id long, text string, lang string"), "id", "text", "lang", None)
+    assert {tuple(r) for r in audit.collect()} == {("a", 3, 2, 1, 5), ("b", 1, 0, 0, 0)}
+    assert "Join" not in audit._jdf.queryExecution().executedPlan().toString()
+
+
 def test_csv_export_round_trip(spark, tmp_path):
     rows = [(1, 'say "oi", ok'), (2, "a\\b"), (3, "line\nbreak"), (4, "plain")]
     df = spark.createDataFrame(rows, "call_id long, answer string")
