@@ -37,6 +37,13 @@ CONTROL_RE = r"[\x00-\x08\x0B\x0E-\x1F\x7F\x{206A}-\x{206F}\x{FEFF}\x{FFF9}-\x{F
 LINE_BREAK_RE = r"\r\n|[\r\x{2028}\x{2029}\x{85}]"
 LATIN1_ONLY_RE = r"\A[\x00-\x{FF}]*\z"  # \z: $ would also match before a final line terminator
 UTF8_LEAD_RE = r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
+# UTF-8 sequences read as Latin-1: of two characters only for U+0080..U+027F (a lone pair can be meant as it is), of three
+# and four any that is well-formed.
+HIGH_RUN_RE = r"[\x{80}-\x{FF}]+|[^\x{80}-\x{FF}]+"
+_NEXT = r"[\x{80}-\x{BF}]"
+UTF8_SEQUENCE = (rf"[\x{{C2}}-\x{{C9}}]{_NEXT}|\x{{E0}}[\x{{A0}}-\x{{BF}}]{_NEXT}|[\x{{E1}}-\x{{EC}}\x{{EE}}\x{{EF}}]{_NEXT}{_NEXT}|"
+                 rf"\x{{ED}}[\x{{80}}-\x{{9F}}]{_NEXT}|\x{{F0}}[\x{{90}}-\x{{BF}}]{_NEXT}{_NEXT}|"
+                 rf"[\x{{F1}}-\x{{F3}}]{_NEXT}{_NEXT}{_NEXT}|\x{{F4}}[\x{{80}}-\x{{8F}}]{_NEXT}{_NEXT}")
 LIGATURES = [("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"),
              ("ﬆ", "st"), ("Ĳ", "IJ"), ("ĳ", "ij")]
 HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
@@ -92,13 +99,18 @@ def repair_unicode(col) -> Column:
     """SCL-2, native subset: terminal escapes, Latin-1 mojibake, HTML entities (only in text
     without '<'), line breaks, control characters, ligatures, full-width forms, curly quotes.
 
-    The mojibake step re-reads a text as UTF-8 only when every character fits in Latin-1 and
-    the re-read bytes are valid UTF-8; any other text is left as it is. NFC is separate
-    (``nfc_normalise``), because Spark has no built-in for it.
+    The mojibake step re-reads a whole text as UTF-8 when every character fits in Latin-1 and
+    the re-read bytes are valid UTF-8. Any other text is repaired by runs: a maximal run of
+    characters from U+0080 to U+00FF that is made of UTF-8 sequences is re-read, whatever stands
+    around it. One layer of damage is undone. NFC is separate (``nfc_normalise``), because Spark has
+    no built-in for it.
     """
     c = F.regexp_replace(_c(col), TERMINAL_ESCAPE_RE, "")
-    reread = F.try_validate_utf8(F.encode(c, "ISO-8859-1").cast("string"))
-    c = F.when(c.rlike(LATIN1_ONLY_RE) & c.rlike(UTF8_LEAD_RE), F.coalesce(reread, c)).otherwise(c)
+    read = lambda x: F.try_validate_utf8(F.encode(x, "ISO-8859-1").cast("string"))
+    runs = F.transform(F.regexp_extract_all(c, F.lit(HIGH_RUN_RE), 0), lambda x: F.when(
+        x.rlike(rf"\A(?:{UTF8_SEQUENCE})+\z"), F.coalesce(read(x), x)).otherwise(x))
+    whole = F.when(c.rlike(LATIN1_ONLY_RE) & c.rlike(UTF8_LEAD_RE), read(c))
+    c = F.when(c.rlike(UTF8_SEQUENCE), F.coalesce(whole, F.array_join(runs, ""))).otherwise(F.coalesce(whole, c))
     unescaped = c
     for ent, ch in HTML_ENTITIES:
         unescaped = F.replace(unescaped, F.lit(ent), F.lit(ch))

@@ -72,6 +72,16 @@ def q_repair_unicode(spark, d):
     return _docs(spark, d).select(F.col("id").alias("doc_id"), tx.repair_unicode("text").alias("text"))
 
 
+@query
+def q_repair_damaged(spark, d):
+    """Texts whose first half was written as UTF-8 and read as Latin-1, joined to the rest by a dash that Latin-1
+    does not have."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    broken = F.decode(F.encode(F.left("text", half), "UTF-8"), "ISO-8859-1")
+    text = F.concat(broken, F.lit(" — "), F.substring("text", half + 1, F.length("text")))
+    return _docs(spark, d).select(F.col("id").alias("doc_id"), tx.repair_unicode(text).alias("text"))
+
+
 @query
 def q_normalise_punct(spark, d):
     return _docs(spark, d).select(F.col("id").alias("doc_id"), tx.normalise_punct("text").alias("text"))

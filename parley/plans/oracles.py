@@ -31,6 +31,11 @@ oracle("dedupe_repeats", K.with_ctes([("src", DOCS)] + K.repeats_steps("src"),
 oracle("repair_unicode", K.with_ctes([("src", DOCS)] + K.unicode_steps("src"),
                                      "SELECT id AS doc_id, text FROM u7"))
 
+# what was whole before the damage comes out as if there had been none
+oracle("repair_damaged", K.with_ctes(
+    [("src", "SELECT doc_id AS id, left(text, length(text) // 2) || ' — ' || substr(text, length(text) // 2 + 1) AS text FROM documents")]
+    + K.unicode_steps("src"), "SELECT id AS doc_id, text FROM u7"))
+
 oracle("normalise_punct", f"SELECT doc_id, {K.punct('text')} AS text FROM documents")
 
 oracle("strip_digits", f"SELECT doc_id, {K.digits('text')} AS text, "

@@ -25,6 +25,12 @@ CONTROL_RE = "[" + "".join(f"\\x{{{c:x}}}" for c in [*range(9), 11, *range(14, 3
 LINE_BREAK_RE = "\r\n|\r|\u2028|\u2029|\u0085"
 LATIN1_ONLY_RE = "[\\x{0}-\\x{ff}]*"
 UTF8_LEAD_RE = "[Â-ô][\\x{80}-¿]"
+# UTF-8 read as Latin-1: (first character, second character, how many more from 80 to BF)
+_TAIL = "[\\x{80}-\\x{BF}]"
+UTF8_SEQUENCE = "|".join(f"[\\x{{{a}}}-\\x{{{b}}}][\\x{{{c}}}-\\x{{{d}}}]" + _TAIL * more for a, b, c, d, more in [
+    ("C2", "C9", "80", "BF", 0), ("E0", "E0", "A0", "BF", 1), ("E1", "EC", "80", "BF", 1), ("ED", "ED", "80", "9F", 1), ("EE", "EF", "80", "BF", 1),
+    ("F0", "F0", "90", "BF", 2), ("F1", "F3", "80", "BF", 2), ("F4", "F4", "80", "8F", 2)])
+HIGH_RUN_RE = "[\\x{80}-ÿ]+|[^\\x{80}-ÿ]+"
 LIGATURES = dict(zip("ﬀﬁﬂﬃﬄﬅﬆĲĳ", ["ff", "fi", "fl", "ffi", "ffl", "st", "st", "IJ", "ij"])).items()
 HTML_ENTITIES = [("&nbsp;", "\u00a0"), ("&apos;", "'"), ("&#39;", "'"), ("&quot;", '"'), ("&gt;", ">"), ("&lt;", "<"), ("&amp;", "&")]
 SINGLE_QUOTES = "\u2018\u2019\u201a\u201b"
@@ -69,11 +75,14 @@ def unicode_steps(src: str, id_col: str = "id", col: str = "text") -> list[tuple
         prev = name
 
     step("u1", f"regexp_replace({col}, {lit(TERMINAL_ESCAPE_RE)}, '', 'g')")
-    latin_bytes = (f"array_to_string(list_transform(string_split({col}, ''), "
-                   f"lambda ch: printf('\\x%02X', unicode(ch))), '')")
-    step("u2", f"CASE WHEN regexp_full_match({col}, {lit(LATIN1_ONLY_RE)}) "
-               f"AND regexp_matches({col}, {lit(UTF8_LEAD_RE)}) "
-               f"THEN coalesce(try(decode(({latin_bytes})::BLOB)), {col}) ELSE {col} END")
+    bytes_of = lambda x: (f"array_to_string(list_transform(string_split({x}, ''), "
+                          f"lambda ch: printf('\\x%02X', unicode(ch))), '')")
+    whole = (f"CASE WHEN regexp_full_match({col}, {lit(LATIN1_ONLY_RE)}) AND regexp_matches({col}, {lit(UTF8_LEAD_RE)}) "
+             f"THEN try(decode(({bytes_of(col)})::BLOB)) END")
+    runs = (f"list_transform(regexp_extract_all({col}, {lit(HIGH_RUN_RE)}), lambda x: CASE WHEN regexp_full_match(x, "
+            f"{lit('(?:' + UTF8_SEQUENCE + ')+')}) THEN coalesce(try(decode(({bytes_of('x')})::BLOB)), x) ELSE x END)")
+    step("u2", f"CASE WHEN regexp_matches({col}, {lit(UTF8_SEQUENCE)}) THEN coalesce({whole}, array_to_string({runs}, '')) "
+               f"ELSE coalesce({whole}, {col}) END")
     html = col
     for ent, ch in HTML_ENTITIES:
         html = f"replace({html}, {lit(ent)}, {lit(ch)})"

@@ -74,7 +74,22 @@ def test_every_punctuation_entry(spark):
 
 
 def test_repair_survives_a_final_line_separator(spark):
-    assert _col(spark, tx.repair_unicode, ["cafÃ©\u2028", "cafÃ©\n", "Ã©\u0085"]) == ["cafÃ©\n", "café\n", "Ã©\n"]
+    assert _col(spark, tx.repair_unicode, ["cafÃ©\u2028", "cafÃ©\n", "Ã© \u0085", "Ã©\u0085"]) == ["café\n", "café\n", "é \n", "Ã©\n"]
+
+
+def _damaged(text):
+    return text.encode().decode("latin-1")
+
+
+def test_repair_of_parts(spark):
+    """Damage is undone where it is; what only looks a little like it stays; a second call changes nothing."""
+    pairs = [(_damaged("São João") + " — já", "São João — já"), ("漢 " + _damaged("naïve café"), "漢 naïve café"),
+             ("“" + _damaged("niño") + "” und »Ü« Ô", "\"niño\" und »Ü« Ô"), (_damaged("preço 5 €") + " …", "preço 5 € …"),
+             ("… " + _damaged("漢字 🙂"), "… 漢字 🙂"), ("é — è à ç", "é — è à ç"), ("— Ã", "— Ã"), ("— " + "x" * 50, "— " + "x" * 50),
+             ("… " + _damaged("é")[:1], "… Ã"), ("— " + _damaged("ééé") + "é", "— " + _damaged("ééé") + "é"), (None, None), ("", "")]
+    once = _col(spark, tx.repair_unicode, [a for a, _ in pairs])
+    assert once == [b for _, b in pairs]
+    assert _col(spark, tx.repair_unicode, once) == once
 
 
 def test_digits(spark):
@@ -84,7 +99,7 @@ def test_digits(spark):
 def test_unicode_repair(spark):
     got = _col(spark, tx.repair_unicode,
                ["CafÃ©", "漢字 Ã©", "a &amp; b", "ﬁm", "“x” ‘y’", "a\r\nb", "Ａ１", "x\x07y", "<b>&amp;</b>"])
-    assert got == ["Café", "漢字 Ã©", "a & b", "fim", "\"x\" 'y'", "a\nb", "A1", "xy", "<b>&amp;</b>"]
+    assert got == ["Café", "漢字 é", "a & b", "fim", "\"x\" 'y'", "a\nb", "A1", "xy", "<b>&amp;</b>"]
 
 
 def test_split_words_unicode_blanks(spark):
