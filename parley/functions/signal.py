@@ -20,9 +20,16 @@ def _sum(arr) -> Column:
     return F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
 
 
+def positive(what: str, value: int) -> None:
+    """FIL-6: an argument check."""
+    if value <= 0:
+        raise ValueError(f"the {what} has to be greater than 0, not {value}")
+
+
 def frames(col, size: int) -> Column:
     """SCL-15: non-overlapping frames of ``size``; an incomplete tail is dropped."""
     a = _c(col)
+    positive("frame size", size)
     n_full = F.floor(F.size(a) / size).cast("int")
     starts = F.when(n_full > 0, F.sequence(F.lit(0), n_full - 1)).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.slice(a, i * size + 1, size))
@@ -31,6 +38,7 @@ def frames(col, size: int) -> Column:
 def blocks(col, size: int) -> Column:
     """SCL-16: consecutive blocks of ``size``; the last, shorter block is kept."""
     a = _c(col)
+    positive("block size", size)
     n_blk = F.ceil(F.size(a) / size).cast("int")
     starts = F.when(n_blk > 0, F.sequence(F.lit(0), n_blk - 1)).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.slice(a, i * size + 1, size))
@@ -38,12 +46,17 @@ def blocks(col, size: int) -> Column:
 
 def channel(col, index: int, channels: int = 2) -> Column:
     """SCL-17: one channel of an interleaved multi-channel signal."""
+    positive("number of channels", channels)
+    if not 0 <= index < channels:
+        raise ValueError(f"there is no channel {index} of {channels}")
     return F.filter(_c(col), lambda x, i: i % channels == index)
 
 
 def interleave_channels(left, right) -> Column:
-    """SCL-17 re-stack: two channels back to one interleaved signal."""
-    return F.flatten(F.zip_with(_c(left), _c(right), lambda a, b: F.array(a, b)))
+    """SCL-17 re-stack: two channels back to one interleaved signal; of an odd number of values the left one has
+    the last."""
+    both = F.flatten(F.zip_with(_c(left), _c(right), lambda a, b: F.array(a, b)))
+    return F.slice(both, F.lit(1), F.size(_c(left)) + F.size(_c(right)))
 
 
 def centroid(mag) -> Column:

@@ -18,7 +18,8 @@ from parley.operators.scan import BLOCK, before, in_blocks, numbered
 
 
 def with_segments(samples: DataFrame, size: int = SEGMENT_SECONDS) -> DataFrame:
-    """Add ``seg``."""
+    """Add ``seg``. FIL-6: a segment has a length."""
+    sg.positive("segment size", size)
     return samples.withColumn("seg", F.floor(F.col("t") / size).cast("bigint"))
 
 

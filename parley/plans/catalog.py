@@ -700,6 +700,28 @@ def q_split_channels(spark, d):
     return _signal_parts(spark, d, F.array(sg.channel("s", 0), sg.channel("s", 1)))
 
 
+@query
+def q_merge_channels(spark, d):
+    """Signals split into channels and merged again, odd lengths among them; told by values at their places."""
+    e = read_table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.transform(
+        F.slice("embedding", F.lit(1), F.size("embedding") - F.pmod("vec_id", F.lit(2)).cast("int")), lambda x: x.cast("double")).alias("s"))
+    merged = e.select("id", F.col("s"), sg.interleave_channels(sg.channel("s", 0), sg.channel("s", 1)).alias("m"))
+    placed = F.aggregate(F.transform("m", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return merged.select("id", F.size("m").cast("bigint").alias("n"), _r6(placed).alias("placed"), (F.col("s") == F.col("m")).alias("same"))
+
+
+@query
+def q_prompted_requests(spark, d):
+    """Requests whose prompt is read from a file that was written before."""
+    from parley.constants import PROMPT_RESTATE
+
+    path = scratch_path(spark, "prompt")
+    spark.createDataFrame([(PROMPT_RESTATE,)], "prompt string").write.option("lineSep", "\n").text(path)
+    prompt = fs.read_prompt(spark, path=path).first().prompt.removesuffix("\n")
+    reqs = rt.requests_from_speech(_speech(spark, d)).withColumn("content", F.col("spoken"))
+    return ms.build_messages(reqs, prompt, "content").select("request_id", "call_id", "content")
+
+
 @query
 def q_repair_unicode_nfc(spark, d):
     return _docs(spark, d).select(F.col("id").alias("doc_id"), tx.nfc_normalise(tx.repair_unicode("text")).alias("text"))

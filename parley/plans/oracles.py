@@ -194,7 +194,8 @@ oracle("split_candidates", K.with_ctes(
 
 REQ = speech_docs_steps()
 
-oracle("build_requests", K.with_ctes(REQ, "SELECT request_id, call_id, content FROM rq"))
+for _name in ("build_requests", "prompted_requests"):
+    oracle(_name, K.with_ctes(REQ, "SELECT request_id, call_id, content FROM rq"))
 
 oracle("build_messages", K.with_ctes(
     REQ, f"SELECT request_id, call_id, 0 AS pos, 'system' AS role, {K.lit(PROMPT_RESTATE)} AS content FROM rq "
@@ -514,5 +515,9 @@ SELECT id, part, CAST(len(x) AS BIGINT) AS n, round(list_sum(x), 6) AS sum FROM
   (SELECT id, 0 AS part, list_transform(range(0, len(e), 2), lambda i: e[i + 1]) AS x FROM ({_E})
    UNION ALL SELECT id, 1, list_transform(range(1, len(e), 2), lambda i: e[i + 1]) FROM ({_E}))""")
 
+oracle("merge_channels", f"""
+SELECT id, CAST(len(s) AS BIGINT) AS n, round(coalesce(list_sum(list_transform(s, lambda x, i: x * i)), 0), 6) AS placed, true AS same
+FROM (SELECT id, list_slice(e, 1, len(e) - (id % 2)) AS s FROM ({_E}))""")
+
 oracle("repair_unicode_nfc", K.with_ctes([("src", DOCS)] + K.unicode_steps("src"),
                                          "SELECT id AS doc_id, nfc_normalize(text) AS text FROM u7"))

@@ -156,6 +156,29 @@ def test_transcript_csv_scan(spark):
     assert role_filter(got, "customer").count() == 1
 
 
+def test_only_the_files_of_a_call_are_opened(spark):
+    d = tempfile.mkdtemp(prefix="parley-csv-", dir="/tmp")
+    for call in ("a", "b,1", "c[x]", "d", "e f+g %2B"):
+        pd.DataFrame({"start": [0.0], "end": [1.0], "transcription": [call], "role": ["cliente"]}).to_csv(os.path.join(d, f"{call}.csv"), index=False)
+    got = read_transcripts(spark, d, calls=["b,1", "c[x]", "nobody"])
+    assert {(r.call_id, r.text) for r in got.collect()} == {("b,1", "b,1"), ("c[x]", "c[x]")}
+    assert len(got.inputFiles()) == 2
+    assert {r.call_id for r in read_transcripts(spark, d).collect()} == {"a", "b,1", "c[x]", "d", "e f+g %2B"}
+
+
+def test_arguments_are_checked(spark):
+    for wrong in (lambda: sg.frames("s", 0), lambda: sg.blocks("s", -1), lambda: sg.channel("s", 2), lambda: sg.channel("s", 0, 0),
+                  lambda: seg.with_segments(spark.range(1).toDF("t"), 0), lambda: read_transcripts(spark, "")):
+        with pytest.raises(ValueError):
+            wrong()
+
+
+def test_channels_of_odd_signals(spark):
+    for n in range(6):
+        df = spark.createDataFrame([([float(i) for i in range(n)],)], "s array<double>")
+        assert df.select(sg.interleave_channels(sg.channel("s", 0), sg.channel("s", 1))).first()[0] == [float(i) for i in range(n)]
+
+
 def test_chunk_list(spark):
     df = spark.createDataFrame([(1, '[{"timestamp": [0.0, 2.5], "text": "a"}, {"timestamp": [2.5, null], "text": "b"}]')],
                                "call_id long, j string")
