@@ -28,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +45,8 @@ CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN_LESS = 10.0
 CACHED_CHUNKS = 100_000
 CACHED_LENGTH = 48
+#: Chunks of texts whose new ones are solved together, and how many of these in one step.
+TOGETHER, AT_ONCE = 50_000, 4096
 
 Arc = tuple[int, float, bytes]   # where it starts, its score, its ids (4 bytes each)
 
@@ -107,6 +109,7 @@ class PieceModel:
         self.bytes = byte_ids if len(byte_ids) == 256 else None
         self.unknown_id = label(sp.unk_id())
         self.leading = sp.normalize("a").startswith(MARK)
+        self.arrays: tuple[np.ndarray, ...] | None = None
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
@@ -183,6 +186,83 @@ class PieceModel:
         ids.reverse()
         return b"".join(ids), best[n], least
 
+    def _tables(self) -> tuple[np.ndarray, ...]:
+        """The trie as arrays: steps (node << 21 | character, ascending) and where they lead; by node, its piece's score
+        and id (none: minus infinity). The last step is none."""
+        if self.arrays is None:
+            steps, scores, ids, todo = [], [float("-inf")], [0], [(0, self.trie)]
+            while todo:
+                node, kids = todo.pop()
+                for c, (more, entry) in kids.items():
+                    steps.append((node << 21 | ord(c), len(scores)))
+                    todo.append((len(scores), more))
+                    scores.append(entry[0] if entry else float("-inf"))
+                    ids.append(int.from_bytes(entry[1], "little") if entry else 0)
+            steps.sort()
+            keys = np.array([*(k for k, _ in steps), np.iinfo(np.int64).max], np.int64)
+            self.arrays = keys, np.array([*(to for _, to in steps), 0], np.int64), np.array(scores), np.array(ids, "<i4")
+        return self.arrays
+
+    def solve_all(self, chunks: list[str]) -> list[tuple[bytes, float, float]]:
+        """:meth:`solve` of many chunks, the same steps for all of them at once. No chunk is empty."""
+        keys, leads, scores, ids = self._tables()
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        n, longest = len(chunks), int(lengths.max())
+        points = np.full((n, longest), 0x1FFFFF, np.int64)  # beyond the end: no character
+        points[np.arange(longest) < lengths[:, None]] = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")
+        best, second = np.full((longest + 1, n), -np.inf), np.full((longest + 1, n), -np.inf)
+        came, label = np.zeros((longest + 1, n), np.int64), np.zeros((longest + 1, n), np.int64)
+        best[0] = 0.0
+
+        def offer(rows: np.ndarray, start: int, end: int, score: np.ndarray | float, mark: np.ndarray | int) -> None:
+            total, held = best[start, rows] + score, best[end, rows]
+            up = total > held
+            second[end, rows] = np.where(up, held, np.maximum(second[end, rows], total))
+            best[end, rows] = np.where(up, total, held)
+            came[end, rows] = np.where(up, start, came[end, rows])
+            label[end, rows] = np.where(up, mark, label[end, rows])
+
+        for start in range(longest):
+            rows = np.flatnonzero(lengths > start)
+            node = np.zeros(len(rows), np.int64)
+            for end in range(start + 1, longest + 1):
+                step = node << 21 | points[rows, end - 1]
+                at = np.searchsorted(keys, step)
+                there = keys[at] == step
+                node = leads[at]
+                if end == start + 1:
+                    alone = there & (scores[node] > -np.inf)
+                    offer(rows[~alone], start, end, self.unknown, -1)
+                rows, node = rows[there], node[there]
+                piece = scores[node] > -np.inf
+                offer(rows[piece], start, end, scores[node[piece]], node[piece])
+                if not len(rows):
+                    break
+        at, every, least, path = lengths.copy(), np.arange(n), np.full(n, np.inf), []
+        while at.any():
+            going = at > 0
+            least = np.where(going, np.minimum(least, best[at, every] - second[at, every]), least)
+            path.append((np.where(going, label[at, every], -2), at))
+            at = np.where(going, came[at, every], 0)
+        marks = np.stack([m for m, _ in path[::-1]], axis=1)
+        flat, counts = ids[np.maximum(marks, 0)][marks != -2].tobytes(), (marks != -2).sum(axis=1)
+        ends = 4 * np.cumsum(counts)
+        out = [flat[b - 4 * k:b] for b, k in zip(ends.tolist(), counts.tolist())]
+        for i in np.flatnonzero((marks == -1).any(axis=1)).tolist():
+            parts = [self._unknown_ids(chunks[i][e[i] - 1]) if m[i] == -1 else ids[m[i]].tobytes() for m, e in path[::-1] if m[i] != -2]
+            out[i] = b"".join(parts)
+        return list(zip(out, best[lengths, every].tolist(), least.tolist()))
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Solve and keep the chunks that are not known."""
+        new = sorted((c for c in chunks if 0 < len(c) <= CACHED_LENGTH and c not in self.young and c not in self.old), key=len)
+        for at in range(0, len(new), AT_ONCE):
+            part = new[at:at + AT_ONCE]
+            for chunk, got in zip(part, self.solve_all(part)):
+                if len(self.young) >= CACHED_CHUNKS:
+                    self.young, self.old = {}, self.young
+                self.young[chunk] = got
+
     def solved(self, chunk: str) -> tuple[bytes, float, float]:
         got = self.young.get(chunk)
         if got is None:
@@ -207,7 +287,26 @@ class PieceModel:
 
     def segment(self, text: str | None, n: int = 1) -> list[Segmentation]:
         """The n best segmentations of a text, best first."""
-        chunks, known, solved = self.chunks(text or ""), self.young.get, self.solved
+        return self._segment(self.chunks(text or ""), n)
+
+    def segments(self, texts: Iterable[str | None], n: int = 1) -> Iterator[list[Segmentation]]:
+        """:meth:`segment` of many texts, whose new chunks are solved together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(self.chunks(text or ""))
+            size += len(held[-1])
+            if size >= TOGETHER:
+                yield from self._segments(held, n)
+                held, size = [], 0
+        yield from self._segments(held, n)
+
+    def _segments(self, held: list[list[str]], n: int) -> Iterator[list[Segmentation]]:
+        self._learn(set().union(*held))
+        for chunks in held:
+            yield self._segment(chunks, n)
+
+    def _segment(self, chunks: list[str], n: int) -> list[Segmentation]:
+        known, solved = self.young.get, self.solved
         if not chunks:
             return [Segmentation(0.0, b"")]
         ids, scores, losses = zip(*[known(c) or solved(c) for c in chunks])
@@ -265,7 +364,7 @@ def encode(text: Column, model: bytes) -> Column:
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
         use = loaded(model)
-        return pd.Series([np.frombuffer(use.segment(t)[0].ids, dtype="<i4") for t in texts])
+        return pd.Series([np.frombuffer(found[0].ids, dtype="<i4") for found in use.segments(texts)])
 
     return run(text)
 
@@ -281,7 +380,7 @@ def add_pieces(docs: DataFrame, model: bytes, n: int, at_once: int = 256) -> Dat
         for batch in batches:
             for at in range(0, batch.num_rows, at_once):
                 part = batch.slice(at, at_once)
-                found = [use.segment(t, n) for t in part.column(place).to_pylist()]
+                found = list(use.segments(part.column(place).to_pylist(), n))
                 ids = pa.array([np.frombuffer(f[0].ids, dtype="<i4") for f in found], pa.list_(pa.int32()))
                 scores = pa.array([[s.score for s in f] for f in found], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, scores], names=[*part.schema.names, "piece_ids", "nbest_scores"])
@@ -296,7 +395,7 @@ def encode_nbest(text: Column, model: bytes, n: int) -> Column:
 
     @F.pandas_udf("scores array<double>, ids array<array<int>>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        found = [loaded(model).segment(t, n) for t in texts]
+        found = list(loaded(model).segments(texts, n))
         return pd.DataFrame({"scores": [[s.score for s in f] for f in found], "ids": [[s.as_ids() for s in f] for f in found]})
 
     return run(text)
@@ -321,8 +420,8 @@ def nbest_digest(text: Column, model: bytes, n: int) -> Column:
     @F.pandas_udf(kind)
     def run(texts: pd.Series) -> pd.DataFrame:
         use, rows = loaded(model), []
-        for text in texts:
-            found, plain = use.segment(text, n), (text or "").replace(MARK, " ")
+        for text, found in zip(texts, use.segments(texts, n)):
+            plain = (text or "").replace(MARK, " ")
             back = use.decode(found[0].ids)
             rows.append(([s.score for s in found], [len(s.ids) // 4 for s in found], [hashlib.sha256(s.ids).hexdigest() for s in found],
                          hashlib.sha256(back.encode()).hexdigest(), back == plain))

@@ -105,3 +105,15 @@ def test_query(spark, model):
         assert list(r.scores) == [s.score for s in want]
         assert list(r.ids_sha256) == [hashlib.sha256(s.ids).hexdigest() for s in want]
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_chunks_together_as_one_by_one(monkeypatch):
+    """Solved in one step for many chunks: the same ids, scores and losses, unknown characters and ties among them."""
+    model, rng = pieces.PieceModel(pieces.read_model()), random.Random(12)
+    chunks = sorted({"▁" + "".join(rng.choice("thenaious é漢🙂\n_x") for _ in range(rng.randint(0, 20))) for _ in range(3000)}, key=len)
+    assert model.solve_all(chunks) == [model.solve(c) for c in chunks]
+    texts = [" ".join(rng.choice(["then", "thén", "x" * 60, "漢字", "in", ""]) for _ in range(rng.randint(0, 9))) for _ in range(200)] + [None]
+    monkeypatch.setattr(pieces, "TOGETHER", 7)
+    monkeypatch.setattr(pieces, "AT_ONCE", 3)
+    fresh = pieces.PieceModel(pieces.read_model())
+    assert list(fresh.segments(texts, 3)) == [model.segment(t, 3) for t in texts]
