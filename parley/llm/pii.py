@@ -132,10 +132,12 @@ def plausible(text: str, span: Span) -> bool:
 
 
 def readings(text: str, start: int, end: int) -> set[Span]:
-    """What a proposal may stand for: each kind whose check it passes; an address with what stands before or
-    behind it is cut to the address."""
+    """What a proposal may stand for: each kind whose check it passes. An address with what stands before or
+    behind it is cut to the address; a number takes in its plus and the other half of its brackets."""
     address = ANY_EMAIL.search(text, start, end)
     spans = [(0, *address.span())] if address else []
+    if start and (text[start - 1] == "+" or text[start - 1] == "(" and text.count(")", start, end) > text.count("(", start, end)):
+        start -= 1
     return {s for s in (*spans, *((k, start, end) for k in range(1, len(KINDS)))) if plausible(text, s)}
 
 
