@@ -155,7 +155,12 @@ def _write(spark):
 
 def _speech(spark, d):
     """Cleaned (masked) speech as a stage table: the conversations are read once."""
-    return ds.write_stage(spark, rt.cleaned_speech(_turns(spark, d), _names(spark, d)), "speech")
+    return ds.write_stage(spark, rt.cleaned_speech(_turns(spark, d), _names(spark, d), spread_small), "speech")
+
+
+def _answers(spark, reqs):
+    """All responses of the stand-in model, which every core of the session may call at once."""
+    return ms.complete(reqs, stub_model, _write(spark), concurrency=spark.sparkContext.defaultParallelism)
 
 
 def _requests_of(speech):
@@ -165,7 +170,7 @@ def _requests_of(speech):
 def _restated(spark, speech):
     """``(call_id, spoken, request_id, answer, status)`` after the restating stage."""
     reqs = _requests_of(speech)
-    return ms.merge_responses(reqs, ms.complete(reqs, stub_model, _write(spark)), ["call_id", "spoken"])
+    return ms.merge_responses(reqs, _answers(spark, reqs), ["call_id", "spoken"])
 
 
 def _finished(restated):
@@ -266,13 +271,13 @@ def q_message_history(spark, d):
 @query
 def q_merge_responses(spark, d):
     reqs = _requests(spark, d)
-    return ms.merge_responses(reqs, ms.complete(reqs, stub_model, _write(spark)), ["call_id"])
+    return ms.merge_responses(reqs, _answers(spark, reqs), ["call_id"])
 
 
 @query
 def q_usage_log(spark, d):
     reqs = _requests(spark, d)
-    log = ms.usage_log(ms.complete(reqs, stub_model, _write(spark)), "restate")
+    log = ms.usage_log(_answers(spark, reqs), "restate")
     return log.select("stage", "model", "kind", "request_id", F.col("attempt").cast("bigint").alias("attempt"), "tokens_in", "tokens_out")
 
 
@@ -284,12 +289,12 @@ def q_restated_requests(spark, d):
 def _refine(spark, cands):
     """Refined answers ``(call_id, rank, answer, status)``."""
     reqs = ds.refine_requests(cands)
-    return ms.merge_responses(reqs, ms.complete(reqs, stub_model, _write(spark)), ["call_id", "rank"])
+    return ms.merge_responses(reqs, _answers(spark, reqs), ["call_id", "rank"])
 
 
 def _combine(spark, refined):
     reqs = ds.combine_requests(refined)
-    return ms.merge_responses(reqs, ms.complete(reqs, stub_model, _write(spark)), ["call_id"])
+    return ms.merge_responses(reqs, _answers(spark, reqs), ["call_id"])
 
 
 @query

@@ -7,6 +7,8 @@ when a request has no hit, behaviour B13).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +19,13 @@ from parley.operators.turns import speech_by_role
 from parley.plans.clean import clean_texts
 
 
-def cleaned_speech(turns: DataFrame, names: DataFrame | None) -> DataFrame:
+def cleaned_speech(turns: DataFrame, names: DataFrame | None, spread: Callable[[DataFrame, str], DataFrame] = lambda df, key: df) -> DataFrame:
     """``(key, call_id, role, clean)``: both roles' speech cleaned in one chain (the agent side has
-    digits removed twice; idempotent). call_id and role travel with the text."""
+    digits removed twice; idempotent). call_id and role travel with the text. ``spread(df, key)`` may
+    deal the speeches over the cores again: they are gathered by size, but cleaning takes time, not space."""
     sp = speech_by_role(turns).select(F.concat_ws(":", "role", F.col("call_id").cast("string")).alias("key"),
                                       "call_id", "role", "speech")
-    return clean_texts(sp, "key", "speech", names, out_col="clean")
+    return clean_texts(spread(sp, "key"), "key", "speech", names, out_col="clean")
 
 
 def requests_from_speech(speech: DataFrame) -> DataFrame:
