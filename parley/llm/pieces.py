@@ -43,7 +43,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN_LESS = 10.0
-CACHED_CHUNKS = 100_000
+CACHED_CHUNKS = 200_000
 CACHED_LENGTH = 48
 #: Chunks of texts whose new ones are solved together, and how many of these in one step.
 TOGETHER, AT_ONCE = 50_000, 4096
