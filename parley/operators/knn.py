@@ -71,7 +71,7 @@ def _block_topk(k: int, chunk_rows: int, exclude_same_group: bool):
             dv = np.stack(part["v"].to_numpy()).astype(np.float64)
             dv /= np.linalg.norm(dv, axis=1, keepdims=True)
             # equal vectors score alike wherever they stand in a block
-            s = np.round(qv @ dv.T + 1.0, 12)
+            s = np.round(qv @ dv.T + 1.0, 14)
             if exclude_same_group:
                 s[q["grp"].to_numpy()[:, None] == part["grp"].to_numpy()[None, :]] = -np.inf
             idx = np.broadcast_to(np.arange(start, start + len(part)), s.shape)

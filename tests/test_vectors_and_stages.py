@@ -28,7 +28,7 @@ def test_cosine_plus_one(spark):
 def _brute(q, d, k):
     qn = q / np.linalg.norm(q, axis=1, keepdims=True)
     dn = d / np.linalg.norm(d, axis=1, keepdims=True)
-    s = np.round(qn @ dn.T + 1, 12)
+    s = np.round(qn @ dn.T + 1, 14)
     out = set()
     for i in range(len(q)):
         order = sorted(range(len(d)), key=lambda j: (-s[i, j], j))[:k]
