@@ -44,22 +44,28 @@ class Router(StatefulProcessor):
         request, out = key[0], []
         held = self.last.get()
         attempt, _, too_large, _ = held if held is not None else (0, BASE_MODEL, 0, False)
-        came = sorted({(int(n), status, ts) for part in rows for n, status, ts in zip(part["attempt"], part["status"], part["ts"])}, key=lambda r: r[0])
-        for n, status, ts in came:
-            if n <= attempt:
-                continue  # seen before
-            model = LARGE_MODEL if too_large else BASE_MODEL
-            attempt, limited = n, status == "rate_limited"
+        first: dict[int, tuple] = {}
+        for part in rows:
+            for n, status, ts in zip(part["attempt"], part["status"], part["ts"]):
+                first.setdefault(int(n), (status, ts))
+        came = [(n, *first[n]) for n in sorted(first) if n > attempt]  # the others were seen before
+        if not came:
+            return
+        # timers go off between calls of this function: only one set before, and that of the last attempt, matter
+        if held is not None and held[3]:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
+        for n, status, _ in came:
+            model = LARGE_MODEL if too_large else BASE_MODEL
             if status == "ok":
                 out.append((request, n, n, model, "ok"))
             elif status == "too_large":
                 too_large += 1
                 out.append((request, n, n, model, BIG_ERROR) if too_large > 1 else (request, n, n + 1, LARGE_MODEL, "retry"))
-            elif limited:
-                self.handle.registerTimer(int(ts.timestamp() * 1000) + self.wait_ms)
-            self.last.update((attempt, model, too_large, limited))
+        attempt, status, ts = came[-1]
+        if status == "rate_limited":
+            self.handle.registerTimer(int(ts.timestamp() * 1000) + self.wait_ms)
+        self.last.update((attempt, model, too_large, status == "rate_limited"))
         yield from self._decided(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803

@@ -2,9 +2,11 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
+
 from parley.constants import BASE_MODEL, BIG_ERROR, LARGE_MODEL
 from parley.session import scratch_path
-from parley.streaming.retry import ATTEMPTS, route_available, standing
+from parley.streaming.retry import ATTEMPTS, Router, route_available, standing
 
 BEGIN = datetime(2025, 1, 1)
 
@@ -31,3 +33,36 @@ def test_waits_and_restarts(spark):
     # attempts of one request in one file, out of order
     _, now = run(("a", 3, "ok", 420), ("a", 2, "too_large", 400), ("e", 2, "rate_limited", 420), ("e", 1, "too_large", 400), ("", 2, "ok", 900))
     assert now == {("b", 2, LARGE_MODEL, BIG_ERROR), ("e", 3, LARGE_MODEL, "retry")}
+
+
+def test_timers_are_touched_once_a_batch():
+    class Handle:
+        def __init__(self):
+            self.listed, self.held, self.timers = 0, None, []
+
+        def getValueState(self, name, schema):  # noqa: N802
+            return self
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+        def listTimers(self):  # noqa: N802
+            self.listed += 1
+            return self.timers
+
+        def deleteTimer(self, timer):  # noqa: N802
+            self.timers = [t for t in self.timers if t != timer]
+
+        def registerTimer(self, timer):  # noqa: N802
+            self.timers = [*self.timers, timer]
+
+    handle, router = Handle(), Router(45)
+    router.init(handle)
+    rows = lambda ns, status: iter([pd.DataFrame({"attempt": ns, "status": status, "ts": [BEGIN + timedelta(seconds=n) for n in ns]})])
+    list(router.handleInputRows(("a",), rows(list(range(1, 101)), "rate_limited"), None))
+    assert handle.listed == 0 and handle.timers == [int((BEGIN + timedelta(seconds=145)).timestamp() * 1000)]
+    list(router.handleInputRows(("a",), rows([101], "ok"), None))
+    assert handle.listed == 1 and handle.timers == [] and handle.held[0] == 101
