@@ -19,6 +19,7 @@ never score.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,13 +32,17 @@ from parley.functions.vector import usable
 from parley.session import staged
 
 
+#: Queries whose scores are worked out together; documents that pass by the queries of a cell.
+AT_ONCE, PASSING = 512, 8192
+
+
 def plan_blocks(n: int, per_block: int) -> int:
     """Blocks of about ``per_block`` rows."""
     return max(1, math.ceil(n / per_block))
 
 
-def _merge_topk(s: np.ndarray, idx: np.ndarray, id_rank: np.ndarray, k: int):
-    """Per row, the k best (score desc, id asc) of ``s``; exact on ties at the k-th score."""
+def _merge_topk(s: np.ndarray, idx: np.ndarray, k: int):
+    """Per row, the k best (score desc, place asc) of ``s``; exact on ties at the k-th score."""
     if s.shape[1] > k:
         kth = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k][:, None]
         keep = s >= kth
@@ -50,35 +55,89 @@ def _merge_topk(s: np.ndarray, idx: np.ndarray, id_rank: np.ndarray, k: int):
         s2[r, pos] = s[r, c]
         i2[r, pos] = idx[r, c]
         s, idx = s2, i2
-    order = np.lexsort((id_rank[idx], -s), axis=1)[:, :k]
+    order = np.lexsort((idx, -s), axis=1)[:, :k]
     return np.take_along_axis(s, order, axis=1), np.take_along_axis(idx, order, axis=1)
 
 
+class _Best:
+    """The k best documents of some queries so far. Documents come in order of their ids, so that of equal
+    scores the earlier stays. Scores are worked out for ``AT_ONCE`` queries at a time."""
+
+    def __init__(self, k: int, q: pd.DataFrame, exclude_same_group: bool, allowed: np.ndarray | None = None):
+        self.k, self.qids, self.v = k, q["qid"].to_numpy(), _unit(q["v"])
+        self.grp, self.allowed = q["grp"].to_numpy() if exclude_same_group else None, allowed
+        self.score, self.place = np.full((len(q), 0), -np.inf), np.zeros((len(q), 0), dtype=np.int64)
+        self.dids: list[np.ndarray] = []
+        self.n = 0
+
+    def add(self, d: pd.DataFrame) -> None:
+        dv, places = _unit(d["v"]), np.arange(self.n, self.n + len(d))
+        self.dids.append(d["did"].to_numpy())
+        self.n += len(d)
+        score, place = [], []
+        for at in range(0, len(self.v), AT_ONCE):
+            mine = slice(at, at + AT_ONCE)
+            # equal vectors score alike wherever they stand in a block
+            s = np.round(self.v[mine] @ dv.T + 1.0, 14)
+            if self.grp is not None:
+                s[self.grp[mine, None] == d["grp"].to_numpy()[None, :]] = -np.inf
+            if self.allowed is not None:
+                s[~self.allowed[mine][:, d["pivot"].to_numpy()]] = -np.inf
+            merged = _merge_topk(np.concatenate([self.score[mine], s], axis=1),
+                                 np.concatenate([self.place[mine], np.broadcast_to(places, s.shape)], axis=1), self.k)
+            score.append(merged[0])
+            place.append(merged[1])
+        self.score, self.place = np.concatenate(score), np.concatenate(place)
+
+    def hits(self) -> pd.DataFrame:
+        ok = np.isfinite(self.score)
+        return pd.DataFrame({"qid": self.qids[np.nonzero(ok)[0]], "did": np.concatenate(self.dids)[self.place[ok]], "score": self.score[ok]})
+
+
 def _block_topk(k: int, chunk_rows: int, exclude_same_group: bool):
     def run(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(d) == 0:
             return pd.DataFrame({"qid": q["qid"].iloc[:0], "did": d["did"].iloc[:0], "score": np.zeros(0)})
-        qv = np.stack(q["v"].to_numpy()).astype(np.float64)
-        qv /= np.linalg.norm(qv, axis=1, keepdims=True)
-        qids = q["qid"].to_numpy()
-        dids = d["did"].to_numpy()
-        id_rank = np.empty(len(dids), dtype=np.int64)
-        id_rank[np.argsort(dids, kind="stable")] = np.arange(len(dids))
-        best_s = np.full((len(q), 0), -np.inf)
-        best_i = np.zeros((len(q), 0), dtype=np.int64)
+        best, d = _Best(k, q, exclude_same_group), d.sort_values("did", kind="stable")
         for start in range(0, len(d), chunk_rows):
-            part = d.iloc[start:start + chunk_rows]
-            dv = np.stack(part["v"].to_numpy()).astype(np.float64)
-            dv /= np.linalg.norm(dv, axis=1, keepdims=True)
-            # equal vectors score alike wherever they stand in a block
-            s = np.round(qv @ dv.T + 1.0, 14)
-            if exclude_same_group:
-                s[q["grp"].to_numpy()[:, None] == part["grp"].to_numpy()[None, :]] = -np.inf
-            idx = np.broadcast_to(np.arange(start, start + len(part)), s.shape)
-            best_s, best_i = _merge_topk(np.concatenate([best_s, s], axis=1),
-                                         np.concatenate([best_i, idx], axis=1), id_rank, k)
-        ok = np.isfinite(best_s)
-        return pd.DataFrame({"qid": qids[np.nonzero(ok)[0]], "did": dids[best_i[ok]], "score": best_s[ok]})
+            best.add(d.iloc[start:start + chunk_rows])
+        return best.hits()
+
+    return run
+
+
+def _streamed_topk(k: int, chunk_rows: int, exclude_same_group: bool, pivots: int):
+    """The same for rows in order of (qb, cell, side, did): the queries of a cell are held, its documents
+    pass by. A query scores the documents of the pivots in its ``meet`` alone."""
+
+    def opened(parts: list[pd.DataFrame]) -> _Best:
+        q = pd.concat(parts)
+        allowed = np.zeros((len(q), pivots), dtype=bool)
+        for row, met in enumerate(q["meet"]):
+            allowed[row, met] = True
+        return _Best(k, q, exclude_same_group, allowed)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, asking, best = None, [], None
+        for b in batches:
+            if not len(b):
+                continue
+            of = b[["qb", "cell", "side"]].to_numpy()
+            starts = [0, *(np.flatnonzero((of[1:] != of[:-1]).any(axis=1)) + 1).tolist()]
+            for start, end in zip(starts, [*starts[1:], len(b)]):
+                if key != (key := tuple(of[start, :2])):
+                    if best is not None:
+                        yield best.hits()
+                    asking, best = [], None
+                if of[start, 2] == 0:
+                    asking.append(b.iloc[start:end])
+                    continue
+                if best is None and asking:
+                    best = opened(asking)
+                for at in range(start, end if best is not None else start, chunk_rows):
+                    best.add(b.iloc[at:min(end, at + chunk_rows)])
+        if best is not None:
+            yield best.hits()
 
     return run
 
@@ -152,6 +211,29 @@ def choose_pivots(sample: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
     return pivots
 
 
+def chained(points: np.ndarray) -> list[int]:
+    """The pivots in an order that goes from each to the nearest of those left."""
+    near, order = points @ points.T, [0]
+    near[:, 0] = -np.inf
+    while len(order) < len(points):
+        order.append(int(near[order[-1]].argmax()))
+        near[:, order[-1]] = -np.inf
+    return order
+
+
+def dealt(counts: np.ndarray, order: list[int], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of neighbouring pivots with ``most`` rows at most: for each pivot its first group and how many
+    groups its rows are dealt into; more than one only where it has more rows by itself."""
+    first, parts = np.zeros(len(counts), np.int64), np.maximum(1, -(-counts // most))
+    group, held = -1, most + 1
+    for p in order:
+        if held + counts[p] > most:
+            group, held = group + 1, 0
+        first[p], held = group, held + counts[p]
+        group += parts[p] - 1
+    return first, parts
+
+
 def _unit(vectors: pd.Series) -> np.ndarray:
     v = np.stack(vectors.to_numpy()).astype(np.float64)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
@@ -177,8 +259,10 @@ def pruned_topk(q: DataFrame, d: DataFrame, k: int, exclude_same_group: bool, ce
     bounds by the triangle inequality which other pivots can hold a better or equal document; only
     those are met in a second pass. Whatever the pivots, nothing is missed; good pivots save work.
 
-    Queries of one nearest pivot ask for much the same documents, so they share blocks of about
-    ``cell_queries``; a pivot with more than ``cell_docs`` documents is split by a hash of the id. The
+    Queries of one nearest pivot, and of pivots near it, ask for much the same documents, so they share
+    blocks of about ``cell_queries``; the documents of neighbouring pivots share cells, and what is larger than
+    a block or a cell is split by a hash of the id. So neither the number of cells nor the copies of a vector
+    grow with the number of pivots. A task holds a block of queries, and the documents pass by. The
     driver holds the pivots (``MOST_PIVOTS`` vectors), a sample of ``SAMPLE`` times as many, and three
     numbers a pivot."""
     spark, want = q.sparkSession, min(pivots, MOST_PIVOTS)
@@ -208,10 +292,12 @@ def pruned_topk(q: DataFrame, d: DataFrame, k: int, exclude_same_group: bool, ce
     counts, near, far = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
     for r in d.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("a"), F.max("angle").alias("b")).collect():
         counts[r.pivot], near[r.pivot], far[r.pivot] = r.n, r.a, r.b
-    salts = np.maximum(1, -(-counts // cell_docs))
-    asked = np.ones(n, np.int64)
+    asked = np.zeros(n, np.int64)
     for r in q.groupBy("pivot").count().collect():
-        asked[r.pivot] = max(1, -(-r["count"] // cell_queries))
+        asked[r.pivot] = r["count"]
+    order = chained(points)
+    cell, cells = dealt(counts, order, max(cell_docs, PASSING))
+    block, blocks = dealt(asked, order, cell_queries)
 
     def first(batches):
         for b in batches:
@@ -231,20 +317,26 @@ def pruned_topk(q: DataFrame, d: DataFrame, k: int, exclude_same_group: bool, ce
                 yield b.drop(columns="kth").assign(meet=[np.flatnonzero(m).astype(np.int32) for m in may])
 
     q_types = T.StructType([*q.schema.fields, T.StructField("meet", T.ArrayType(T.IntegerType()))])
-    number = lambda column, of: F.element_at(F.array(*(F.lit(int(x)) for x in of)), F.col(column) + 1)
-    q = q.withColumn("part", F.pmod("qkey", number("pivot", asked)))
+    number = lambda column, of: F.element_at(F.array(*(F.lit(int(x)).cast("long") for x in of)), (F.col(column) if isinstance(column, str) else column) + 1)
+    q = q.withColumn("part", number("pivot", block) + F.pmod("qkey", number("pivot", blocks)))
     q_types = q_types.add("part", T.LongType())
-    d = d.withColumn("salt", F.pmod("dkey", number("pivot", salts)))
+    d = d.withColumn("cell", number("pivot", cell) + F.pmod("dkey", number("pivot", cells)))
+    last = cell + cells - 1
+    vector = q.schema["v"].dataType if q.schema["v"].dataType == d.schema["v"].dataType else T.ArrayType(T.DoubleType())
+    none = lambda df, name: F.lit(0).cast(df.schema[name].dataType).alias(name)
 
     def meet(asking: DataFrame) -> DataFrame:
         """The best k of each query in the documents of the pivots that it names in ``meet``."""
-        block = F.struct(F.col("pivot").alias("home"), "part")
-        each = asking.select("qid", "v", "grp", block.alias("qb"), F.explode("meet").alias("pivot"))
-        wanted = each.select("qb", "pivot").distinct().groupBy("pivot").agg(F.collect_list("qb").alias("qbs"))
-        each = each.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), number("pivot", salts) - 1)))
-        lent = d.join(wanted, "pivot").select("did", "v", "grp", "pivot", "salt", F.explode("qbs").alias("qb"))
-        cells = each.groupBy("qb", "pivot", "salt").cogroup(lent.groupBy("qb", "pivot", "salt"))
-        return cells.applyInPandas(_block_topk(k, chunk_rows, exclude_same_group), types)
+        each = asking.select("qid", F.col("v").cast(vector).alias("v"), "grp", F.col("part").alias("qb"), "meet")
+        wanted = each.select("qb", F.explode("meet").alias("pivot")).distinct().groupBy("pivot").agg(F.collect_list("qb").alias("qbs"))
+        of = F.array_distinct(F.flatten(F.transform("meet", lambda p: F.sequence(number(p, cell), number(p, last)))))
+        each = each.withColumn("cell", F.explode(of)).withColumn(
+            "meet", F.filter("meet", lambda p: F.col("cell").between(number(p, cell), number(p, last))))
+        lent = d.join(wanted, "pivot").select(F.explode("qbs").alias("qb"), "cell", "did", F.col("v").cast(vector).alias("v"), "grp", "pivot")
+        held = each.select("qb", "cell", F.lit(0).alias("side"), "qid", none(d, "did"), "v", "grp", F.lit(0).alias("pivot"), "meet")
+        passing = lent.select("qb", "cell", F.lit(1).alias("side"), none(q, "qid"), "did", "v", "grp", "pivot", F.lit(None).cast("array<int>").alias("meet"))
+        rows = held.union(passing).repartition("qb", "cell").sortWithinPartitions("qb", "cell", "side", "did")
+        return rows.mapInPandas(_streamed_topk(k, chunk_rows, exclude_same_group, n), types)
 
     columns = ["qid", "v", "grp", "qkey", "pivot", "angle"]
     begun = staged(q.mapInPandas(first, _ordered(q_types, [*q.columns, "meet"])), "meet")
