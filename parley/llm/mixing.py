@@ -135,6 +135,17 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule] = CURRICULUM, max_epochs:
     )
 
 
+def by_first_position(mixed: DataFrame) -> DataFrame:
+    """The rows of :func:`mix`, range-sorted by the first place that training takes them at; those that it never
+    takes come last."""
+    first = F.get("positions", F.lit(0))
+    return (
+        mixed.withColumn("first_position", first)
+        .repartitionByRange(F.col("first_position").asc_nulls_last(), "doc_id")
+        .sortWithinPartitions(F.col("first_position").asc_nulls_last(), "doc_id")
+    )
+
+
 def training_order(mixed: DataFrame) -> DataFrame:
     """The mixed documents themselves: each as often as it is taken, range-sorted by position, with
     the columns of the input."""

@@ -198,3 +198,12 @@ def test_topk_few_candidates_and_empty(spark):
     assert topk.top_k(none, F.col("vec_id") % 100 == 0).count() == 0
     two = topk.integer_vectors(spark.createDataFrame([(0, [1.0], 1, "x"), (1, [2.0], 1, "x")], VEC))
     assert [(r.query_id, r.vec_id, r.score) for r in topk.top_k(two, F.col("vec_id") % 100 == 0).collect()] == [(0, 1, 1024 * 2048)]
+
+
+def test_mix_comes_in_training_order(spark):
+    from parley.llm.queries import op2_mix_sources
+    from tests.conftest import SMALL
+
+    first = [r.first_position for r in op2_mix_sources(spark, SMALL).collect()]
+    taken = [x for x in first if x is not None]
+    assert len(taken) > 20 and taken == sorted(taken) and first[len(taken):] == [None] * (len(first) - len(taken))
