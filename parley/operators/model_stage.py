@@ -14,8 +14,11 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from parley.constants import (
     BASE_MODEL, BIG_ERROR, INVALID, LARGE_MODEL, NANO_USD_PER_TOKEN, NOT_USEFUL_ANSWER, NOT_YET,
@@ -47,6 +50,24 @@ def build_messages(df: DataFrame, system_prompt: str, content_col: str, history_
     return df.withColumn("messages", F.concat(first, earlier, last)).withColumn("request_id", F.sha2(F.to_json("messages"), 256))
 
 
+def _few_at_once(model_fn: ModelFn, schema: T.StructType, most_bytes: int = 1 << 20) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``model_fn`` on Arrow batches, of which about ``most_bytes`` at a time become objects."""
+    given = to_arrow_schema(schema)
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = max(1, most_bytes * b.num_rows // max(1, b.nbytes))
+            for at in range(0, b.num_rows, rows):
+                part = b.slice(at, rows)
+                yield pd.DataFrame({name: part.column(i).to_pylist() for i, name in enumerate(b.schema.names)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in model_fn(frames(batches)):
+            yield pa.RecordBatch.from_pandas(out, given, preserve_index=False)
+
+    return run
+
+
 def call_model(requests: DataFrame, model_fn: ModelFn, concurrency: int | None = None) -> DataFrame:
     """UDF-1: one call per distinct request and attempt. ``model_fn`` receives batches with
     ``request_id, messages, model, attempt`` and yields RESPONSES rows. Requests without a model or
@@ -58,7 +79,7 @@ def call_model(requests: DataFrame, model_fn: ModelFn, concurrency: int | None =
     todo = todo.dropDuplicates(["request_id", "attempt"])
     if concurrency:
         todo = todo.repartition(concurrency, "request_id")
-    return todo.mapInPandas(model_fn, RESPONSES)
+    return todo.mapInArrow(_few_at_once(model_fn, RESPONSES), RESPONSES)
 
 
 def complete(requests: DataFrame, model_fn: ModelFn, write: Callable[[DataFrame, str], DataFrame],
@@ -200,5 +221,5 @@ def embed_stage(texts: DataFrame, id_col: str, text_col: str, embed_fn: ModelFn,
     by key."""
     keyed = texts.withColumn("text_key", F.sha2(F.col(text_col), 256))
     todo = keyed.select("text_key", F.col(text_col).alias("text")).dropDuplicates(["text_key"])
-    vecs = write(todo.mapInPandas(embed_fn, EMBED_RESPONSES), "embedded")
+    vecs = write(todo.mapInArrow(_few_at_once(embed_fn, EMBED_RESPONSES), EMBED_RESPONSES), "embedded")
     return keyed.join(vecs, "text_key", "left").select(id_col, "embed", "tokens")

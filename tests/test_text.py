@@ -160,3 +160,14 @@ def test_speech_concat_and_interleave(spark):
 
 def test_nfc(spark):
     assert _col(spark, tx.nfc_normalise, ["Café", None]) == ["Café", None]
+
+
+def test_texts_become_objects_in_slices(spark):
+    df = spark.range(100).coalesce(1).select("id", F.repeat(F.lit("x"), 100_000).alias("t"))
+    told = df.select(tx.by_slices(lambda s: pd.Series([str(len(s))] * len(s)))("t").alias("n")).collect()
+    assert len(told) == 100 and max(int(r.n) for r in told) <= 11
+
+
+def test_repair_names_its_steps_once(spark):
+    plan = spark.range(1).select(tx.repair_unicode(F.col("id").cast("string")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") <= 3

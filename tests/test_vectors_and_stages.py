@@ -299,3 +299,21 @@ def test_messages_with_history(spark):
     assert [[(m.role, m.content) for m in r.messages] for r in rows] == [
         [("system", "sys"), ("user", "a"), ("assistant", "b"), ("user", "now")], [("system", "sys"), ("user", "now")], [("system", "sys"), ("user", "now")]]
     assert rows[0].request_id != rows[1].request_id == rows[2].request_id
+
+
+def test_neighbouring_pivots_share_blocks():
+    first, parts = knn.dealt(np.full(700, 64), list(range(700)), 8192)
+    assert first.max() + 1 == -(-700 // 128) and (parts == 1).all()
+    first, parts = knn.dealt(np.array([10, 500, 20, 0]), [2, 1, 0, 3], 100)
+    assert parts.tolist() == [1, 5, 1, 1] and first[2] == 0 and first[1] == 1 and first[0] == first[3] == 6
+    assert sorted(knn.chained(np.eye(5))) == list(range(5))
+
+
+def test_a_model_gets_few_requests_at_once(spark):
+    def model(batches):
+        for b in batches:
+            yield pd.DataFrame({"request_id": b["request_id"], "attempt": 1, "model": "m", "status": "ok", "text": str(len(b)), "tokens_in": 1, "tokens_out": 1})
+
+    df = spark.range(100).coalesce(1).select("id", F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 100_000)).alias("c"))
+    got = ms.call_model(ms.build_messages(df, "sys", "c"), model, concurrency=1).collect()
+    assert len(got) == 100 and max(int(r.text) for r in got) <= 11
