@@ -372,7 +372,7 @@ def labelled_windows(texts: list[str], windows: int, seed: int) -> tuple[np.ndar
     for row in range(windows):
         if found and row % 3 == 0:
             text, spans, (_, a, b) = found[rng.randrange(len(found))]
-            start = max(0, rng.randint(b - LEARNED, a))
+            start = max(0, rng.randint(*sorted((b - LEARNED, a))))  # of a longer span a stretch
             text = text[start:start + LEARNED]
         else:
             start, spans, text = 0, [], ""

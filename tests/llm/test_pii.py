@@ -187,6 +187,13 @@ def test_nothing_to_learn_from(spark, monkeypatch):
     assert seen == {"n": 50}
 
 
+def test_learning_from_spans_longer_than_a_window():
+    # a run of digits, as in a table of figures, is longer than the windows that train
+    for text in ("9" * 120, "call 12 34 56 " + "12 34 56 " * 30, "a" * 150 + "@b.com"):
+        x, y = pii.labelled_windows([text], 12, 11)
+        assert x.shape == y.shape == (12, pii.LEARNED) and (y[::3] > 0).any()
+
+
 def test_query_on_given_table(spark):
     got = {r.doc_id: r for r in op11_personal_data(spark, SMALL).collect()}
     docs = table(spark, SMALL, "documents").collect()
