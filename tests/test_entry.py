@@ -33,3 +33,19 @@ def test_bad_inputs_judges_a_row_once(spark, tmp_path):
         ("cut", 1, "bad_json"), ("cut", 2, "null_json"), ("digits", 2, "null_text"), ("digits", 3, "empty_text"), ("digits", 4, "empty_text"),
         ("documents", 2, "null_text"), ("documents", 3, "empty_text"), ("embeddings", 2, "zero_vector"), ("embeddings", 3, "null_vector"),
         ("short", 1, "bad_dims"), ("short", 2, "zero_vector"), ("short", 3, "null_vector")]
+
+
+def test_answers_search_neighbours_once(spark, monkeypatch):
+    # what a later round of calls reads is a table, not the search again
+    from parley.plans import catalog
+
+    seen = []
+    answers = catalog._answers
+
+    def looked(spark, reqs):
+        seen.append(reqs._jdf.queryExecution().optimizedPlan().toString())
+        return answers(spark, reqs)
+
+    monkeypatch.setattr(catalog, "_answers", looked)
+    assert REGISTRY["combined_answers"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(seen) == 3 and not [p for p in seen[1:] if "Join" in p or "Aggregate" in p]
