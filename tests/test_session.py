@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from parley.llm import common
-from parley.session import FREE_SHUFFLES, staged
+from parley.session import FREE_SHUFFLES, staged, unstaged
 
 
 def shuffle_files(spark):
@@ -27,3 +27,11 @@ def test_shuffle_files_go_with_the_write(spark):
         assert not left
         assert out.count() == 1000 and out.agg(F.sum("s")).first()[0] == 50_000 * 49_999 // 2
     assert spark.conf.get(FREE_SHUFFLES) == setting
+
+
+def test_unstaged_tables_leave_no_files(spark):
+    kept, gone = staged(spark.range(5), "kept"), staged(spark.range(5), "gone")
+    folder = Path(gone.staged_at.removeprefix("file:"))
+    assert folder.is_dir()
+    unstaged(gone)
+    assert not folder.exists() and kept.count() == 5
